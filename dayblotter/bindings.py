@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayblotter import fixed_values
@@ -18,7 +18,7 @@ from dayblotter.operators import incremental, paging, ranking, timeranges, upser
 from dayblotter.operators.calendar import calendar, calendar_for, days_between, known_holidays
 from dayblotter.operators.reshape import incidents_from_feed
 from dayblotter.plans import questions, registry, views
-from dayblotter.schemas import INCIDENT_TABLE, INCIDENTS, RAW_FEED, TableSpec, struct
+from dayblotter.schemas import RAW_FEED, TableSpec, struct
 from dayblotter.session import new_folder
 from dayblotter.sinks.keyed import KeyedTable
 from dayblotter.sources.feed import LandedFeed
@@ -116,41 +116,37 @@ def holiday_calendar(spark: SparkSession) -> DataFrame:
 def raw_feed(events: DataFrame, corrected: bool) -> DataFrame:
     """Events as the feed would send them. `corrected` sends errors changed, 60 days later."""
     is_correction = (F.col("event_type") == "error") & F.lit(corrected)
-    ts = F.col("ts")
-    updated = F.when(is_correction, ts + F.expr("INTERVAL 60 DAYS")).otherwise(
-        ts + F.expr("INTERVAL 1 HOUR")
-    )
-    event, user, value = (F.col(c).cast("string") for c in ("event_id", "user_id", "value"))
-
-    def stamp(moment: Column) -> Column:
-        return F.concat(dates.millisecond_text(moment), F.lit("Z"))
-
-    kept = {
-        ":id": F.concat(F.lit("row-"), event),
-        ":created_at": stamp(ts),
-        ":updated_at": stamp(updated),
-        ":version": F.concat(F.lit("rv-"), event),
-        "case_": F.concat(F.lit("EV"), event),
-        "date_of_occurrence": dates.millisecond_text(ts),
-        "block": F.concat(user, F.lit("XX STREET")),
-        "_iucr": F.get_json_object("props", "$.k"),
-        "_primary_decsription": F.col("event_type"),
-        "_secondary_description": F.upper("event_type"),
-        "_location_description": F.lit("STREET"),
-        "arrest": F.when(is_correction, "Y").otherwise("N"),
-        "domestic": F.lit("N"),
-        "beat": user,
-        "ward": (F.pmod("user_id", F.lit(50)) + 1).cast("string"),
-        "fbi_cd": F.lit("14"),
-        "x_coordinate": user,
-        "y_coordinate": user,
-        "latitude": value,
-        "longitude": value,
-        "location": F.struct(
-            value.alias("latitude"), value.alias("longitude"), F.lit("none").alias("human_address")
-        ),
+    day, hour = F.expr("INTERVAL 60 DAYS"), F.expr("INTERVAL 1 HOUR")
+    texts = {
+        "occurred": dates.millisecond_text(F.col("ts")),
+        "updated": dates.millisecond_text(F.col("ts") + F.when(is_correction, day).otherwise(hour)),
+        "arrested": F.when(is_correction, "Y").otherwise("N"),
+    }
+    user = "cast(user_id as string)"
+    coordinate = "cast(value as string)"
+    sent = {
+        ":id": "concat('row-', event_id)",
+        ":created_at": "concat(occurred, 'Z')",
+        ":updated_at": "concat(updated, 'Z')",
+        ":version": "concat('rv-', event_id)",
+        "case_": "concat('EV', event_id)",
+        "date_of_occurrence": "occurred",
+        "block": "concat(user_id, 'XX STREET')",
+        "_iucr": "get_json_object(props, '$.k')",
+        "_primary_decsription": "event_type",
+        "_secondary_description": "upper(event_type)",
+        "_location_description": "'STREET'",
+        "arrest": "arrested",
+        "domestic": "'N'",
+        "ward": "cast(pmod(user_id, 50) + 1 as string)",
+        "fbi_cd": "'14'",
+        "latitude": coordinate,
+        "longitude": coordinate,
+        "location": f"struct({coordinate} as latitude, {coordinate} as longitude, 'none' as human_address)",
     }
-    return events.select(*[kept.get(name, user).alias(name) for name in RAW_FEED.names])
+    return events.withColumns(texts).selectExpr(
+        *[f"{sent.get(name, user)} as `{name}`" for name in RAW_FEED.names]
+    )
 
 
 def with_utc_stamps(incidents: DataFrame) -> DataFrame:
@@ -517,7 +513,7 @@ def merge_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merge on a stored table."""
     orders = table(spark, sf_dir, "orders")
-    spec = TableSpec("orders", orders.schema, ("o_orderkey",), ("o_orderdate",), buckets=16)
+    spec = TableSpec("orders", orders.schema, ("o_orderkey",), ("o_orderdate",))
     stored = KeyedTable(spark, new_folder(spark, "orders"), spec).create()
     stored.upsert(orders)
     stored.upsert(order_changes(orders))
@@ -536,10 +532,7 @@ def incremental_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 def store_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A backfill, then a later run that brings in new and corrected incidents."""
     events = table(spark, sf_dir, "events")
-    spec = TableSpec(
-        INCIDENT_TABLE.name, INCIDENTS, INCIDENT_TABLE.keys, INCIDENT_TABLE.newest, buckets=16
-    )
-    store = IncidentStore(spark, new_folder(spark, "store"), spec)
+    store = IncidentStore(spark, new_folder(spark, "store"))
     earlier = events.where(F.col("ts") < F.lit(SPLIT_TIME).cast("timestamp_ntz"))
     store.refresh(LandedFeed(raw_feed(earlier, corrected=False)))
     store.refresh(LandedFeed(raw_feed(events, corrected=True)))
@@ -551,7 +544,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of event files keeps the newest event of every user and kind."""
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
-    spec = TableSpec("events", schema, ("user_id", "event_type"), ("ts", "event_id"), buckets=16)
+    spec = TableSpec("events", schema, ("user_id", "event_type"), ("ts", "event_id"))
     folder = new_folder(spark, "stream")
     newest = KeyedTable(spark, f"{folder}/events", spec)
     # As a glob the path may name one file as well as a folder of files.

@@ -31,21 +31,21 @@ def flatten_structs(df: DataFrame, separator: str = ".") -> DataFrame:
             if isinstance(field.dataType, T.StructType):
                 yield from leaves(field.dataType.fields, path)
             else:
-                yield F.col(quoted(*path)).alias(separator.join(path))
+                yield f"{quoted(*path)} as {quoted(separator.join(path))}"
 
-    return df.select(*leaves(df.schema.fields))
+    return df.selectExpr(*leaves(df.schema.fields))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the declared columns, in order and cast. Absent ones are NULL, unknown ones an error."""
-    unknown = set(df.columns) - set(schema.names)
+    present = set(df.columns)
+    unknown = present - set(schema.names)
     if unknown:
         raise ValueError(f"columns not in the declared schema: {sorted(unknown)}")
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(quoted(f.name)) if f.name in df.columns else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
+            f"cast({quoted(f.name) if f.name in present else 'null'} as {f.dataType.simpleString()})"
+            f" as {quoted(f.name)}"
             for f in schema.fields
         ]
     )
@@ -53,12 +53,5 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def missing_to_null(df: DataFrame) -> DataFrame:
     """NaN in float columns becomes NULL."""
-    floats = (T.FloatType, T.DoubleType)
-    return df.select(
-        *[
-            nan_to_null(F.col(quoted(f.name))).alias(f.name)
-            if isinstance(f.dataType, floats)
-            else F.col(quoted(f.name))
-            for f in df.schema.fields
-        ]
-    )
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    return df.withColumns({name: nan_to_null(F.col(quoted(name))) for name in floats})

@@ -13,7 +13,10 @@ from dayblotter.schemas import CALENDAR
 def known_holidays(spark: SparkSession) -> DataFrame:
     """The fixed holidays, as literals so that Spark knows how small they are."""
     rows = [F.struct(F.lit(name).alias("name"), F.lit(date).alias("date")) for name, date in HOLIDAYS]
-    return parse_holidays(spark.range(1).select(F.inline(F.array(*rows))))
+    raw = spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+    return raw.select(
+        dates.parse_long_date(F.col("date")).alias("date"), F.col("name").alias("holiday_name")
+    )
 
 
 def parse_holidays(raw: DataFrame) -> DataFrame:
@@ -51,5 +54,5 @@ def calendar(days: DataFrame, holidays: DataFrame) -> DataFrame:
 
 
 def calendar_for(spark: SparkSession, begin: str, end: str, holidays: DataFrame) -> DataFrame:
-    bounds = spark.range(1).select(F.lit(begin).alias("begin"), F.lit(end).alias("end"))
+    bounds = spark.range(0, 1, 1, 1).select(F.lit(begin).alias("begin"), F.lit(end).alias("end"))
     return calendar(days_between(bounds, "begin", "end"), holidays)

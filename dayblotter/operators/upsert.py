@@ -21,13 +21,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) ->
     if not others:
         return df.dropDuplicates(list(keys))
     ranked = [*newest, *[name for name in others if name not in newest]]
-    best = F.max(F.struct(*[quoted(name) for name in ranked])).alias("_best")
+    best = F.expr(f"max(struct({', '.join(quoted(name) for name in ranked)}))").alias("_best")
     return (
         df.groupBy(*[quoted(name) for name in keys])
         .agg(best)
-        .select(
+        .selectExpr(
             *[
-                quoted(name) if name in keys else F.col(quoted("_best", name)).alias(name)
+                quoted(name) if name in keys else f"{quoted('_best', name)} as {quoted(name)}"
                 for name in df.columns
             ]
         )

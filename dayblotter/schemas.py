@@ -81,16 +81,16 @@ RAW_FEED = T.StructType(
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A declared table. `buckets` is fixed for the life of a stored table."""
+    """A declared table. Without `buckets` the cluster's shuffle setting decides when it is made."""
 
     name: str
     schema: T.StructType
     keys: tuple[str, ...]
     newest: tuple[str, ...] = ()
-    buckets: int = 1
+    buckets: int | None = None
 
 
-INCIDENT_TABLE = TableSpec("crime_data", INCIDENTS, ("crime_id",), ("updated_at", "version"), 64)
+INCIDENT_TABLE = TableSpec("crime_data", INCIDENTS, ("crime_id",), ("updated_at", "version"))
 CALENDAR_TABLE = TableSpec("date", CALENDAR, ("date",))
 STATION_TABLE = TableSpec("police_stations", STATIONS, ("district",))
 WARD_TABLE = TableSpec("ward_offices", WARDS, ("ward",))

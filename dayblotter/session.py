@@ -53,6 +53,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
+def has_folders(spark: SparkSession, path: str) -> bool:
     files, hadoop_path = _hadoop_path(spark, path)
-    files.delete(hadoop_path, True)
+    return any(found.isDirectory() for found in files.listStatus(hadoop_path))
+
+
+def move_folders(spark: SparkSession, source: str, target: str) -> None:
+    """Every folder in `source` takes the place of its namesake in `target`; then `source` goes.
+
+    Names are moved, not data. Broken off anywhere, it can be run again.
+    """
+    files, source_path = _hadoop_path(spark, source)
+    for found in files.listStatus(source_path):
+        if found.isDirectory():
+            _, place = _hadoop_path(spark, f"{target}/{found.getPath().getName()}")
+            files.delete(place, True)
+            files.rename(found.getPath(), place)
+    files.delete(source_path, True)

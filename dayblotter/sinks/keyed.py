@@ -7,14 +7,14 @@ changes fall in and no others. One writer at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayblotter.functions.columns import conform, missing_to_null, quoted
 from dayblotter.operators.upsert import latest_per_key, stack_changes
 from dayblotter.schemas import TableSpec
-from dayblotter.session import path_exists, remove_path
+from dayblotter.session import has_folders, move_folders, path_exists
 
 _BUCKET = "_bucket"
 
@@ -30,67 +30,73 @@ class KeyedTable:
         return path_exists(self.spark, f"{self.declared}/_SUCCESS")
 
     def create(self) -> KeyedTable:
-        """Declare the table if it is not there. The bucket count is set for good."""
+        """Declare the table if it is not there, and finish what a writer that died left behind.
+
+        The bucket count is set here for good: as declared, else as many as a shuffle of this
+        cluster has partitions. A bucket should hold a task's worth of rows, about 1 GB.
+        """
         if self.exists():
-            (buckets,) = self.spark.read.schema("buckets int").json(self.declared).first()
-            if buckets != self.spec.buckets:
-                raise ValueError(f"{self.spec.name} has {buckets} buckets, not {self.spec.buckets}")
+            self._move_in_pending()
             return self
-        self.spark.createDataFrame([], self.stored).write.mode("append").partitionBy(_BUCKET).parquet(
-            self.data
-        )
-        self.spark.range(1).select(F.lit(self.spec.buckets).alias("buckets")).write.mode(
-            "overwrite"
-        ).json(self.declared)
+        buckets = self.spec.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.spark.createDataFrame([], self.stored).coalesce(1).write.mode("overwrite").parquet(self.data)
+        one = self.spark.range(0, 1, 1, 1).select(F.lit(buckets).alias("buckets"))
+        one.write.mode("overwrite").json(self.declared)
         return self
 
+    def buckets(self) -> int:
+        return self.spark.read.schema("buckets int").json(self.declared).first()[0]
+
     def read(self) -> DataFrame:
-        self._apply_pending()
         return self._rows(self.data).drop(_BUCKET)
 
     def upsert(self, changes: DataFrame, stale: str = "keep") -> None:
         """Merge changes in by key; no changes, no work.
 
-        The changes are computed once and written down, so that a fetched feed is not fetched
-        again. The merged buckets are written beside the table and moved in by a second write:
-        a job that dies before is as if it never ran, and one that dies after is finished by the
-        next reader or writer.
+        Whole merged buckets are written beside the table and then moved into it. A job that dies
+        before the move is as if it never ran; one that dies within is finished by the next writer.
         """
-        self._apply_pending()
-        bucket = F.pmod(F.xxhash64(*[quoted(key) for key in self.spec.keys]), F.lit(self.spec.buckets))
+        self._move_in_pending()
+        buckets = self.buckets()
         arriving = missing_to_null(conform(changes, self.spec.schema))
-        latest_per_key(arriving, self.spec.keys, self.spec.newest).withColumn(
-            _BUCKET, bucket.cast("int")
-        ).write.mode("overwrite").parquet(self.incoming)
-        incoming = self.spark.read.schema(self.stored).parquet(self.incoming)
-
+        newest = latest_per_key(arriving, self.spec.keys, self.spec.newest).withColumn(
+            _BUCKET, self._bucket(buckets)
+        )
+        if has_folders(self.spark, self.data):
+            merged = self._merged(newest, buckets, stale)
+        else:
+            merged = newest.repartitionById(buckets, _BUCKET)
+        if merged is not None:
+            merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(self.pending)
+            self._move_in_pending()
+
+    def _merged(self, newest: DataFrame, buckets: int, stale: str) -> DataFrame | None:
+        """The touched buckets with the changes in them, one task a bucket."""
+        # Written down, so that a fetched feed is fetched once.
+        newest.write.mode("overwrite").parquet(self.incoming)
+        incoming = self._rows(self.incoming)
         # At most `buckets` numbers come to the driver; as literals they prune the table's folders.
         touched = [row[0] for row in incoming.select(_BUCKET).distinct().collect()]
         if not touched:
-            return
+            return None
         target = self._rows(self.data).where(F.col(_BUCKET).isin(touched))
+        both, order = stack_changes(target, incoming, self.spec.newest, stale)
         # Rows go by bucket once; grouping by bucket and key and writing by bucket follow that
         # layout without another shuffle. Keys are unique on both sides, so no bucket is hot.
-        both, order = stack_changes(target, incoming, self.spec.newest, stale)
-        merged = latest_per_key(
-            both.repartition(len(touched), _BUCKET), [_BUCKET, *self.spec.keys], order
-        ).drop("_incoming")
-        self._write(merged, self.pending, "static")
-        self._apply_pending()
+        if len(touched) == buckets:
+            by_bucket = both.repartitionById(buckets, _BUCKET)
+        else:
+            by_bucket = both.repartition(len(touched), _BUCKET)
+        return latest_per_key(by_bucket, [_BUCKET, *self.spec.keys], order).drop("_incoming")
+
+    def _bucket(self, buckets: int) -> Column:
+        key_hash = F.xxhash64(*[quoted(key) for key in self.spec.keys])
+        return F.pmod(key_hash, F.lit(buckets)).cast("int")
 
     def _rows(self, path: str) -> DataFrame:
         return self.spark.read.schema(self.stored).parquet(path)
 
-    def _write(self, df: DataFrame, path: str, overwrite: str) -> None:
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", overwrite)
-            .partitionBy(_BUCKET)
-            .parquet(path)
-        )
-
-    def _apply_pending(self) -> None:
-        """Replace the rewritten buckets. Doing it twice changes nothing."""
+    def _move_in_pending(self) -> None:
+        """Replace the rewritten buckets. Only complete writes move, and moving again is harmless."""
         if path_exists(self.spark, f"{self.pending}/_SUCCESS"):
-            self._write(self._rows(self.pending), self.data, "dynamic")
-            remove_path(self.spark, self.pending)
+            move_folders(self.spark, self.pending, self.data)
