@@ -32,7 +32,8 @@ def parse_holidays(raw: DataFrame) -> DataFrame:
 
 def days_between(bounds: DataFrame, begin: str, end: str) -> DataFrame:
     """One row per day from `begin` to `end`, both included. Fails when begin is after end."""
-    return bounds.select(F.explode(F.sequence(F.to_date(begin), F.to_date(end))).alias("date"))
+    every_day = F.sequence(F.to_date(begin), F.to_date(end), F.expr("INTERVAL 1 DAY"))
+    return bounds.select(F.explode(every_day).alias("date"))
 
 
 def calendar(days: DataFrame, holidays: DataFrame) -> DataFrame:

@@ -1,0 +1,186 @@
+"""The views on small hand-made frames, with the odd cases in them."""
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from dayblotter.operators.calendar import calendar_for, known_holidays
+from dayblotter.plans import questions, views
+from dayblotter.schemas import INCIDENTS, struct
+
+
+def incidents(spark, schema, rows):
+    return spark.createDataFrame([(f"c{i}", *row) for i, row in enumerate(rows)], struct(f"crime_id string, {schema}"))
+
+
+def occurred(spark, *stamps):
+    rows = [(s and datetime.fromisoformat(s),) for s in stamps]
+    return incidents(spark, "date_of_occurrence timestamp_ntz", rows)
+
+
+def january(spark):
+    return calendar_for(spark, "2023-01-01", "2023-01-31", known_holidays(spark))
+
+
+def test_calendar_view_keeps_every_incident(spark, rows):
+    df = occurred(spark, "2023-01-02T23:59:59", "2022-12-31T10:00:00", None)
+    got = views.incident_calendar(df, january(spark))
+    assert got.columns == [
+        "crime_id", "date_of_occurrence", "year", "day", "month", "day_of_week_name", "month_name",
+        "day_of_week", "holiday_name",
+    ]
+    assert rows(got.drop("date_of_occurrence")) == [
+        ("c0", 2023, 2, 1, "Monday", "January", 0, "New Year's Day"),
+        ("c1", None, None, None, None, None, None, None),
+        ("c2", None, None, None, None, None, None, None),
+    ]
+
+
+def test_calendar_view_in_its_older_shape(spark):
+    full = spark.createDataFrame([], INCIDENTS)
+    assert len(views.incident_calendar(full, january(spark)).columns) == 27
+    older = views.incident_calendar(full, january(spark), weekday_as_month_name=True)
+    assert len(older.columns) == 26 and "day_of_week_name" not in older.columns
+    got = views.incident_calendar(occurred(spark, "2023-01-02T00:00:00"), january(spark), True)
+    assert got.first().month_name == "Monday"
+
+
+def test_time_of_day_view_adds_one_column(spark):
+    full = spark.createDataFrame([], INCIDENTS)
+    assert views.incident_time_of_day(full).columns == [*INCIDENTS.names, "time_of_day"]
+
+
+def test_growth_over_a_gap_and_a_year(spark):
+    stamps = (
+        ["2022-11-05T01:00:00"] * 2
+        + ["2023-01-05T01:00:00"] * 25  # December has none; 25 is 1150 percent more than 2
+        + ["2023-02-05T01:00:00"] * 24
+        + ["2023-02-06T01:00:00"] * 1
+        + ["2023-03-05T01:00:00"] * 24
+        + ["2024-06-01T00:00:00"]  # outside the calendar
+    )
+    calendar = calendar_for(spark, "2022-01-01", "2023-12-31", known_holidays(spark))
+    got = views.monthly_growth(occurred(spark, *stamps, None), calendar).drop("crime_growth_percent").collect()
+    assert [tuple(r) for r in got] == [
+        (11, 2022, 2, None, None, None),
+        (1, 2023, 25, 2, 23, " ###.##%"),
+        (2, 2023, 25, 25, 0, "   0.00%"),
+        (3, 2023, 24, 25, -1, "  -4.00%"),
+    ]
+
+
+def test_small_drop_keeps_its_sign(spark):
+    stamps = ["2023-01-05T01:00:00"] * 250 + ["2023-02-05T01:00:00"] * 249
+    calendar = calendar_for(spark, "2023-01-01", "2023-12-31", known_holidays(spark))
+    got = views.monthly_growth(occurred(spark, *stamps), calendar).collect()
+    assert got[1].crime_growth == "  -0.40%" and got[1].crime_growth_percent == -0.4
+
+
+def test_holiday_mean(spark, rows):
+    stamps = ["2023-01-02T10:00:00"] * 5 + ["2023-01-03T10:00:00"] * 2 + ["2023-01-04T10:00:00"]
+    df = occurred(spark, *stamps, "2024-01-01T00:00:00")
+    calendar = calendar_for(spark, "2023-01-01", "2023-01-05", known_holidays(spark))
+    assert rows(views.holiday_mean(df, calendar)) == [(1.5, "N"), (5.0, "Y")]
+    # Two of four ordinary days had no incident.
+    assert rows(views.holiday_mean(df, calendar, include_zero_days=True)) == [(0.75, "N"), (5.0, "Y")]
+
+
+def stations(spark):
+    keys = ["7", "18", "19", "Headquarters", "3"]
+    return spark.createDataFrame(
+        [(k, f"name {k}", f"address {k}", 60600, None) for k in keys],
+        struct("district string, district_name string, address string, zip int, phone string"),
+    )
+
+
+def beats(spark, counts):
+    rows = [row for beat, arrests, others in counts for row in [(beat, "Y")] * arrests + [(beat, "N")] * others]
+    return incidents(spark, "beat int, arrest string", rows)
+
+
+def test_station_rank(spark, rows):
+    df = beats(
+        spark,
+        [
+            (733, 1, 2), (799, 0, 3),  # district 7: 1 of 6, 16.67 percent
+            (1811, 2, 10), # district 18: 2 of 12, the same ratio
+            (1900, 0, 4),  # no arrest: left out
+            (300, 5, 0),  # district 3: all of them
+            (2500, 9, 0),  # no station
+            (None, 3, 0),
+        ],
+    )
+    got = views.station_rank(df, stations(spark)).drop("district_name", "address", "zip", "phone")
+    assert rows(got) == [
+        ("18", 2, 12, "  16.67%", 2, 2, 3),
+        ("3", 5, 5, " 100.00%", 1, 3, 1),
+        ("7", 1, 6, "  16.67%", 2, 1, 2),
+    ]
+
+
+def test_ratios_tie_when_equal_after_cutting(spark):
+    # 33.3366 and 33.3333 percent are both 3333 hundredths once cut.
+    df = beats(spark, [(700, 3334, 6667), (1800, 1, 2)])
+    got = {r.district: r for r in views.station_rank(df, stations(spark)).collect()}
+    assert (got["7"].arrest_percentage, got["18"].arrest_percentage) == ("  33.34%", "  33.33%")
+    assert got["7"].arrest_ratio_rank == got["18"].arrest_ratio_rank == 1
+
+
+def test_ward_summary(spark):
+    wards = spark.createDataFrame([(w, f"a{w}") for w in (1, 2, 3, 4, 9)], struct("ward int, alderman string"))
+    df = incidents(
+        spark,
+        "ward int, primary_description string",
+        [(1, "THEFT")] * 3 + [(1, "ARSON")] * 2 + [(1, "BATTERY")] * 2  # tie for the second place
+        + [(2, "THEFT")]  # one type
+        + [(3, "B"), (3, "A")] + [(3, None)] * 5  # a missing type is a type
+        + [(4, "X")] * 7  # total as in 1 and 3
+        + [(5, "X")] * 9 + [(None, "X")] * 3,  # no such ward
+    )
+    got = views.ward_summary(df, wards)
+    assert [tuple(r) for r in got.collect()] == [
+        (1, "a1", "THEFT", "ARSON", 7, 1),
+        (2, "a2", "THEFT", None, 1, 2),
+        (3, "a3", None, "A", 7, 1),
+        (4, "a4", "X", None, 7, 1),
+    ]
+
+
+def test_questions_order_by_count(spark):
+    df = occurred(spark, *["2023-01-02T10:00:00"] * 2, "2023-01-03T20:00:00", "2023-01-10T21:00:00", "2023-01-10T22:00:00")
+    weekdays = questions.busiest_weekday(df, january(spark)).collect()
+    assert [tuple(r) for r in weekdays] == [(1, "Tuesday", 3), (0, "Monday", 2)]
+    assert [tuple(r) for r in questions.busiest_time_of_day(df).collect()] == [("evening", 3), ("morning", 2)]
+    assert [tuple(r) for r in questions.holidays_by_count(df, january(spark)).collect()] == [("New Year's Day", 2)]
+    assert [tuple(r) for r in questions.busiest_month(df, january(spark)).collect()] == [(1, "January", 5)]
+
+
+def test_beats_by_chosen_types(spark):
+    df = incidents(
+        spark, "beat int, primary_description string",
+        [(1, "A"), (2, "A"), (2, "B"), (3, "C"), (None, "A")],
+    )
+    got = questions.beats_by_type(df, ["A", "B"]).collect()
+    assert [tuple(r) for r in got] == [(2, 2), (1, 1), (None, 1)]
+
+
+def test_one_hot_ward_among_many(spark):
+    """A third of all incidents in one ward: same answer as counting in Python."""
+    df = spark.range(30000).select(
+        F.col("id").cast("string").alias("crime_id"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast("int").alias("ward"),
+        F.concat(F.lit("t"), (F.col("id") * F.col("id")) % 1009).alias("primary_description"),
+    )
+    wards = spark.range(50).select(F.col("id").cast("int").alias("ward"), F.lit("a").alias("alderman"))
+    counts = {}
+    for i in range(30000):
+        ward = 0 if i % 3 == 0 else i % 50
+        kinds = counts.setdefault(ward, {})
+        kind = f"t{(i * i) % 1009}"
+        kinds[kind] = kinds.get(kind, 0) + 1
+    got = {r.ward: r for r in views.ward_summary(df, wards).collect()}
+    assert set(got) == set(counts)
+    for ward, kinds in counts.items():
+        best = sorted(kinds, key=lambda k: (-kinds[k], k))[:2]
+        assert [got[ward].dist_most_popular_crime, got[ward].dist_second_most_popular_crime] == best
+        assert got[ward].dist_total_crimes == sum(kinds.values())
