@@ -54,9 +54,8 @@ def millisecond_text(ts: Column) -> Column:
 
 def utc_wall_clock(instant: Column) -> Column:
     """timestamp -> timestamp_ntz reading UTC, counted from the epoch so that no zone is involved."""
-    seconds = (F.unix_micros(instant) / F.lit(1000000).cast("decimal(7,0)")).cast("decimal(18,6)")
-    zero = F.lit(0)
-    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def time_of_day(ts: Column) -> Column:

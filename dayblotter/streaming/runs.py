@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from typing import Protocol
 
@@ -13,9 +14,8 @@ from dayblotter.fixed_values import CALENDAR_BEGIN, CALENDAR_END
 from dayblotter.functions import dates
 from dayblotter.functions.columns import conform, missing_to_null
 from dayblotter.operators.calendar import calendar_for, parse_holidays
-from dayblotter.operators.incremental import high_water
 from dayblotter.operators.reshape import incidents_from_feed
-from dayblotter.plans.registry import register_views
+from dayblotter.plans.registry import register_sql_folder, register_views
 from dayblotter.sinks.audit import RunLog
 from dayblotter.sinks.keyed import KeyedTable
 from dayblotter.session import path_exists
@@ -71,42 +71,51 @@ class IncidentStore:
         failed is started over and leaves no weeks behind.
         """
         self.incidents.create()
-        mark = high_water(
-            self.incidents.read().select(dates.utc_wall_clock(F.col("updated_at")).alias("mark")), "mark"
-        )
-        if mark is None:
-            column = "date_of_occurrence"
+        since = self._next_change()
+        if since is None:
+            kind, column = "backfill", "date_of_occurrence"
             start, end = feed.extreme("min", column), feed.extreme("max", column)
-            kind = "backfill"
         else:
-            column = ":updated_at"
-            start = self._after(mark)
-            end = feed.extreme("max", column)
-            kind = "changes"
+            kind, column = "changes", ":updated_at"
+            start, end = since, feed.extreme("max", column)
         if not start or not end or start > end:
             return "nothing new"
         self.incidents.upsert(incidents_from_feed(feed.between(column, start, end)))
         return kind
 
-    def _after(self, mark) -> str:
-        """The next millisecond as text: the feed's stamps are no finer."""
-        following = F.lit(mark) + F.expr("INTERVAL '0.001' SECOND")
-        return self.spark.range(1).select(dates.millisecond_text(following)).first()[0]
+    def _next_change(self) -> str | None:
+        """A millisecond after the newest change stored, as text; the feed's stamps are no finer."""
+        newest = self.incidents.read().agg(F.max("updated_at").alias("newest"))
+        following = dates.utc_wall_clock(F.col("newest")) + F.expr("INTERVAL '0.001' SECOND")
+        return newest.select(dates.millisecond_text(following)).first()[0]
 
-    def run(self, feed: Feed, name: str, config: dict) -> str:
+    def run(
+        self, feed: Feed, name: str, config: dict, sql_folder: str | None = None
+    ) -> str:
         """Dimensions, incidents and views, with a record of the start and of the end.
 
-        `config` holds the arguments of `load_dimensions`. A failure is recorded and raised.
+        `config` holds the arguments of `load_dimensions`; views of the user's own come from
+        `sql_folder`. A failure is recorded and raised.
         """
         log = RunLog(self.spark, f"{self.root}/{schemas.RUN_TABLE.name}", name, config)
         run_id = log.next_run_id()
         log.record(run_id, "start")
+        began, steps = time.monotonic(), []
+
+        def done(step: str) -> None:
+            steps.append(f"{time.monotonic() - began:.1f} s: {step}")
+
         try:
             dimensions = self.load_dimensions(**config)
+            done("dimensions")
             kind = self.refresh(feed)
-            register_views(self.incidents.read(), **dimensions)
+            done(f"incidents: {kind}")
+            named = list(register_views(self.incidents.read(), **dimensions))
+            named += register_sql_folder(self.spark, sql_folder) if sql_folder else []
+            done(f"views: {', '.join(named)}")
         except BaseException as error:
-            log.record(run_id, "fail", f"{type(error).__name__}: {error}")
+            done(f"{type(error).__name__}: {error}")
+            log.record(run_id, "fail", "\n".join(steps))
             raise
-        log.record(run_id, "success", kind)
+        log.record(run_id, "success", "\n".join(steps))
         return kind

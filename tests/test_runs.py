@@ -69,10 +69,12 @@ def test_two_runs(spark, tmp_path, config):
     assert store.run(feed, "incidents", config) == "changes"
     assert spark.table("ward_offices").count() == 1
     assert spark.table("police_rank_by_arrest").first().arrest_percentage == " 100.00%"
-    assert store.run(feed, "incidents", config) == "nothing new"
+    (tmp_path / "arrests.sql").write_text("select count(*) as n from crime_data where arrest = 'Y'")
+    assert store.run(feed, "incidents", config, str(tmp_path)) == "nothing new"
+    assert spark.table("arrests").first().n == 2
 
     log = spark.read.schema(RUNS).parquet(f"{store.root}/logs").orderBy("run_id", "status")
-    assert [(r.run_id, r.status, r.logs) for r in log.collect()] == [
+    assert [(r.run_id, r.status, r.logs and r.logs.split(": ")[3].split("\n")[0]) for r in log.collect()] == [
         (1, "start", None), (1, "success", "backfill"),
         (2, "start", None), (2, "success", "changes"),
         (3, "start", None), (3, "success", "nothing new"),
