@@ -204,7 +204,7 @@ def holiday_mean_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def view_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A view by name, and a user's SQL text on top of it."""
+    """The views by name, and a user's SQL text on top; customers are dealt out over the wards."""
     registry.register_views(
         order_incidents(spark, sf_dir).withColumn("ward", F.pmod("beat", F.lit(25))),
         order_calendar(spark, sf_dir),

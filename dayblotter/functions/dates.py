@@ -61,7 +61,7 @@ def utc_wall_clock(instant: Column) -> Column:
 def time_of_day(ts: Column) -> Column:
     """Label of the six-hour part of the day, 'unknown' when there is no time."""
     hour = F.hour(ts)
-    label = F
-    for first, after, name in TIME_OF_DAY:
-        label = label.when((hour >= first) & (hour < after), name)
-    return label.otherwise(TIME_OF_DAY_MISSING)
+    label = F.when(hour.isNull(), TIME_OF_DAY_MISSING)
+    for _, after, name in TIME_OF_DAY:
+        label = label.when(hour < after, name)
+    return label

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayblotter.session import shared_folder
+from dayblotter.session import new_folder
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within partition below
 
@@ -13,15 +13,15 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within parti
 def number_rows(df: DataFrame, key: str, name: str = "row_number") -> DataFrame:
     """Rows numbered from 0 in the order of a unique key.
 
-    One range shuffle sorts the table. The sorted rows are checkpointed, because where the ranges
-    are cut comes from a sample and must not move between the two reads that follow. The window
-    without a partition sums a row per range, never a row of the table.
+    One range shuffle sorts the table. The sorted rows are written to the shared folder, because
+    where the ranges are cut comes from a sample and must not move between the two reads that
+    follow. The window without a partition sums a row per range, never a row of the table.
     """
-    shared_folder(df.sparkSession)
+    spark = df.sparkSession
+    folder = new_folder(spark, "ordered")
     place = F.monotonically_increasing_id()
-    ordered = (
-        df.repartitionByRange(key).sortWithinPartitions(key).withColumn("_place", place).checkpoint()
-    )
+    df.repartitionByRange(key).sortWithinPartitions(key).withColumn("_place", place).write.parquet(folder)
+    ordered = spark.read.parquet(folder)
     part = F.shiftright("_place", _ROW_BITS).alias("_part")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

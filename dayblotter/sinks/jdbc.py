@@ -9,13 +9,25 @@ from dayblotter.functions.columns import missing_to_null
 
 
 def jdbc_options(
-    url: str, table: str, user: str, password: str, batch_rows: int = WRITE_BATCH_ROWS
+    url: str,
+    table: str,
+    user: str,
+    password: str,
+    batch_rows: int = WRITE_BATCH_ROWS,
+    connections: int = 8,
 ) -> dict[str, str]:
+    """`batch_rows` go in one statement, `connections` tasks write at a time."""
     if batch_rows <= 0:
         raise ValueError("a batch holds at least one row")
-    return {"url": url, "dbtable": table, "user": user, "password": password, "batchsize": str(batch_rows)}
+    return {
+        "url": url,
+        "dbtable": table,
+        "user": user,
+        "password": password,
+        "batchsize": str(batch_rows),
+        "numPartitions": str(connections),
+    }
 
 
-def append_jdbc(df: DataFrame, options: dict[str, str], connections: int = 8) -> None:
-    """Every task sends its rows in batches; `connections` bounds how many write at a time."""
-    missing_to_null(df).coalesce(connections).write.format("jdbc").options(**options).mode("append").save()
+def append_jdbc(df: DataFrame, options: dict[str, str]) -> None:
+    missing_to_null(df).write.format("jdbc").options(**options).mode("append").save()

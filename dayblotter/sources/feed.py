@@ -89,16 +89,14 @@ def _moment(text: str) -> datetime:
 
 
 def _windows(start: str, end: str, days: int) -> Iterator[tuple[str, str]]:
-    """The request windows; the same cut as `operators.timeranges.split_span`."""
+    """The request windows, cut as `operators.timeranges.split_span` cuts; one when start is end."""
     if days <= 0:
         raise ValueError("a window must be at least one day long")
-    begin, last, step = _moment(start), _moment(end), timedelta(days=days)
-    if begin == last:
-        yield start, end
-    while begin < last:
-        after = begin + step
-        yield _text(begin), _text(last if after >= last else after - timedelta(milliseconds=1))
-        begin = after
+    first, last, step = _moment(start), _moment(end), timedelta(days=days)
+    count = max(-((first - last) // step), 1)
+    begins = [first + number * step for number in range(count)]
+    closes = [begin - timedelta(milliseconds=1) for begin in begins[1:]]
+    yield from zip(map(_text, begins), map(_text, [*closes, last]))
 
 
 @dataclass

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from dayblotter.functions import dates
 from dayblotter.operators.reshape import incidents_from_feed
-from dayblotter.schemas import INCIDENT_TABLE
+from dayblotter.operators.timeranges import split_span
+from dayblotter.schemas import INCIDENT_TABLE, struct
 from dayblotter.session import new_folder
 from dayblotter.sinks.keyed import KeyedTable
 from dayblotter.sources.feed import FeedReader, FLAT_FEED, HttpTransport, PagedFeed, _windows
@@ -102,6 +103,16 @@ def test_both_ends_of_a_window_are_inside(spark):
     assert [r[0] for r in feed.between("date_of_occurrence", only, only).select("`:id`").collect()] == ["row-00002"]
 
 
+def test_windows_are_those_of_the_splitter(spark):
+    for length in (timedelta(days=14), timedelta(days=20, hours=1), timedelta(milliseconds=1), timedelta(days=7)):
+        ends = spark.createDataFrame([(BEGIN, BEGIN + length)], struct("a timestamp_ntz, b timestamp_ntz"))
+        pieces = split_span(ends, "a", "b", 7).orderBy("piece").collect()
+        cut = list(_windows(stamp(BEGIN), stamp(BEGIN + length), 7))
+        assert cut == [(stamp(p.start_time), stamp(p.end_time)) for p in pieces]
+    with pytest.raises(ValueError):
+        list(_windows(stamp(BEGIN), stamp(BEGIN), 0))
+
+
 def test_hot_window_is_split_and_every_page_is_read_once():
     reader = FeedReader(transport(records(300)), FLAT_FEED, 10, 3, None)
     blocks = reader.plan("date_of_occurrence", _windows(stamp(BEGIN), stamp(BEGIN + timedelta(days=28)), 7))
