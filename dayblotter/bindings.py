@@ -7,6 +7,7 @@ tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,9 @@ from dayblotter.operators import incremental, paging, ranking, timeranges, upser
 from dayblotter.operators.calendar import calendar, calendar_for, days_between, known_holidays
 from dayblotter.operators.reshape import incidents_from_feed
 from dayblotter.plans import questions, registry, views
-from dayblotter.schemas import RAW_FEED, TableSpec, struct
-from dayblotter.session import new_folder
-from dayblotter.sinks.keyed import KeyedTable
+from dayblotter.schemas import INCIDENT_TABLE, RAW_FEED, TableSpec, struct
+from dayblotter.session import new_folder, stored_bytes
+from dayblotter.sinks.keyed import KeyedTable, buckets_for
 from dayblotter.sources.feed import LandedFeed
 from dayblotter.sources.files import read_csv, read_pages
 from dayblotter.streaming.runs import IncidentStore
@@ -46,6 +47,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- frames ------------------------------------------------------------------------------------
 
 
+def keyed_spec(
+    spark: SparkSession, sf_dir: str, name: str, keys: tuple[str, ...], newest: tuple[str, ...]
+) -> TableSpec:
+    """A keyed table of the rows of a test table, with buckets to suit its size."""
+    buckets = buckets_for(stored_bytes(spark, f"{sf_dir}/{name}.parquet"))
+    return TableSpec(name, table(spark, sf_dir, name).schema, keys, newest, buckets)
+
+
 def event_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("crime_id"),
@@ -513,7 +522,7 @@ def merge_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merge on a stored table."""
     orders = table(spark, sf_dir, "orders")
-    spec = TableSpec("orders", orders.schema, ("o_orderkey",), ("o_orderdate",))
+    spec = keyed_spec(spark, sf_dir, "orders", ("o_orderkey",), ("o_orderdate",))
     stored = KeyedTable(spark, new_folder(spark, "orders"), spec).create()
     stored.upsert(orders)
     stored.upsert(order_changes(orders))
@@ -532,7 +541,8 @@ def incremental_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 def store_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A backfill, then a later run that brings in new and corrected incidents."""
     events = table(spark, sf_dir, "events")
-    store = IncidentStore(spark, new_folder(spark, "store"))
+    buckets = buckets_for(stored_bytes(spark, f"{sf_dir}/events.parquet"))
+    store = IncidentStore(spark, new_folder(spark, "store"), replace(INCIDENT_TABLE, buckets=buckets))
     earlier = events.where(F.col("ts") < F.lit(SPLIT_TIME).cast("timestamp_ntz"))
     store.refresh(LandedFeed(raw_feed(earlier, corrected=False)))
     store.refresh(LandedFeed(raw_feed(events, corrected=True)))
@@ -542,14 +552,12 @@ def store_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of event files keeps the newest event of every user and kind."""
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    spec = TableSpec("events", schema, ("user_id", "event_type"), ("ts", "event_id"))
+    spec = keyed_spec(spark, sf_dir, "events", ("user_id", "event_type"), ("ts", "event_id"))
     folder = new_folder(spark, "stream")
     newest = KeyedTable(spark, f"{folder}/events", spec)
     # As a glob the path may name one file as well as a folder of files.
     files = f"{sf_dir}/events.parque[t]"
-    changes = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(files)
+    changes = spark.readStream.schema(spec.schema).option("maxFilesPerTrigger", 1000).parquet(files)
     stream_upserts(changes, newest, f"{folder}/checkpoint", interval=None).awaitTermination()
     return newest.read()
 

@@ -34,13 +34,15 @@ def has_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def register_sql_folder(spark: SparkSession, folder: str | Path) -> list[str]:
+def register_sql_folder(spark: SparkSession, folder: str | Path, persist: bool = False) -> list[str]:
     """One view per .sql file, named after the file; a changed file replaces its view.
 
-    The folder belongs to the program that runs the driver.
+    The folder belongs to the program that runs the driver. Views last for the session; with
+    `persist` they go to the catalog, which takes them only over tables it has.
     """
+    kind = "VIEW" if persist else "TEMPORARY VIEW"
     files = sorted(Path(folder).glob("*.sql"))
     for file in files:
         text = file.read_text().strip().rstrip(";")
-        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{file.stem}` AS {text}")
+        spark.sql(f"CREATE OR REPLACE {kind} `{file.stem}` AS {text}")
     return [file.stem for file in files]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +54,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    files, hadoop_path = _hadoop_path(spark, path)
+    return files.getContentSummary(hadoop_path).getLength()
+
+
 def has_folders(spark: SparkSession, path: str) -> bool:
     files, hadoop_path = _hadoop_path(spark, path)
     return any(found.isDirectory() for found in files.listStatus(hadoop_path))
@@ -61,12 +67,26 @@ def has_folders(spark: SparkSession, path: str) -> bool:
 def move_folders(spark: SparkSession, source: str, target: str) -> None:
     """Every folder in `source` takes the place of its namesake in `target`; then `source` goes.
 
-    Names are moved, not data. Broken off anywhere, it can be run again.
+    Names are moved, not data; when nothing of `target` stays, that is a single move. Broken off
+    anywhere, it can be run again.
     """
     files, source_path = _hadoop_path(spark, source)
-    for found in files.listStatus(source_path):
-        if found.isDirectory():
-            _, place = _hadoop_path(spark, f"{target}/{found.getPath().getName()}")
-            files.delete(place, True)
-            files.rename(found.getPath(), place)
+    _, target_path = _hadoop_path(spark, target)
+
+    def names(path) -> set[str]:
+        return {found.getPath().getName() for found in files.listStatus(path) if found.isDirectory()}
+
+    arrived = names(source_path)
+    if not files.exists(target_path) or names(target_path) <= arrived:
+        files.delete(target_path, True)
+        files.rename(source_path, target_path)
+        return
+
+    def move(name: str) -> None:
+        _, place = _hadoop_path(spark, f"{target}/{name}")
+        files.delete(place, True)
+        files.rename(_hadoop_path(spark, f"{source}/{name}")[1], place)
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, sorted(arrived)))
     files.delete(source_path, True)

@@ -19,6 +19,11 @@ from dayblotter.session import has_folders, move_folders, path_exists
 _BUCKET = "_bucket"
 
 
+def buckets_for(stored: int) -> int:
+    """Buckets for a table that will hold this many bytes: 256 MB each, larger ones from 25 TB on."""
+    return max(8, min(100_000, -(-stored // (256 << 20))))
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec) -> None:
         self.spark, self.spec = spark, spec
@@ -32,8 +37,8 @@ class KeyedTable:
     def create(self) -> KeyedTable:
         """Declare the table if it is not there, and finish what a writer that died left behind.
 
-        The bucket count is set here for good: as declared, else as many as a shuffle of this
-        cluster has partitions. A bucket should hold a task's worth of rows, about 1 GB.
+        The bucket count is set here for good: as declared, see `buckets_for`, else as many as a
+        shuffle of this cluster has partitions.
         """
         if self.exists():
             self._move_in_pending()
@@ -79,7 +84,9 @@ class KeyedTable:
         touched = [row[0] for row in incoming.select(_BUCKET).distinct().collect()]
         if not touched:
             return None
-        target = self._rows(self.data).where(F.col(_BUCKET).isin(touched))
+        target = self._rows(self.data)
+        if len(touched) < buckets:
+            target = target.where(f"{_BUCKET} in ({', '.join(map(str, touched))})")
         both, order = stack_changes(target, incoming, self.spec.newest, stale)
         # Rows go by bucket once; grouping by bucket and key and writing by bucket follow that
         # layout without another shuffle. Keys are unique on both sides, so no bucket is hot.

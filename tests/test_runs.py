@@ -5,9 +5,10 @@ import json
 import pytest
 
 from dayblotter.plans.registry import has_view, register_sql_folder
-from dayblotter.schemas import RAW_FEED, RUNS
+from dayblotter.schemas import RAW_FEED, RUNS, TableSpec, struct
 from dayblotter.session import new_folder, shared_folder
 from dayblotter.sinks.audit import RunLog
+from dayblotter.sinks.declare import declare_table
 from dayblotter.sources.feed import LandedFeed
 from dayblotter.sources.files import read_pages
 from dayblotter.streaming.runs import IncidentStore
@@ -114,5 +115,15 @@ def test_changed_sql_replaces_its_view(spark, tmp_path):
     assert spark.table("one_row").first().a == 2
 
 
+def test_views_in_the_catalog(spark, tmp_path):
+    spec = TableSpec("kept", struct("k string, n int"), ("k",))
+    declare_table(spark, spec, new_folder(spark, "kept"))
+    spark.sql("insert into kept values ('a', 1), ('a', 2)")
+    (tmp_path / "kept_totals.sql").write_text("select k, sum(n) as total from kept group by k;")
+    assert register_sql_folder(spark, tmp_path, persist=True) == ["kept_totals"]
+    assert [t.isTemporary for t in spark.catalog.listTables() if t.name == "kept_totals"] == [False]
+    assert tuple(spark.table("kept_totals").first()) == ("a", 3)
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
