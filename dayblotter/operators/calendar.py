@@ -31,7 +31,10 @@ def parse_holidays(raw: DataFrame) -> DataFrame:
 
 
 def days_between(bounds: DataFrame, begin: str, end: str) -> DataFrame:
-    """One row per day from `begin` to `end`, both included. Fails when begin is after end."""
+    """One row per day from `begin` to `end`, both included. Fails when begin is after end.
+
+    Spark's dates end with the year 9999, so there are at most 3.7 million days, whatever the data.
+    """
     every_day = F.sequence(F.to_date(begin), F.to_date(end), F.expr("INTERVAL 1 DAY"))
     return bounds.select(F.explode(every_day).alias("date"))
 

@@ -13,6 +13,7 @@ def register_views(
     incidents: DataFrame, calendar: DataFrame, stations: DataFrame, wards: DataFrame
 ) -> dict[str, DataFrame]:
     """The four tables and the six views under the names queries know them by."""
+    # The names.
     named = {
         "crime_data": incidents,
         "date": calendar,
