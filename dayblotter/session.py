@@ -54,6 +54,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, hadoop_path = _hadoop_path(spark, path)
+    files.mkdirs(hadoop_path)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     files, hadoop_path = _hadoop_path(spark, path)
     return files.getContentSummary(hadoop_path).getLength()

@@ -7,6 +7,8 @@ changes fall in and no others. One writer at a time.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from dayblotter.functions.columns import conform, missing_to_null, quoted
 from dayblotter.operators.upsert import latest_per_key, stack_changes
 from dayblotter.schemas import TableSpec
-from dayblotter.session import has_folders, move_folders, path_exists
+from dayblotter.session import has_folders, make_folder, move_folders, path_exists
 
 _BUCKET = "_bucket"
 
@@ -26,7 +28,7 @@ def buckets_for(stored: int) -> int:
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec) -> None:
-        self.spark, self.spec = spark, spec
+        self.spark, self.path, self.spec = spark, path, spec
         self.data, self.incoming = f"{path}/data", f"{path}/incoming"
         self.pending, self.declared = f"{path}/pending", f"{path}/declared"
         self.stored = T.StructType([*spec.schema.fields, T.StructField(_BUCKET, T.IntegerType())])
@@ -44,11 +46,12 @@ class KeyedTable:
             self._move_in_pending()
             return self
         buckets = self.spec.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.spark.createDataFrame([], self.stored).coalesce(1).write.mode("overwrite").parquet(self.data)
+        make_folder(self.spark, self.data)
         one = self.spark.range(0, 1, 1, 1).select(F.lit(buckets).alias("buckets"))
         one.write.mode("overwrite").json(self.declared)
         return self
 
+    @cached_property
     def buckets(self) -> int:
         return self.spark.read.schema("buckets int").json(self.declared).first()[0]
 
@@ -62,20 +65,19 @@ class KeyedTable:
         before the move is as if it never ran; one that dies within is finished by the next writer.
         """
         self._move_in_pending()
-        buckets = self.buckets()
         arriving = missing_to_null(conform(changes, self.spec.schema))
         newest = latest_per_key(arriving, self.spec.keys, self.spec.newest).withColumn(
-            _BUCKET, self._bucket(buckets)
+            _BUCKET, self._bucket()
         )
         if has_folders(self.spark, self.data):
-            merged = self._merged(newest, buckets, stale)
+            merged = self._merged(newest, stale)
         else:
-            merged = newest.repartitionById(buckets, _BUCKET)
+            merged = newest.repartitionById(self.buckets, _BUCKET)
         if merged is not None:
             merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(self.pending)
             self._move_in_pending()
 
-    def _merged(self, newest: DataFrame, buckets: int, stale: str) -> DataFrame | None:
+    def _merged(self, newest: DataFrame, stale: str) -> DataFrame | None:
         """The touched buckets with the changes in them, one task a bucket."""
         # Written down, so that a fetched feed is fetched once.
         newest.write.mode("overwrite").parquet(self.incoming)
@@ -85,20 +87,20 @@ class KeyedTable:
         if not touched:
             return None
         target = self._rows(self.data)
-        if len(touched) < buckets:
+        if len(touched) < self.buckets:
             target = target.where(f"{_BUCKET} in ({', '.join(map(str, touched))})")
         both, order = stack_changes(target, incoming, self.spec.newest, stale)
         # Rows go by bucket once; grouping by bucket and key and writing by bucket follow that
         # layout without another shuffle. Keys are unique on both sides, so no bucket is hot.
-        if len(touched) == buckets:
-            by_bucket = both.repartitionById(buckets, _BUCKET)
+        if len(touched) == self.buckets:
+            by_bucket = both.repartitionById(self.buckets, _BUCKET)
         else:
             by_bucket = both.repartition(len(touched), _BUCKET)
         return latest_per_key(by_bucket, [_BUCKET, *self.spec.keys], order).drop("_incoming")
 
-    def _bucket(self, buckets: int) -> Column:
+    def _bucket(self) -> Column:
         key_hash = F.xxhash64(*[quoted(key) for key in self.spec.keys])
-        return F.pmod(key_hash, F.lit(buckets)).cast("int")
+        return F.pmod(key_hash, F.lit(self.buckets)).cast("int")
 
     def _rows(self, path: str) -> DataFrame:
         return self.spark.read.schema(self.stored).parquet(path)

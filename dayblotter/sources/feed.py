@@ -254,9 +254,9 @@ class PagedFeed:
     def __post_init__(self) -> None:
         self.spark.dataSource.register(feed_source(self.transport, self.name))
 
-    def extreme(self, which: str, column: str) -> str | None:
-        found = self.transport.extreme(which, column)
-        return found and found.removesuffix("Z")
+    def bounds(self, column: str) -> tuple[str | None, str | None]:
+        least, greatest = (self.transport.extreme(which, column) for which in ("min", "max"))
+        return least and least.removesuffix("Z"), greatest and greatest.removesuffix("Z")
 
     def between(self, column: str, start: str, end: str) -> DataFrame:
         options = {"column": column, "start": start, "end": end, "days": self.days, "limit": self.limit}
@@ -274,10 +274,9 @@ class LandedFeed:
 
     pages: DataFrame
 
-    def extreme(self, which: str, column: str) -> str | None:
-        wanted = {"min": F.min, "max": F.max}[which]
-        found = self.pages.agg(wanted(quoted(column))).first()[0]
-        return found and found.removesuffix("Z")
+    def bounds(self, column: str) -> tuple[str | None, str | None]:
+        text = F.rtrim(F.col(quoted(column)), F.lit("Z"))
+        return tuple(self.pages.agg(F.min(text), F.max(text)).first())
 
     def between(self, column: str, start: str, end: str) -> DataFrame:
         """ISO text sorts as time does; a trailing Z is cut before comparing."""

@@ -23,7 +23,7 @@ from dayblotter.sources.files import read_csv
 
 
 class Feed(Protocol):
-    def extreme(self, which: str, column: str) -> str | None: ...
+    def bounds(self, column: str) -> tuple[str | None, str | None]: ...
 
     def between(self, column: str, start: str, end: str) -> DataFrame: ...
 
@@ -74,10 +74,10 @@ class IncidentStore:
         since = self._next_change()
         if since is None:
             kind, column = "backfill", "date_of_occurrence"
-            start, end = feed.extreme("min", column), feed.extreme("max", column)
+            start, end = feed.bounds(column)
         else:
             kind, column = "changes", ":updated_at"
-            start, end = since, feed.extreme("max", column)
+            start, end = since, feed.bounds(column)[1]
         if not start or not end or start > end:
             return "nothing new"
         self.incidents.upsert(incidents_from_feed(feed.between(column, start, end)))

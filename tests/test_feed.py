@@ -85,7 +85,7 @@ def transport(found, **more):
 def test_whole_feed_through_many_small_pages(spark):
     made = records(300)
     feed = PagedFeed(spark, transport(made), "feed_small", days=7, limit=10)
-    start, end = (feed.extreme(which, "date_of_occurrence") for which in ("min", "max"))
+    start, end = feed.bounds("date_of_occurrence")
     assert (start, end) == (min(r["date_of_occurrence"] for r in made), max(r["date_of_occurrence"] for r in made))
     df = feed.between("date_of_occurrence", start, end)
     assert df.rdd.getNumPartitions() >= 4

@@ -102,10 +102,10 @@ def test_upsert_shuffles_rows_once_and_reads_only_touched_buckets(spark):
     spec = TableSpec("orders", orders.schema, ("o_orderkey",), ("o_orderdate",), buckets=8)
     stored = KeyedTable(spark, new_folder(spark, "orders"), spec).create()
     stored.upsert(orders)
-    some = orders.where("o_orderkey = 7").withColumn("_bucket", stored._bucket(8))
-    text = plan(stored._merged(some, 8, "keep"))
+    some = orders.where("o_orderkey = 7").withColumn("_bucket", stored._bucket())
+    text = plan(stored._merged(some, "keep"))
     assert shuffles(text) == 1
     assert re.search(r"PartitionFilters: \[isnotnull\(_bucket#\d+\), \(_bucket#\d+ = \d+\)\]", text)
-    every = orders.withColumn("_bucket", stored._bucket(8))
-    text = plan(stored._merged(every, 8, "keep"))
+    every = orders.withColumn("_bucket", stored._bucket())
+    text = plan(stored._merged(every, "keep"))
     assert shuffles(text) == 1 and "shufflepartitionidpassthrough" in text

@@ -111,10 +111,11 @@ def test_untouched_buckets_keep_their_files(spark):
 def test_bucket_count_comes_from_the_cluster_and_stays(spark):
     spec = TableSpec("t", SCHEMA, ("k",), ("updated_at", "version"))
     stored = table(spark, spec)
-    assert stored.buckets() == 4
+    assert stored.buckets == 4
     spark.conf.set("spark.sql.shuffle.partitions", "9")
     try:
-        assert stored.create().buckets() == 4
+        again = KeyedTable(spark, stored.path, spec).create()
+        assert again.buckets == 4
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
