@@ -24,11 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from dayblotter.llm.common import stored, table
+from dayblotter.llm.common import bounded_batches, stored, table
 
 WINDOW = 2048
 END_ID = 1
-_ROWS = 500  # documents whose ids are held at once
 _ADDED = ["start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -101,7 +100,7 @@ def best_fit_decreasing(counts: Mapping[int, int], window: int) -> list[tuple[in
     places, opened = [], 0
 
     def add(room: int, first: int, number: int) -> None:
-        if room:
+        if room and number:
             ranges[room].append((first, number))
             rooms.set(room, True)
 
@@ -110,30 +109,26 @@ def best_fit_decreasing(counts: Mapping[int, int], window: int) -> list[tuple[in
         while left:
             room = rooms.tightest(length)
             if room is None:
-                fit = window // length  # new windows fill up one after another
-                full, over = divmod(left, fit)
-                for place in range(fit):
-                    number = full + (place < over)
-                    if number:
-                        places.append((length, piece, number, opened, place * length))
-                        piece += number
-                if full:
-                    add(window - fit * length, opened, full)
-                if over:
-                    add(window - over * length, opened + full, 1)
-                    # The last window holds `over` pieces, counted above as one at each place.
-                opened += full + bool(over)
-                left = 0
-                continue
-            first, number = ranges[room].popleft()
-            taken = min(number, left)
-            if taken < number:
-                ranges[room].appendleft((first + taken, number - taken))
-            elif not ranges[room]:
+                room, first, number = window, opened, -(-left // (window // length))
+                opened += number
+            else:
+                first, number = ranges[room].popleft()
+            # Each window in turn is the tightest until it takes no more of this length.
+            fit = room // length
+            full = min(number, left // fit)
+            over = left - full * fit if full < number else 0
+            for place in range(fit):
+                taken = full + (place < over)
+                if taken:
+                    places.append((length, piece, taken, first, window - room + place * length))
+                    piece, left = piece + taken, left - taken
+            used = full + bool(over)
+            if used < number:
+                ranges[room].appendleft((first + used, number - used))
+            elif room < window and not ranges[room]:
                 rooms.set(room, False)
-            places.append((length, piece, taken, first, window - room))
-            add(room - length, first, taken)
-            piece, left = piece + taken, left - taken
+            add(room - fit * length, first, full)
+            add(room - over * length, first + full, bool(over))
     return places
 
 
@@ -159,6 +154,7 @@ def pack(
     is numbered in as many tasks as there are partitions; only numbers are shuffled for that. The
     plan has a row for each run of equal pieces, which the driver makes from one count per length.
     """
+    bounded_batches(docs.sparkSession)
     wanted = [n for n in carry or docs.columns if n.lower() not in _ADDED and (carry or n != text)]
     cut = stored(_cut(docs, tokenizer, wanted, text, window, end_id), "packing")
     rest = cut.where("sequence_id is null")
@@ -196,7 +192,7 @@ def _cut(docs, tokenizer, wanted, text, window, end_id) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, ids_of = TaskContext.get().partitionId(), tokenizer.load()
         row = full = 0
-        for batch in (held.iloc[at : at + _ROWS] for held in batches for at in range(0, len(held), _ROWS)):
+        for batch in batches:
             place, out = [], []
             for at, one in enumerate(batch["_text"]):
                 ids = np.array([*ids_of(one or ""), end_id], dtype="<u4")

@@ -1,0 +1,97 @@
+import math
+
+import numpy as np
+import pytest
+
+from dayblotter.llm import neighbours
+from dayblotter.llm.neighbours import chi_square_at, grown, nearest
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, queries, k):
+    out = {}
+    for number, vector in queries:
+        scored = sorted(
+            (-math.fsum(float(a) * float(b) for a, b in zip(vector, other)), n)
+            for n, other in rows
+            if n != number
+        )
+        out[number] = [(n, -score) for score, n in scored[:k]]
+    return out
+
+
+def answers(df):
+    out = {}
+    for row in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        out.setdefault(row["query_id"], []).append((row["vec_id"], row["score"]))
+        assert row["rank"] == len(out[row["query_id"]])
+    return out
+
+
+def vectors(count, width, seed, spread=1.0):
+    rng = np.random.default_rng(seed)
+    heads = rng.standard_normal((20, width))
+    points = heads[rng.integers(0, 20, count)] + spread * rng.standard_normal((count, width))
+    return [(n, point.astype("float32").tolist()) for n, point in enumerate(points)]
+
+
+@pytest.mark.parametrize("spread", [0.1, 1.0])
+def test_recall_over_many_blocks(spark, monkeypatch, spread):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 20)
+    monkeypatch.setattr(neighbours, "SAMPLE_ROWS", 500)
+    rows = vectors(1500, 24, 1, spread)  # of different lengths
+    df = spark.createDataFrame([(n, v, 0) for n, v in rows], SCHEMA)
+    got = answers(nearest(df, df.where("vec_id % 20 = 0"), neighbours=10))
+    exact = brute(rows, [one for one in rows if one[0] % 20 == 0], 10)
+    assert set(got) == set(exact)
+    hits = sum(len({n for n, _ in got[q]} & {n for n, _ in exact[q]}) for q in exact)
+    assert hits >= 0.95 * 10 * len(exact)
+    by_id = dict(rows)
+    for query, found in got.items():
+        assert len(found) == 10 and query not in [n for n, _ in found]
+        for number, score in found:
+            assert score == math.fsum(float(a) * float(b) for a, b in zip(by_id[query], by_id[number]))
+
+
+def test_copies_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 16)
+    rows = [(n, [1.0, 0.0]) for n in range(60)] + [(n, [0.0, 1.0]) for n in range(60, 100)] + [(0, [1.0, 0.0])]
+    df = spark.createDataFrame([(n, v, 0) for n, v in rows], SCHEMA)
+    got = answers(nearest(df, df.where("vec_id % 20 = 0"), neighbours=5))
+    assert [n for n, _ in got[0]] == [1, 2, 3, 4, 5]
+    assert [n for n, _ in got[40]] == [0, 1, 2, 3, 4]
+    assert [n for n, _ in got[80]] == [60, 61, 62, 63, 64]
+
+
+def test_rows_that_take_no_part(spark):
+    bad = [None, [], [0.0, 0.0], [None, 1.0], [float("nan"), 1.0], [float("inf"), 1.0], [1.0, 2.0, 3.0]]
+    rows = [(20 * n, v, 1) for n, v in enumerate(bad, 1)] + [(None, [1.0, 1.0], 1)]
+    rows += [(0, [1.0, 2.0], None), (1, [2.0, 1.0], 1), (2, [-1.0, -1.0], 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert answers(nearest(df, df.where("vec_id % 20 = 0"))) == {0: [(1, 4.0), (2, -3.0)]}
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert nearest(df, df).collect() == []
+    one = spark.createDataFrame([(0, [1.0], 1)], SCHEMA)
+    assert nearest(one, one).collect() == []
+    two = spark.createDataFrame([(0, [1.0], 1), (1, [2.0], 1)], SCHEMA)
+    assert nearest(two, two.where("false")).collect() == []
+
+
+def test_chi_square():
+    assert chi_square_at(0.95, 8) == pytest.approx(15.5073, abs=1e-3)
+    assert chi_square_at(0.5, 2) == pytest.approx(2 * math.log(2))
+
+
+def test_tree_holds_every_point_once():
+    points = np.random.default_rng(0).integers(0, 4, (300, 3)).astype(float)
+    tree, leaves = grown(points, 10, tight=True)
+    assert sorted(np.concatenate(leaves).tolist()) == list(range(300))
+    place = tree.leaf_of(points)
+    for number, rows in enumerate(leaves):
+        assert (place[rows] == number).all()
+        assert (points[rows] >= tree.boxes[0][number]).all() and (points[rows] <= tree.boxes[1][number]).all()
