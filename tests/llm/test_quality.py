@@ -1,0 +1,117 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+
+from dayblotter.llm.quality import BASE, RULES, fit, measures, op10_weak_quality, weak_quality
+from llm_data import frame, odd_rows, prose, with_clash, words
+
+
+def base(text):
+    found = words(text)
+    count = Counter(tuple(found[at : at + 3]) for at in range(len(found) - 2))
+    again = {at + k for at in range(len(found) - 2) if count[tuple(found[at : at + 3])] > 1 for k in range(3)}
+    lines = [line for line in (text or "").split("\n") if words(line)]
+    return (
+        len(found), sum(map(len, found)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(again)
+    )
+
+
+TEXTS = [
+    None, "", " ", "a", "a b", "a b c", "a b c a b c", "a a a", "a a a a", "a b c d b c d", "x y x y x",
+    "a\nb\na\n\n \n\nb\r\nb", "# * $$%&|<>", "é ü 漢字 😀", "a   b c \x1c d", "one\ntwo three\n one", "w " * 5000,
+    prose(1, 20_000) + " " + prose(1, 500), "\n".join(["same line"] * 40 + ["other"]),
+]
+
+
+def test_measures(spark):
+    rng = random.Random(3)
+    texts = TEXTS + ["".join(rng.choice(["a ", "b ", "c\n", "d\t", "#"]) for _ in range(rng.randrange(80))) for _ in range(150)]
+    docs = with_clash(frame(spark, [(n, t, "s") for n, t in enumerate(texts)]), "n_words", "kept", "n_lines")
+    got = measures(docs)
+    for row in got.collect():
+        assert tuple(row[name] for name in BASE) == base(texts[row["doc_id"]]), texts[row["doc_id"]]
+
+
+def junk(number):
+    return " ".join(f"{word}{'$#%&'[n % 4] * 3}" for n, word in enumerate(prose(number, 90).split()))
+
+
+def test_rules_outvote_one_another(spark):
+    good = [(n, ". ".join(f"Word then {w}" for w in "ab bc cd de ef fg gh hi ij jk kl lm mn no op pq qr rs".split()) + f" number {n}.", "s") for n in range(300)]
+    poor = [(1000 + n, junk(n), "s") for n in range(30)]
+    short = [(2000, "too short.", "s"), (2001, "again and again and " * 30, "s")]
+    got = {row["doc_id"]: row for row in weak_quality(frame(spark, good + poor + short)).collect()}
+    assert all(got[number]["kept"] for number, _, _ in good)
+    assert not any(got[number]["kept"] or got[number]["base_failed"] for number, _, _ in poor)
+    assert got[2000]["base_failed"] and got[2001]["base_failed"] and not got[2001]["kept"]
+
+
+def plain_em(patterns, rules, rounds):
+    """The same estimates by loops over votes."""
+    prior, poor, good = 0.8, [[0.5, 0.3, 0.2]] * rules, [[0.1, 0.2, 0.7]] * rules
+    total = sum(patterns.values())
+    for _ in range(rounds):
+        weights = {}
+        for votes in patterns:
+            odds = math.log(prior / (1 - prior)) + sum(math.log(good[j][v + 1] / poor[j][v + 1]) for j, v in enumerate(votes))
+            weights[votes] = 1 / (1 + math.exp(-odds))
+        share = sum(n * weights[votes] for votes, n in patterns.items())
+        poor, good = [], []
+        for j in range(rules):
+            g = [sum(n * weights[v] for v, n in patterns.items() if v[j] == vote) + total / 3000 for vote in (-1, 0, 1)]
+            p = [sum(n * (1 - weights[v]) for v, n in patterns.items() if v[j] == vote) + total / 3000 for vote in (-1, 0, 1)]
+            g, p = [x / sum(g) for x in g], [x / sum(p) for x in p]
+            p[0], g[2], p[1] = max(p[0], g[0]), max(g[2], p[2]), g[1]
+            poor.append(p)
+            good.append(g)
+        prior = min(max(share / total, 0.01), 0.99)
+    return prior, poor, good
+
+
+@pytest.mark.parametrize("rounds", [1, 7])
+def test_estimates(spark, rounds):
+    rng = random.Random(5)
+    votes = []
+    for _ in range(500):
+        sign = 1 if rng.random() < 0.8 else -1
+        votes.append(tuple(rng.choices([sign, 0, -sign], weights)[0] for weights in ([8, 1, 1], [5, 4, 1], [6, 1, 3], [9, 1, 0])))
+    df = spark.createDataFrame([([*one],) for one in votes], "votes array<tinyint>")
+    model = fit(df, 4, rounds)
+    prior, poor, good = plain_em(Counter(votes), 4, rounds)
+    assert model.prior == pytest.approx(prior)
+    for got, expected in zip([*model.poor, *model.good], [*poor, *good]):
+        assert got == pytest.approx(expected)
+
+
+def test_accuracies_are_found(spark):
+    rng = random.Random(6)
+    rows, truth = [], []
+    for _ in range(4000):
+        good = rng.random() < 0.7
+        truth.append(good)
+        rows.append(([(1 if good else -1) if rng.random() < accuracy else (-1 if good else 1) for accuracy in (0.95, 0.8, 0.7, 0.9, 0.85)],))
+    model = fit(spark.createDataFrame(rows, "votes array<tinyint>"), 5)
+    assert model.prior == pytest.approx(0.7, abs=0.03)
+    assert [chances[2] for chances in model.good] == pytest.approx([0.95, 0.8, 0.7, 0.9, 0.85], abs=0.04)
+
+
+def test_odd_rows_and_empty_table(spark):
+    docs = with_clash(frame(spark, odd_rows()), "votes", "quality", "base_failed")
+    rows = weak_quality(docs, carry=["doc_id", "source"]).collect()
+    assert len(rows) == len(odd_rows())
+    assert all(row["base_failed"] and not row["kept"] for row in rows if row["n_words"] < 50)
+    empty = weak_quality(frame(spark, []))
+    assert empty.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and empty.collect() == []
+
+
+def test_labelled_documents(spark):
+    """Held-out: labels are used here alone."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    rows = op10_weak_quality(spark, folder).join(labels, "doc_id").where("not base_failed").collect()
+    assert len(RULES) == 10
+    assert all(row["kept"] for row in rows if row["quality"] == 1 and row["toxic"] == 0)
+    poor = [row for row in rows if row["quality"] == 0]
+    assert sum(not row["kept"] for row in poor) >= 0.9 * len(poor)

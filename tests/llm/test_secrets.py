@@ -1,0 +1,123 @@
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from dayblotter.llm import secrets
+from dayblotter.llm.secrets import RULES, Ledger, Rule, redact, with_spans
+from dayblotter.session import new_folder
+from llm_data import frame, odd_rows, with_clash
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def scanned(spark, texts, path=None, rules=RULES):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ledger = Ledger(spark, path or new_folder(spark, "ledger"))
+    rows = with_spans(docs, "text", ledger, rules).collect()
+    return {row["doc_id"]: [(s["start"], s["place"], s["end"]) for s in row["spans"]] for row in rows}
+
+
+HEX, KEY = "0123456789abcdef" * 2, "AKIA" + "Z9" * 10
+TEXTS = [
+    f"password = 'hunter22' é😀 {HEX} {KEY}", "PassWord:abc", "secret=token: abcdef", "secret=token=abcdefgh",
+    "api_key: aaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "token\"  :  \"" + HEX, "😀" * 50 + "apikey=😀secret==......", None, "",
+    "AKIAAKIA" + "A" * 12, "xAKIA" + "B" * 15, HEX[:23], HEX[:24], "x" * 100_000 + " passwd:secret12 " + "a b " * 30_000,
+    "\npassword\n=abcdef", "ſecret=abcdefg", "toKen=abcdefg", "token= abcdef", "tokentoken=abcdef" * 40,
+]
+
+
+def test_base_spans(spark):
+    got = scanned(spark, TEXTS)
+    for number, text in enumerate(TEXTS):
+        assert [span for span in got[number] if span[1] < 3] == base(text), text
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.lists(st.sampled_from(["password", "token", "api_key", "=", ":", " ", "'", "abc", "f" * 9, "AKIA", "Q9" * 4, "é", "😀", "\n"]), max_size=25).map("".join),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_base_spans_of_any_text(spark, texts):
+    got = scanned(spark, texts)
+    for number, text in enumerate(texts):
+        assert [span for span in got[number] if span[1] < 3] == base(text), text
+
+
+def test_further_kinds(spark):
+    texts = [
+        "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "aB3" * 12, "xoxb-12345-abcdef",
+        "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeK",
+    ]
+    got = scanned(spark, texts)
+    for number, text in enumerate(texts):
+        assert (0, 3 + number, len(text)) in got[number]
+
+
+def test_only_unseen_pairs_are_scanned(spark, monkeypatch):
+    path = new_folder(spark, "ledger")
+    seen = []
+    whole = secrets.scan
+    monkeypatch.setattr(secrets, "scan", lambda blobs, rules: seen.append(sorted((r["text"], tuple(sorted(r["due"]))) for r in blobs.collect())) or whole(blobs, rules))
+    one, two = Rule("x", "x+"), Rule("y", "y+")
+    scanned(spark, ["xx y", "xx y", "z"], path, [one])
+    assert seen.pop() == [("xx y", ("x",)), ("z", ("x",))]
+    assert scanned(spark, ["z", "xx y", "new x"], path, [one]) == {0: [], 1: [(0, 0, 2)], 2: [(4, 0, 5)]}
+    assert seen.pop() == [("new x", ("x",))]
+    got = scanned(spark, ["z", "xx y"], path, [one, two])
+    assert got == {0: [], 1: [(0, 0, 2), (3, 1, 4)]}
+    assert seen.pop() == [("xx y", ("y",)), ("z", ("y",))]
+    newer = Rule("x", "x", version=2)
+    assert scanned(spark, ["xx y"], path, [newer])[0] == [(0, 0, 1), (1, 0, 2)]
+    assert seen.pop() == [("xx y", ("x",))]
+    scanned(spark, ["xx y", "z", "new x"], path, [one])
+    assert seen.pop() == []
+
+
+def test_a_run_that_died_before_its_pairs_is_repeated(spark):
+    path = new_folder(spark, "ledger")
+    ledger = Ledger(spark, path)
+    blobs = spark.createDataFrame([("b", "xx")], "blob string, text string")
+    rule = Rule("x", "x+")
+    secrets.scan(blobs.withColumn("due", F.array(F.lit("x"))), [rule]).write.parquet(f"{path}/findings")
+    ledger.update(blobs, [rule])
+    assert [tuple(row) for row in ledger.findings([rule]).collect()] == [("b", "x", 1, 0, 2)]
+
+
+def test_odd_rows(spark):
+    docs = with_clash(frame(spark, odd_rows()), "spans", "_blob")
+    got = with_spans(docs, "text", Ledger(spark, new_folder(spark, "ledger")))
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "spans"]
+    rows = got.collect()
+    assert len(rows) == len(odd_rows()) and all(row["spans"] == [] for row in rows)
+
+
+def test_empty_table(spark):
+    assert with_spans(frame(spark, []), "text", Ledger(spark, new_folder(spark, "ledger"))).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("text", "spans", "expected"),
+    [
+        ("ab😀cdefgh", [(2, 4)], "ab[SECRET]defgh"),
+        ("abcdefgh", [(0, 2), (1, 5), (3, 4), (6, 8)], "[SECRET]f[SECRET]"),
+        ("abc", [], "abc"),
+        (None, [], None),
+    ],
+)
+def test_redact(spark, text, spans, expected):
+    df = spark.createDataFrame([(text, spans)], "text string, spans array<struct<start bigint, end bigint>>")
+    assert df.select(redact(F.col("text"), F.col("spans"))).first()[0] == expected

@@ -1,0 +1,79 @@
+import random
+
+import pytest
+
+from dayblotter.llm.substrings import without_repeats
+from llm_data import frame, odd_rows, prose, with_clash, words
+
+
+def brute(rows, window=50):
+    """(number of words, kept words) of each (id, text), by comparing all windows."""
+    first = {}
+    for number, text in rows:
+        found = words(text)
+        for at in range(len(found) - window + 1):
+            key = tuple(found[at : at + window])
+            if number is not None:
+                first[key] = min(first.get(key, number), number)
+    out = []
+    for number, text in rows:
+        found = words(text)
+        gone = set()
+        for at in range(len(found) - window + 1):
+            if number is not None and first[tuple(found[at : at + window])] < number:
+                gone |= set(range(at, at + window))
+        out.append((number, len(found), len(gone), " ".join(w for n, w in enumerate(found) if n not in gone)))
+    return out
+
+
+def found(df):
+    return sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in df.collect()), key=str)
+
+
+def patched(seed, count=60):
+    """Documents put together from shared passages of all lengths, at all places, and words of their own."""
+    rng = random.Random(seed)
+    shared = [[f"s{n}.{at}" for at in range(rng.choice([30, 49, 50, 51, 75, 99, 100, 130, 400]))] for n in range(9)]
+    shared.append(["la"] * 140)
+    shared.append(["la", "li"] * 70)
+    rows = []
+    for number in range(count):
+        text = []
+        for _ in range(rng.randrange(6)):
+            if rng.random() < 0.6:
+                passage = rng.choice(shared)
+                begin = rng.randrange(len(passage)) if rng.random() < 0.5 else 0
+                text += passage[begin : begin + rng.choice([20, 49, 50, 51, 60, 77, 500])]
+            else:
+                text += [f"own{number}.{rng.randrange(10**9)}" for _ in range(rng.choice([1, 10, 60]))]
+        rows.append((number * 7 % count, rng.choice([" ", "\n", " \t"]).join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_against_all_windows(spark, seed):
+    rows = patched(seed)
+    docs = frame(spark, [(number, text, "s") for number, text in rows]).repartition(4)
+    got = found(without_repeats(docs))
+    assert got == sorted(brute(rows), key=str)
+    assert sum(row[2] for row in got) > 0
+
+
+def test_shorter_windows(spark):
+    rows = patched(99, 30)
+    got = found(without_repeats(frame(spark, [(n, t, "s") for n, t in rows]), window=20))
+    assert got == sorted(brute(rows, 20), key=str)
+
+
+def test_odd_rows(spark):
+    rows = [*odd_rows(), (10, prose(6, 30_000), "a"), (11, prose(8, 70), "a"), (11, prose(1, 60), "a")]
+    docs = with_clash(frame(spark, rows), "n_words", "kept", "_key")
+    got = without_repeats(docs, carry=["doc_id", "text", "source"])
+    assert got.columns == ["doc_id", "text", "source", "n_words", "n_removed", "kept"]
+    assert found(got) == sorted(brute([(number, text) for number, text, _ in rows]), key=str)
+
+
+def test_default_columns_and_empty_table(spark):
+    got = without_repeats(with_clash(frame(spark, []), "n_removed"))
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_words", "n_removed", "kept"]
+    assert got.collect() == []
