@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dayblotter.session import new_folder
 
 SPACES = r"[\x20\x09-\x0D]+"
+BATCH_ROWS = 256
 
 
 def words_of(text: Column) -> Column:
@@ -22,6 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let tasks pass texts to Python by the hundred, not by the ten thousand as is the default.
+
+    Rows of this kind are long; a batch is held several times over on its way. The setting stays
+    with the session, since the frames that operators return run later.
+    """
+    most = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if most <= 0 or most > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from dayblotter.llm.common import stored, table
+from dayblotter.llm.common import bounded_batches, stored, table
 
 WINDOW = 50
 _ADDED = ["n_words", "n_removed", "kept"]
@@ -68,17 +68,21 @@ def duplicate_spans(rows: DataFrame, doc_id: str, text: str, window: int = WINDO
     gram = window // 2 + 1
     columns = rows.columns
     anchors = stored(_anchors(rows, doc_id, text, window, gram), "substrings")
-    reference = (
+    # What is joined back to the rows it was summed from is stored first: both sides of the join are
+    # then shuffled for it alone, and Spark splits the anchors and windows that very many share.
+    reference = stored(
         anchors.groupBy("gram")
         .agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
         .where("first_doc < last_doc")
-        .select("gram", "first_doc")
+        .select("gram", "first_doc"),
+        "substrings",
     )
     shared = stored(anchors.join(reference, "gram"), "substrings")
-    home = (
+    home = stored(
         shared.where("doc = first_doc")
         .groupBy("gram")
-        .agg(F.min(F.struct("key", "place")).alias("home"))
+        .agg(F.min(F.struct("key", "place")).alias("home")),
+        "substrings",
     )
     parsed = stored(_factored(shared.where("doc > first_doc").join(home, "gram"), window, gram), "substrings")
     factors = parsed.where(F.col("end") - F.col("begin") >= window).select(
@@ -94,10 +98,19 @@ def duplicate_spans(rows: DataFrame, doc_id: str, text: str, window: int = WINDO
         .agg(F.collect_set(F.struct("place", "asks")).alias("_marks"))  # of one document
     )
     windows = rows.join(marks, "_key").select(*columns, "_marks")
-    hashed = windows.mapInPandas(
-        _window_hashes(doc_id, text, window, gram), "_key long, doc long, begin long, h long, g long, asks boolean"
+    hashed = stored(
+        windows.mapInPandas(
+            _window_hashes(doc_id, text, window, gram), "_key long, doc long, begin long, h long, g long, asks boolean"
+        ),
+        "substrings",
+    )
+    smallest = stored(
+        hashed.groupBy("h", "g")
+        .agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+        .where("first_doc < last_doc")
+        .drop("last_doc"),
+        "substrings",
     )
-    smallest = hashed.groupBy("h", "g").agg(F.min("doc").alias("first_doc"))
     repeated = (
         hashed.where("asks")
         .join(smallest, ["h", "g"])
@@ -197,6 +210,7 @@ def without_repeats(
     Spark splits. Windows are told apart by 128 bits of hash, anchors by 64; a factor long enough to
     count has at least two of them.
     """
+    bounded_batches(docs.sparkSession)
     wanted = [name for name in carry or docs.columns if name.lower() not in _ADDED]
     columns = list(dict.fromkeys([*wanted, doc_id, text]))
     rows = docs.select(*[F.col(f"`{name}`") for name in columns]).withColumn(
