@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayblotter.llm.common import components, numbered, stored, table
+from dayblotter.llm.common import bounded_batches, components, numbered, stored, table
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -169,6 +169,7 @@ def simhash_groups(
     Documents meet only as distinct fingerprints, so copies cost one row each; documents then get
     their component in a join on the fingerprint, which Spark splits where one is hot.
     """
+    bounded_batches(docs.sparkSession)
     wanted = [name for name in carry or docs.columns if name.lower() not in _ADDED]
     columns = list(dict.fromkeys([*wanted, doc_id]))
     rows = numbered(
