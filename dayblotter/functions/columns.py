@@ -14,6 +14,10 @@ def quoted(*parts: str) -> str:
     return ".".join(f"`{part}`" for part in parts)
 
 
+def sql_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def plain_header(name: str) -> str:
     return name.lower().replace(" ", "_")
 

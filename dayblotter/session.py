@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, **settings: str) -> SparkSession:
-    """Session with UTC wall clocks and adaptive execution; everything else stays Spark's default."""
+    """Session with UTC wall clocks, adaptive execution and plain Parquet timestamps; everything else stays Spark's default."""
     builder = (
         SparkSession.builder.appName("dayblotter")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Unlike the default, this has statistics, so that tests on change times can skip files.
+        .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     )
     if master:
         builder = builder.master(master)
@@ -54,44 +56,75 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
-def make_folder(spark: SparkSession, path: str) -> None:
+def stored_bytes(spark: SparkSession, path: str) -> int:
     files, hadoop_path = _hadoop_path(spark, path)
-    files.mkdirs(hadoop_path)
+    return files.getContentSummary(hadoop_path).getLength() if files.exists(hadoop_path) else 0
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
+def remove_folder(spark: SparkSession, path: str) -> None:
     files, hadoop_path = _hadoop_path(spark, path)
-    return files.getContentSummary(hadoop_path).getLength()
+    files.delete(hadoop_path, True)
+
 
+def _names(spark: SparkSession, folder: str, ending: str) -> list[str]:
+    files, hadoop_path = _hadoop_path(spark, folder)
+    if not files.exists(hadoop_path):
+        return []
+    found = (one.getPath().getName() for one in files.listStatus(hadoop_path))
+    return sorted(name for name in found if name.endswith(ending))
 
-def has_folders(spark: SparkSession, path: str) -> bool:
+
+def _text(spark: SparkSession, path: str) -> str:
     files, hadoop_path = _hadoop_path(spark, path)
-    return any(found.isDirectory() for found in files.listStatus(hadoop_path))
+    stream = files.open(hadoop_path)
+    try:
+        scanner = spark._jvm.java.util.Scanner(stream, "UTF-8").useDelimiter("\\A")
+        return scanner.next() if scanner.hasNext() else ""
+    finally:
+        stream.close()
 
 
-def move_folders(spark: SparkSession, source: str, target: str) -> None:
-    """Every folder in `source` takes the place of its namesake in `target`; then `source` goes.
+def text_files(spark: SparkSession, folder: str, ending: str) -> dict[str, str]:
+    """Name and text of the small files of a folder, in whatever store it is."""
+    return {name: _text(spark, f"{folder}/{name}") for name in _names(spark, folder, ending)}
 
-    Names are moved, not data; when nothing of `target` stays, that is a single move. Broken off
-    anywhere, it can be run again.
-    """
+
+def _rename(spark: SparkSession, source: str, target: str) -> bool:
     files, source_path = _hadoop_path(spark, source)
-    _, target_path = _hadoop_path(spark, target)
+    return files.rename(source_path, _hadoop_path(spark, target)[1])
+
+
+_KEPT_STATES = 100
 
-    def names(path) -> set[str]:
-        return {found.getPath().getName() for found in files.listStatus(path) if found.isDirectory()}
 
-    arrived = names(source_path)
-    if not files.exists(target_path) or names(target_path) <= arrived:
-        files.delete(target_path, True)
-        files.rename(source_path, target_path)
-        return
+def published(spark: SparkSession, folder: str) -> dict | None:
+    """The state published last in a folder, with its number as `version`; None if there is none."""
+    names = _names(spark, folder, ".json")
+    return json.loads(_text(spark, f"{folder}/{names[-1]}")) if names else None
 
-    def move(name: str) -> None:
-        _, place = _hadoop_path(spark, f"{target}/{name}")
-        files.delete(place, True)
-        files.rename(_hadoop_path(spark, f"{source}/{name}")[1], place)
 
-    with ThreadPoolExecutor(16) as pool:
-        list(pool.map(move, sorted(arrived)))
-    files.delete(source_path, True)
+def publish(spark: SparkSession, folder: str, state: dict) -> dict:
+    """Make a state the one that readers find, all of it at once.
+
+    A small file takes its place among the states by one rename. A refused rename, or a state with
+    that number put there by another writer, is an error, and what was published stays so. Nothing is
+    ever removed before; the oldest of many states goes after.
+    """
+    names = _names(spark, folder, ".json")
+    version = int(names[-1].removesuffix(".json")) + 1 if names else 1
+    if state.get("version", version - 1) != version - 1:
+        raise RuntimeError(f"another writer has published in {folder}")
+    files, draft = _hadoop_path(spark, f"{folder}/_{uuid.uuid4().hex}")
+    state = {**state, "version": version}
+    stream = files.create(draft, False)
+    try:
+        stream.write(bytearray(json.dumps(state).encode()))
+    finally:
+        stream.close()
+    place = f"{folder}/{version:020d}.json"
+    if path_exists(spark, place) or not _rename(spark, draft.toString(), place):
+        files.delete(draft, False)
+        raise RuntimeError(f"{place} could not be published")
+    for name in names[: -_KEPT_STATES]:
+        files.delete(_hadoop_path(spark, f"{folder}/{name}")[1], False)
+    return state

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayblotter.fixed_values import RUN_STATUSES
+from dayblotter.functions.columns import conform
 from dayblotter.operators.incremental import next_number
 from dayblotter.schemas import RUNS
 from dayblotter.session import path_exists
@@ -29,10 +30,16 @@ class RunLog:
     def record(self, run_id: int, status: str, logs: str | None = None) -> None:
         if status not in RUN_STATUSES:
             raise ValueError(f"status is one of {RUN_STATUSES}")
-        entry = [(run_id, status, self.pipeline_name, None, json.dumps(self.config), logs)]
-        (
-            self.spark.createDataFrame(entry, RUNS)
-            .withColumn("timestamp", F.current_timestamp())
-            .write.mode("append")
-            .parquet(self.path)
+        entry = self.spark.createDataFrame([(run_id, status, logs)], "run_id int, status string, logs string")
+        self.record_all(entry)
+
+    def record_all(self, entries: DataFrame) -> None:
+        """Append records: run_id, status and, if there is any, logs."""
+        kept = entries.withColumns(
+            {
+                "pipeline_name": F.lit(self.pipeline_name),
+                "timestamp": F.current_timestamp(),
+                "config": F.lit(json.dumps(self.config)),
+            }
         )
+        conform(kept, RUNS).write.mode("append").parquet(self.path)

@@ -1,111 +1,194 @@
 """A stored table with a key, kept current by upserts, on plain Parquet.
 
-Rows lie in hash buckets of the key, as partition folders. A changed row can only replace a row in
-the same bucket, whichever other columns changed, so an upsert reads and rewrites the buckets its
-changes fall in and no others. One writer at a time.
+Rows lie in a bucketed table: Spark knows that equal keys are in one bucket, so nothing that is stored
+is shuffled again. An upsert adds its changes as one more write and rewrites nothing; reading takes
+the newest row of each key, bucket by bucket. When the changes have grown to a share of the table, it
+is compacted into a new generation.
+
+What belongs to the table is told by a small published state and by nothing else: which generation,
+and which writes in it. Rows of a write that is not named there, say of a writer that died, are not
+part of the table. Readers keep the state they began with. One writer at a time.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+import hashlib
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayblotter.functions.columns import conform, missing_to_null, quoted
+from dayblotter.functions.columns import conform, missing_to_null, quoted, sql_literal
 from dayblotter.operators.upsert import latest_per_key, stack_changes
 from dayblotter.schemas import TableSpec
-from dayblotter.session import has_folders, make_folder, move_folders, path_exists
+from dayblotter.session import publish, published, remove_folder, stored_bytes
 
-_BUCKET = "_bucket"
+_WRITE = "_write"
+BUCKET_BYTES = 256 << 20
+COMPACT_SHARE = 0.3
+MOST_WRITES = 100
 
 
-def buckets_for(stored: int) -> int:
-    """Buckets for a table that will hold this many bytes: 256 MB each, larger ones from 25 TB on."""
-    return max(8, min(100_000, -(-stored // (256 << 20))))
+def buckets_for(stored: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for a table that will hold this many bytes, `bucket_bytes` in each, 8 at least."""
+    return max(8, -(-stored // bucket_bytes))
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec) -> None:
-        self.spark, self.path, self.spec = spark, path, spec
-        self.data, self.incoming = f"{path}/data", f"{path}/incoming"
-        self.pending, self.declared = f"{path}/pending", f"{path}/declared"
-        self.stored = T.StructType([*spec.schema.fields, T.StructField(_BUCKET, T.IntegerType())])
+    """`compact_share` and `most_writes` say when changes are folded in: when they are that share of
+    the table's bytes, or that many writes."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        spec: TableSpec,
+        compact_share: float = COMPACT_SHARE,
+        most_writes: int = MOST_WRITES,
+    ) -> None:
+        self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        self.states = f"{self.path}/states"
+        self.compact_share, self.most_writes = compact_share, most_writes
+        self.stored = T.StructType([*spec.schema.fields, T.StructField(_WRITE, T.StringType())])
 
     def exists(self) -> bool:
-        return path_exists(self.spark, f"{self.declared}/_SUCCESS")
+        return published(self.spark, self.states) is not None
 
-    def create(self) -> KeyedTable:
-        """Declare the table if it is not there, and finish what a writer that died left behind.
+    def create(self, expected_bytes: int | None = None) -> KeyedTable:
+        """Declare the table if it is not there.
 
-        The bucket count is set here for good: as declared, see `buckets_for`, else as many as a
-        shuffle of this cluster has partitions.
+        Its buckets are as declared, or follow from the bytes it will hold; one of the two is needed.
+        `rebucket` changes them later.
         """
-        if self.exists():
-            self._move_in_pending()
-            return self
-        buckets = self.spec.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        make_folder(self.spark, self.data)
-        one = self.spark.range(0, 1, 1, 1).select(F.lit(buckets).alias("buckets"))
-        one.write.mode("overwrite").json(self.declared)
+        if not self.exists():
+            if self.spec.buckets is None and expected_bytes is None:
+                raise ValueError(f"{self.spec.name} needs a number of buckets or the bytes to be expected")
+            buckets = self.spec.buckets or buckets_for(expected_bytes)
+            state = {"generation": self._new_name(), "buckets": buckets, "writes": {}, "older": []}
+            publish(self.spark, self.states, state)
         return self
 
-    @cached_property
+    @property
     def buckets(self) -> int:
-        return self.spark.read.schema("buckets int").json(self.declared).first()[0]
+        return self._state()["buckets"]
 
     def read(self) -> DataFrame:
-        return self._rows(self.data).drop(_BUCKET)
+        return self.spark.sql(self.read_sql())
+
+    def read_sql(self) -> str:
+        """The table as it is now, as a query that a view in the catalog can hold.
+
+        Grouping by the key needs no shuffle, for the key is what rows are bucketed by.
+        """
+        state = self._state()
+        relation, writes = self._relation(state), list(state["writes"])
+        names = [quoted(name) for name in self.spec.schema.names]
+        live = f"{_WRITE} in ({', '.join(map(sql_literal, writes))})" if writes else "false"
+        others = [name for name in self.spec.schema.names if name not in self.spec.keys]
+        if len(writes) < 2:
+            return f"select {', '.join(names)} from {relation} where {live}"
+        keys = ", ".join(quoted(key) for key in self.spec.keys)
+        ranked = [*self.spec.newest, _WRITE, *[name for name in others if name not in self.spec.newest]]
+        best = f"max(struct({', '.join(map(quoted, ranked))})) as _best"
+        picked = [
+            quoted(name) if name in self.spec.keys else f"{quoted('_best', name)} as {quoted(name)}"
+            for name in self.spec.schema.names
+        ]
+        return (
+            f"select {', '.join(picked)} from "
+            f"(select {keys}, {best} from {relation} where {live} group by {keys})"
+        )
 
     def upsert(self, changes: DataFrame, stale: str = "keep") -> None:
         """Merge changes in by key; no changes, no work.
 
-        Whole merged buckets are written beside the table and then moved into it. A job that dies
-        before the move is as if it never ran; one that dies within is finished by the next writer.
+        The changes are shuffled once, into buckets, and added; what is stored is neither read nor
+        written. With stale="replace" a change wins over what is newer than it, which no order of
+        rows can express: the table is then written anew. A NULL in a key is an error, and nothing
+        of those changes is stored.
         """
-        self._move_in_pending()
+        if stale not in ("keep", "replace"):
+            raise ValueError("stale is 'keep' or 'replace'")
+        state = self._state()
         arriving = missing_to_null(conform(changes, self.spec.schema))
-        newest = latest_per_key(arriving, self.spec.keys, self.spec.newest).withColumn(
-            _BUCKET, self._bucket()
+        refused = F.raise_error(F.lit(f"{self.spec.name}: NULL in a key"))
+        checked = arriving.withColumns(
+            {key: F.when(F.col(quoted(key)).isNull(), refused).otherwise(F.col(quoted(key))) for key in self.spec.keys}
+        )
+        newest = latest_per_key(self._by_bucket(checked, state["buckets"]), self.spec.keys, self.spec.newest)
+        if stale == "replace" and state["writes"]:
+            if not newest.isEmpty():
+                both, order = stack_changes(self.read(), newest, self.spec.newest, stale)
+                merged = latest_per_key(self._by_bucket(both, state["buckets"]), self.spec.keys, order)
+                self._new_generation(state, merged.drop("_incoming"), state["buckets"])
+            return
+        write = self._written(newest, state)
+        if write is None:
+            return
+        state = publish(self.spark, self.states, {**state, "writes": {**state["writes"], **write}})
+        sizes = list(state["writes"].values())
+        if sum(sizes[1:]) > self.compact_share * sizes[0] or len(sizes) > self.most_writes:
+            self.compact()
+
+    def compact(self) -> None:
+        """Fold all writes into one, bucket by bucket, without a shuffle."""
+        state = self._state()
+        if len(state["writes"]) > 1:
+            self._new_generation(state, self.read(), state["buckets"])
+
+    def rebucket(self, buckets: int) -> None:
+        """Write the table anew with another number of buckets; one shuffle of all rows."""
+        state = self._state()
+        self._new_generation(state, self._by_bucket(self.read(), buckets), buckets)
+
+    def _state(self) -> dict:
+        state = published(self.spark, self.states)
+        if state is None:
+            raise ValueError(f"there is no table at {self.path}")
+        return state
+
+    @staticmethod
+    def _new_name() -> str:
+        return f"data-{uuid.uuid4().hex}"
+
+    def _by_bucket(self, rows: DataFrame, buckets: int) -> DataFrame:
+        """A task for each bucket: this is the hash that Spark buckets by."""
+        return rows.repartition(buckets, *[quoted(key) for key in self.spec.keys])
+
+    def _relation(self, state: dict) -> str:
+        """The catalog's name for a generation, which is declared there if it is not yet."""
+        folder = f"{self.path}/{state['generation']}"
+        name = f"keyed_{hashlib.md5(folder.encode()).hexdigest()}"
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self.stored.fields)
+        keys = ", ".join(quoted(key) for key in self.spec.keys)
+        self.spark.sql(
+            f"create table if not exists {name} ({columns}) using parquet "
+            f"clustered by ({keys}) into {state['buckets']} buckets location {sql_literal(folder)}"
         )
-        if has_folders(self.spark, self.data):
-            merged = self._merged(newest, stale)
-        else:
-            merged = newest.repartitionById(self.buckets, _BUCKET)
-        if merged is not None:
-            merged.write.mode("overwrite").partitionBy(_BUCKET).parquet(self.pending)
-            self._move_in_pending()
-
-    def _merged(self, newest: DataFrame, stale: str) -> DataFrame | None:
-        """The touched buckets with the changes in them, one task a bucket."""
-        # Written down, so that a fetched feed is fetched once.
-        newest.write.mode("overwrite").parquet(self.incoming)
-        incoming = self._rows(self.incoming)
-        # At most `buckets` numbers come to the driver; as literals they prune the table's folders.
-        touched = [row[0] for row in incoming.select(_BUCKET).distinct().collect()]
-        if not touched:
+        self.spark.catalog.refreshTable(name)  # another session may have written
+        return name
+
+    def _written(self, rows: DataFrame, state: dict) -> dict[str, int] | None:
+        """Add rows to a generation, under a name that no state has yet; its size, None without rows."""
+        relation, folder = self._relation(state), f"{self.path}/{state['generation']}"
+        # Names sort in the order of writing.
+        write = f"{state.get('version', 0):012d}-{uuid.uuid4().hex}"
+        before = stored_bytes(self.spark, folder)
+        rows.withColumn(_WRITE, F.lit(write)).write.insertInto(relation)
+        if self.spark.table(relation).where(F.col(_WRITE) == write).isEmpty():
             return None
-        target = self._rows(self.data)
-        if len(touched) < self.buckets:
-            target = target.where(f"{_BUCKET} in ({', '.join(map(str, touched))})")
-        both, order = stack_changes(target, incoming, self.spec.newest, stale)
-        # Rows go by bucket once; grouping by bucket and key and writing by bucket follow that
-        # layout without another shuffle. Keys are unique on both sides, so no bucket is hot.
-        if len(touched) == self.buckets:
-            by_bucket = both.repartitionById(self.buckets, _BUCKET)
-        else:
-            by_bucket = both.repartition(len(touched), _BUCKET)
-        return latest_per_key(by_bucket, [_BUCKET, *self.spec.keys], order).drop("_incoming")
-
-    def _bucket(self) -> Column:
-        key_hash = F.xxhash64(*[quoted(key) for key in self.spec.keys])
-        return F.pmod(key_hash, F.lit(self.buckets)).cast("int")
-
-    def _rows(self, path: str) -> DataFrame:
-        return self.spark.read.schema(self.stored).parquet(path)
-
-    def _move_in_pending(self) -> None:
-        """Replace the rewritten buckets. Only complete writes move, and moving again is harmless."""
-        if path_exists(self.spark, f"{self.pending}/_SUCCESS"):
-            move_folders(self.spark, self.pending, self.data)
+        return {write: stored_bytes(self.spark, folder) - before}
+
+    def _new_generation(self, state: dict, rows: DataFrame, buckets: int) -> None:
+        """All rows in a new folder, published when it is whole. The generation before stays for those
+        who read it, until there is a newer one."""
+        new = {**state, "generation": self._new_name(), "buckets": buckets}
+        write = self._written(rows, new) or {}
+        publish(
+            self.spark, self.states, {**new, "writes": write, "older": [state["generation"]]}
+        )
+        for generation in state["older"]:
+            folder = f"{self.path}/{generation}"
+            self.spark.sql(f"drop table if exists keyed_{hashlib.md5(folder.encode()).hexdigest()}")
+            remove_folder(self.spark, folder)

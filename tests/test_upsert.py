@@ -1,4 +1,4 @@
-import shutil
+import os
 from datetime import datetime, timedelta
 from itertools import permutations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dayblotter.operators.upsert import latest_per_key, merge_latest
 from dayblotter.schemas import TableSpec, struct
-from dayblotter.session import move_folders, new_folder, path_exists
+from dayblotter.session import new_folder, publish, published
 from dayblotter.sinks.keyed import KeyedTable, buckets_for
 from dayblotter.streaming.upserts import stream_upserts
 
@@ -91,89 +91,142 @@ def test_a_moved_row_leaves_no_copy(spark):
     assert stored.read().where("payload = -1").count() == 8
 
 
-def test_untouched_buckets_keep_their_files(spark):
-    stored = table(spark)
-    stored.upsert(frame(spark, [(f"k{i}", at(1), "1", float(i)) for i in range(50)]))
+def files(stored):
+    folder = f"{stored.path}/{stored._state()['generation']}"
+    return {name: os.path.getmtime(f"{folder}/{name}") for name in os.listdir(folder) if name.startswith("part-")}
 
-    def files():
-        return {
-            r[0]: r[1]
-            for r in stored._rows(stored.data).select("_bucket", F.col("_metadata.file_path")).distinct().collect()
-        }
 
-    before = files()
-    stored.upsert(frame(spark, [("k0", at(2), "1", 0.0)]))
-    after = files()
-    assert set(before) == set(after) == set(range(4))
-    assert sum(before[bucket] != after[bucket] for bucket in before) == 1
+def test_a_change_in_every_bucket_rewrites_no_file(spark):
+    stored = table(spark)
+    stored.upsert(frame(spark, [(f"k{i}", at(1), "1", float(i)) for i in range(5000)]))
+    before = files(stored)
+    assert len(before) == 4
+    stored.upsert(frame(spark, [(f"k{i}", at(2), "1", -1.0) for i in range(40)]))
+    after = files(stored)
+    assert before.items() < after.items() and len(after) == 8
+    assert len(stored._state()["writes"]) == 2
+    assert stored.read().where("payload = -1").count() == 40 and stored.read().count() == 5000
 
 
-def test_bucket_count_comes_from_the_cluster_and_stays(spark):
+def test_a_table_needs_a_size(spark):
     spec = TableSpec("t", SCHEMA, ("k",), ("updated_at", "version"))
-    stored = table(spark, spec)
-    assert stored.buckets == 4
-    spark.conf.set("spark.sql.shuffle.partitions", "9")
-    try:
-        again = KeyedTable(spark, stored.path, spec).create()
-        assert again.buckets == 4
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    with pytest.raises(ValueError, match="buckets"):
+        table(spark, spec)
+    stored = KeyedTable(spark, new_folder(spark, "t"), spec).create(expected_bytes=10 << 30)
+    assert stored.buckets == 40
+    with pytest.raises(ValueError):
+        KeyedTable(spark, new_folder(spark, "t"), SPEC).read()
 
 
 def test_buckets_grow_with_the_table():
-    assert [buckets_for(n) for n in (0, 1 << 30, 10 << 40, 100 << 40)] == [8, 8, 40960, 100000]
+    assert [buckets_for(n) for n in (0, 1 << 30, 10 << 40, 100 << 40)] == [8, 8, 40960, 409600]
+    assert buckets_for(100 << 40, 1 << 30) == 102400
 
 
-def test_a_writer_that_died_is_finished_by_the_next(spark, rows, monkeypatch):
+def test_rebucket_and_compact_keep_the_rows(spark, rows):
     stored = table(spark)
-    stored.upsert(frame(spark, [("a", at(1), "1", 1.0), ("b", at(1), "1", 2.0)]))
+    stored.upsert(frame(spark, [(f"k{i}", at(1), "1", float(i)) for i in range(50)]))
+    stored.upsert(frame(spark, [("k1", at(2), "1", 7.0)]))
+    before, reading = rows(stored.read()), stored.read()
+    stored.rebucket(7)
+    assert stored.buckets == 7 and len(files(stored)) <= 7 and rows(stored.read()) == before
+    stored.upsert(frame(spark, [("k1", at(3), "1", 8.0), ("new", at(1), "1", 0.0)]))
+    stored.compact()
+    assert len(stored._state()["writes"]) == 1
+    assert stored.read().where("k = 'k1'").first().payload == 8.0 and stored.read().count() == 51
+    # A generation stays until there is a newer one than its successor; who reads it is not disturbed.
+    stored.compact()
+    assert len([name for name in os.listdir(stored.path) if name.startswith("data-")]) == 2
+    with pytest.raises(Exception):
+        reading.collect()
+
+
+def test_changes_are_folded_in_when_they_are_a_share_of_the_table(spark):
+    stored = KeyedTable(spark, new_folder(spark, "t"), SPEC, compact_share=1e9, most_writes=3).create()
+    for day in range(1, 6):
+        stored.upsert(frame(spark, [("a", at(day), "1", float(day)), (f"k{day}", at(day), "1", 0.0)]))
+        assert len(stored._state()["writes"]) <= 3
+    assert stored.read().count() == 6 and stored.read().where("k = 'a'").first().payload == 5.0
+    eager = KeyedTable(spark, new_folder(spark, "t"), SPEC, compact_share=0.1).create()
+    for day in (1, 2):
+        eager.upsert(frame(spark, [("a", at(day), "1", float(day))]))
+    assert len(eager._state()["writes"]) == 1 and eager.read().first().payload == 2.0
+
+
+@pytest.mark.parametrize("known", [0, 1])
+def test_a_refused_rename_loses_nothing(spark, rows, monkeypatch, known):
+    stored = table(spark)
+    first = [("a", at(1), "1", 1.0), ("b", at(1), "1", 2.0)]
+    if known:
+        stored.upsert(frame(spark, first))
+    with monkeypatch.context() as broken:
+        broken.setattr("dayblotter.session._rename", lambda *_: False)
+        for stale in ("keep", "replace"):
+            with pytest.raises(RuntimeError, match="published"):
+                stored.upsert(frame(spark, [("a", at(2), "1", 3.0)]), stale)
+    assert rows(stored.read()) == (first if known else [])
+    stored.upsert(frame(spark, [("a", at(2), "1", 3.0)]))
+    assert rows(stored.read()) == [("a", at(2), "1", 3.0), *first[1:]] if known else [("a", at(2), "1", 3.0)]
+
+
+def test_a_writer_that_died_left_nothing_to_read(spark, rows, monkeypatch):
+    stored = table(spark)
+    stored.upsert(frame(spark, [("a", at(1), "1", 1.0)]))
     with monkeypatch.context() as broken:
 
         def die(*_):
             raise OSError("gone")
 
-        broken.setattr("dayblotter.sinks.keyed.move_folders", die)
+        broken.setattr("dayblotter.sinks.keyed.publish", die)
         with pytest.raises(OSError):
-            stored.upsert(frame(spark, [("a", at(2), "1", 3.0)]))
-    assert path_exists(spark, stored.pending)
-    stored.create()
-    assert not path_exists(spark, stored.pending)
-    assert rows(stored.read()) == [("a", at(2), "1", 3.0), ("b", at(1), "1", 2.0)]
+            stored.upsert(frame(spark, [("a", at(2), "1", 3.0), ("b", at(2), "1", 3.0)]))
+    assert rows(stored.read()) == [("a", at(1), "1", 1.0)]
+    stored.upsert(frame(spark, [("c", at(1), "1", 2.0)]))
+    stored.compact()
+    assert rows(stored.read()) == [("a", at(1), "1", 1.0), ("c", at(1), "1", 2.0)]
 
 
-def partitioned(spark, numbers):
-    folder = new_folder(spark, "m")
-    spark.createDataFrame([(n, n % 10) for n in numbers], struct("id int, p int")).write.partitionBy("p").parquet(folder)
-    return folder
+def test_success_marks_are_not_needed(spark, rows):
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    settings.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        stored = table(spark)
+        stored.upsert(frame(spark, [("a", at(1), "1", 1.0)]))
+        stored.upsert(frame(spark, [("a", at(2), "1", 2.0), ("b", at(1), "1", 1.0)]))
+        stored.compact()
+        assert rows(stored.read()) == [("a", at(2), "1", 2.0), ("b", at(1), "1", 1.0)]
+    finally:
+        settings.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
 
 
-def ids(spark, folder):
-    return sorted(r[0] for r in spark.read.parquet(folder).select("id").collect())
+def test_a_null_key_is_an_error_and_stores_nothing(spark, rows):
+    stored = table(spark)
+    stored.upsert(frame(spark, [("a", at(1), "1", 1.0)]))
+    for stale in ("keep", "replace"):
+        with pytest.raises(Exception, match="NULL in a key"):
+            stored.upsert(frame(spark, [("b", at(1), "1", 1.0), (None, at(1), "1", 2.0), (None, at(2), "1", 3.0)]), stale)
+    assert rows(stored.read()) == [("a", at(1), "1", 1.0)]
 
 
-@pytest.mark.parametrize(
-    "stored, arriving, after",
-    [
-        ([0, 1, 2], [11], [0, 2, 11]),  # one of three replaced
-        ([0, 1], [10, 11, 12], [10, 11, 12]),  # all replaced, one new
-        ([1], [10], [1, 10]),  # none replaced
-    ],
-)
-def test_moved_folders_replace_their_namesakes(spark, stored, arriving, after):
-    target, source = partitioned(spark, stored), partitioned(spark, arriving)
-    move_folders(spark, source, target)
-    assert ids(spark, target) == after
-    assert not path_exists(spark, source)
-
-
-def test_a_move_broken_off_can_be_run_again(spark):
-    target, source = partitioned(spark, [0, 1, 2]), partitioned(spark, [10, 11])
-    # p=0 has been moved, p=1 was removed and not yet replaced.
-    shutil.rmtree(f"{target}/p=0")
-    shutil.move(f"{source}/p=0", f"{target}/p=0")
-    shutil.rmtree(f"{target}/p=1")
-    move_folders(spark, source, target)
-    assert ids(spark, target) == [2, 10, 11]
+def test_a_reader_keeps_what_it_began_with(spark, rows):
+    stored = table(spark)
+    stored.upsert(frame(spark, [("a", at(1), "1", 1.0)]))
+    reading = stored.read()
+    stored.upsert(frame(spark, [("a", at(2), "1", 2.0), ("b", at(1), "1", 1.0)]))
+    assert rows(reading) == [("a", at(1), "1", 1.0)]
+    stored.compact()
+    assert rows(reading) == [("a", at(1), "1", 1.0)]
+    assert rows(stored.read()) == [("a", at(2), "1", 2.0), ("b", at(1), "1", 1.0)]
+
+
+def test_two_writers_do_not_both_publish(spark):
+    folder = new_folder(spark, "states")
+    first = publish(spark, folder, {"n": 0})
+    assert publish(spark, folder, {**first, "n": 1})["version"] == 2
+    with pytest.raises(RuntimeError, match="another writer"):
+        publish(spark, folder, {**first, "n": 2})
+    assert published(spark, folder) == {"n": 1, "version": 2}
+    assert published(spark, new_folder(spark, "states")) is None
 
 
 change = st.tuples(
