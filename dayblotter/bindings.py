@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +20,20 @@ from dayblotter.operators import incremental, paging, ranking, timeranges, upser
 from dayblotter.operators.calendar import calendar, calendar_for, days_between, known_holidays
 from dayblotter.operators.reshape import incidents_from_feed
 from dayblotter.plans import questions, registry, views
-from dayblotter.schemas import INCIDENT_TABLE, RAW_FEED, TableSpec, struct
+from dayblotter.schemas import (
+    CALENDAR_TABLE,
+    INCIDENT_TABLE,
+    RAW_FEED,
+    STATION_TABLE,
+    WARD_TABLE,
+    TableSpec,
+    struct,
+)
 from dayblotter.session import new_folder, stored_bytes
+from dayblotter.sinks.audit import RunLog
+from dayblotter.sinks.declare import declare_table
 from dayblotter.sinks.keyed import KeyedTable, buckets_for
-from dayblotter.sources.feed import LandedFeed
+from dayblotter.sources.feed import LandedFeed, LandedPages, PagedFeed
 from dayblotter.sources.files import read_csv, read_pages
 from dayblotter.streaming.runs import IncidentStore
 from dayblotter.streaming.upserts import stream_upserts
@@ -108,11 +119,17 @@ def nation_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the first to the last order."""
-    ends = table(spark, sf_dir, "orders").agg(
-        F.min("o_orderdate").alias("begin"), F.max("o_orderdate").alias("end")
-    )
+def order_calendar(spark: SparkSession, sf_dir: str, dated: bool = False) -> DataFrame:
+    """From the first to the last order.
+
+    The span is that of the counts by day, which the queries on this calendar make anyway: orders are
+    scanned and shuffled once for both. For Spark to see that they are the same, the counts have to be
+    used here, and a query that leaves out orders without a date has to ask for `dated`.
+    """
+    days = views.daily_counts(order_incidents(spark, sf_dir)).where("n > 0")
+    if dated:
+        days = days.where("date is not null")
+    ends = days.agg(F.min("date").alias("begin"), F.max("date").alias("end"))
     return calendar(days_between(ends, "begin", "end"), known_holidays(spark))
 
 
@@ -179,7 +196,7 @@ def station_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def monthly_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.monthly_growth(order_incidents(spark, sf_dir), order_calendar(spark, sf_dir))
+    return views.monthly_growth(order_incidents(spark, sf_dir), order_calendar(spark, sf_dir, dated=True))
 
 
 @query
@@ -224,6 +241,48 @@ def view_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("arrests_by_type")
 
 
+@query
+def view_registry_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six views read from the catalog, over tables that are declared there."""
+    folder = new_folder(spark, "catalog")
+    frames = [
+        (CALENDAR_TABLE, order_calendar(spark, sf_dir)),
+        (STATION_TABLE, nation_stations(spark, sf_dir)),
+        (WARD_TABLE, nation_wards(spark, sf_dir)),
+    ]
+    for spec, frame in frames:
+        columns.conform(frame, spec.schema).write.parquet(f"{folder}/{spec.name}")
+        declare_table(spark, spec, f"{folder}/{spec.name}", replace=True)
+    incidents = order_incidents(spark, sf_dir).withColumn("ward", F.pmod("beat", F.lit(25)).cast("int"))
+    spec = replace(INCIDENT_TABLE, name="crime_data", schema=incidents.schema, newest=())
+    incidents.write.parquet(f"{folder}/crime_data")
+    declare_table(spark, spec, f"{folder}/crime_data", replace=True)
+    registry.create_catalog_views(spark)
+    shown = {
+        "crime_data_with_calendar_days_holidays": (
+            "crime_id", "year * 10000 + month * 100 + day",
+            "concat_ws(' ', month_name, day_of_week_name, day_of_week, holiday_name)",
+        ),
+        "crime_data_with_time_of_day": ("crime_id", "beat", "time_of_day"),
+        "crime_growth_by_month": ("calendar_year * 100 + calendar_month", "crime_amount", "crime_growth"),
+        "holiday_vs_non_holiday_crimes": ("0", "round(100 * average_crimes_count)", "holiday"),
+        "police_rank_by_arrest": (
+            "district", "total_arrests * 1000 + arrest_total_rank", "concat_ws(' ', district_name, arrest_ratio_rank, total_crimes_rank, arrest_percentage)",
+        ),
+        "ward_crimes_summary": (
+            "ward", "dist_total_crimes * 1000 + dist_total_crimes_rank",
+            "concat_ws(' ', alderman, dist_most_popular_crime, dist_second_most_popular_crime)",
+        ),
+    }
+    rows = [
+        spark.table(name).selectExpr(
+            f"'{name}' as view", f"cast({key} as bigint) as row_key", f"cast({number} as bigint) as number", f"{text} as shown"
+        )
+        for name, (key, number, text) in shown.items()
+    ]
+    return reduce(DataFrame.unionAll, rows)
+
+
 # --- questions ---------------------------------------------------------------------------------
 
 
@@ -419,6 +478,28 @@ def paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.assign_pages(events, "event_id", fixed_values.PAGE_ROWS)
 
 
+def land_pages(events: DataFrame) -> LandedPages:
+    """The feed as JSON pages by day, and the transport that answers requests from them."""
+    folder = new_folder(events.sparkSession, "landed")
+    feed = raw_feed(events, corrected=True)
+    day = F.left(F.col("date_of_occurrence"), F.lit(10))
+    feed.withColumn("day", day).write.partitionBy("day").json(folder)
+    hours = feed.groupBy(F.left(F.col("date_of_occurrence"), F.lit(13)).alias("hour")).count().collect()
+    names = ["date_of_occurrence", ":updated_at"]
+    ends = feed.agg(*[f(columns.quoted(name)) for name in names for f in (F.min, F.max)]).first()
+    extremes = {(which, name): ends[2 * i + j] for i, name in enumerate(names) for j, which in enumerate(("min", "max"))}
+    return LandedPages(folder, extremes, {row["hour"]: row["count"] for row in hours})
+
+
+@query
+def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events through the paged reader, up to its ceiling; later changes are left for the next read."""
+    feed = PagedFeed(spark, land_pages(table(spark, sf_dir, "events")), "landed_feed", limit=5000, max_requests=32)
+    start, end = feed.bounds("date_of_occurrence")
+    rows = feed.between("date_of_occurrence", start, end, f"{SPLIT_TIME.replace(' ', 'T')}.000")
+    return with_utc_stamps(incidents_from_feed(rows))
+
+
 @query
 def feed_reshape(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = raw_feed(table(spark, sf_dir, "events"), corrected=False)
@@ -447,15 +528,17 @@ CUSTOMER_FILE = struct(
 )
 
 
-def write_customer_files(customers: DataFrame, folder: str) -> None:
+def write_customer_files(customers: DataFrame, folder: str, backwards: bool = False) -> None:
     """Headers with capitals and spaces; names with line breaks, quotes and commas."""
-    customers.select(
+    named = customers.select(
         F.col("c_custkey").alias("CUST KEY"),
         F.concat("c_name", F.lit('\n"of", '), "c_mktsegment").alias("Full Name"),
         F.col("c_nationkey").alias("NATION KEY"),
         F.col("c_acctbal").alias("ACCT BAL"),
         F.when(F.col("c_mktsegment") == "MACHINERY", "N/A").otherwise(F.col("c_mktsegment")).alias("MKT SEGMENT"),
-    ).write.option("header", True).option("escape", '"').csv(folder)
+    )
+    order = named.columns[::-1] if backwards else named.columns
+    named.select(*order).write.option("header", True).option("escape", '"').csv(folder)
 
 
 @query
@@ -467,10 +550,11 @@ def csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose columns come in another order, stacked by name."""
     customers = table(spark, sf_dir, "customer")
     folders = [new_folder(spark, "csv") for _ in range(2)]
     write_customer_files(customers.where("c_acctbal < 0"), folders[0])
-    write_customer_files(customers.where("c_acctbal >= 0"), folders[1])
+    write_customer_files(customers.where("c_acctbal >= 0"), folders[1], backwards=True)
     return read_csv(spark, folders, CUSTOMER_FILE)
 
 
@@ -576,3 +660,20 @@ def load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audit_next_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as past runs."""
     return incremental.next_number(table(spark, sf_dir, "orders"), "o_orderkey", "next_run_id")
+
+
+@query
+def run_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as runs, those in debt as failed ones: what was recorded, all but the times."""
+    log = RunLog(spark, f"{new_folder(spark, 'store')}/logs", "customers", {"days": fixed_values.BACKFILL_DAYS})
+    runs = table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).cast("int").alias("run_id"), "c_acctbal", "c_name")
+    failed = F.col("c_acctbal") < 0
+    log.record_all(runs.select("run_id", F.lit("start").alias("status")))
+    log.record_all(
+        runs.select(
+            "run_id",
+            F.when(failed, "fail").otherwise("success").alias("status"),
+            F.when(failed, F.col("c_name")).alias("logs"),
+        )
+    )
+    return log.read().withColumn("has_time", F.col("timestamp").isNotNull()).drop("timestamp")

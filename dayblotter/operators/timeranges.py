@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +53,39 @@ def piece_number(ts: Column, first: Column, last: Column, days: int) -> Column:
 def within(column: Column, start, end) -> Column:
     """Inclusive at both ends; reaches the Parquet scan as two pushed filters."""
     return column.between(start, end)
+
+
+_ISO = "%Y-%m-%dT%H:%M:%S.%f"
+
+
+def _text(moment: datetime) -> str:
+    return moment.strftime(_ISO)[:-3]
+
+
+def _moment(text: str) -> datetime:
+    return datetime.strptime(text.removesuffix("Z"), _ISO)
+
+
+def next_millisecond(text: str) -> str:
+    return _text(_moment(text) + timedelta(milliseconds=1))
+
+
+def millisecond_windows(start: str, end: str, days: int) -> Iterator[tuple[str, str]]:
+    """The pieces of `split_span` as texts, for requests; one when start is end."""
+    if days <= 0:
+        raise ValueError("a window must be at least one day long")
+    first, last, step = _moment(start), _moment(end), timedelta(days=days)
+    count = max(-((first - last) // step), 1)
+    begins = [first + number * step for number in range(count)]
+    closes = [begin - timedelta(milliseconds=1) for begin in begins[1:]]
+    yield from zip(map(_text, begins), map(_text, [*closes, last]))
+
+
+def halves(start: str, end: str) -> list[tuple[str, str]]:
+    """A window cut in two; itself when it is a single millisecond."""
+    first, last = _moment(start), _moment(end)
+    if last <= first:
+        return [(start, end)]
+    middle = first + (last - first) // 2
+    middle -= timedelta(microseconds=middle.microsecond % 1000)
+    return [(start, _text(middle)), (_text(middle + timedelta(milliseconds=1)), end)]

@@ -281,4 +281,43 @@ ORACLES: dict[str, str] = {
          from events) where p = 1""",
     "load_once": "select * from customer",
     "audit_next_run": "select coalesce(max(o_orderkey), 0) + 1 as next_run_id from orders",
+    "view_registry_all": f"""
+        with {_ORDERS},
+        inc as (select o_orderkey as crime_id, o_orderdate as ts, o_orderpriority as kind,
+                       o_orderstatus = 'F' as arrested, o_custkey as beat, o_custkey % 25 as ward from orders),
+        joined as (select * from inc left join cal on ts::date = cal."date"),
+        st as ({_STATIONS}),
+        months as (select "year" * 100 + "month" as ym, count(*) as n from joined where "date" is not null group by 1),
+        grown as (select *, lag(n) over (order by ym) as p from months),
+        per_day as (select "date", holiday_name, count(*) as n from joined where "date" is not null group by 1, 2),
+        ranks as (select district, district_name, count(*) filter (arrested) as a, count(*) as c
+                  from st join inc on district = (beat // 100)::varchar group by all having a > 0),
+        counts as (select ward, kind, count(*) as n from inc group by all),
+        placed as (select *, row_number() over (partition by ward order by n desc, kind) as place from counts),
+        tops as (select ward, max(kind) filter (place = 1) as k1, max(kind) filter (place = 2) as k2, sum(n)::bigint as n
+                 from placed group by ward)
+        select 'crime_data_with_calendar_days_holidays' as view, crime_id as row_key,
+               ("year" * 10000 + "month" * 100 + "day")::bigint as number,
+               concat_ws(' ', month_name, day_of_week_name, day_of_week, holiday_name) as shown from joined
+        union all select 'crime_data_with_time_of_day', crime_id, beat, {_BUCKET.format('ts')} from inc
+        union all select 'crime_growth_by_month', ym::bigint, n, {_percent(_points('(n - p)', 'p'))} from grown
+        union all select 'holiday_vs_non_holiday_crimes', 0::bigint,
+               ((200 * sum(n) + count(*)) // (2 * count(*)))::bigint, case when holiday_name is null then 'N' else 'Y' end
+               from per_day group by 4
+        union all select 'police_rank_by_arrest', district::bigint,
+               a * 1000 + dense_rank() over (order by a),
+               concat_ws(' ', district_name, dense_rank() over (order by 10000 * a // c desc),
+                         dense_rank() over (order by c), {_percent(_points('a', 'c'))}) from ranks
+        union all select 'ward_crimes_summary', tops.ward, n * 1000 + dense_rank() over (order by n desc),
+               concat_ws(' ', n_name, k1, k2) from tops join nation on n_nationkey = tops.ward""",
+    "feed_scan": f"""
+        select * from (select {_feed('events', True)} from events)
+        where updated_at <= timestamp '2024-01-21 00:00:00'""",
+    "run_audit": """
+        with runs as (select (c_custkey + 1)::int as run_id, c_acctbal < 0 as failed, c_name from customer)
+        select run_id, 'start' as status, 'customers' as pipeline_name, '{"days": 7}' as config, null::varchar as logs,
+               true as has_time from runs
+        union all
+        select run_id, case when failed then 'fail' else 'success' end, 'customers', '{"days": 7}',
+               case when failed then c_name end, true from runs""",
 }

@@ -54,6 +54,7 @@ def monthly_growth(incidents: DataFrame, calendar: DataFrame) -> DataFrame:
     """Incidents per month inside the calendar, against the month before that has any."""
     months = (
         daily_counts(incidents)
+        .where(F.col("date").isNotNull())
         .join(calendar.select("date", "month", "year"), "date")
         .groupBy(F.col("year").alias("calendar_year"), F.col("month").alias("calendar_month"))
         .agg(F.sum("n").alias("crime_amount"))

@@ -1,23 +1,29 @@
 """A paged feed as a Spark data source, for batch and for streaming reads.
 
-The driver asks the service only for bounds and counts, to lay out who reads what. Tasks fetch the
-pages. A window with most of the rows is split into blocks of pages like any other.
+The driver asks the service for bounds and counts, to lay out who reads what: windows with too many
+rows are cut in two until each is little enough for one task. Tasks fetch the pages of a window by
+key, each after the last row of the page before. Every request has a ceiling of change time, fixed
+before the first: rows that change meanwhile leave what is read here without moving others, and
+belong to the next read.
 """
 
 from __future__ import annotations
 
+import io
 import json
 import sys
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
-from datetime import datetime, timedelta
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from typing import Any, Protocol
 from urllib.parse import urlencode
-from urllib.request import urlopen
+from urllib.request import Request, urlopen
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -29,121 +35,184 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from dayblotter.fixed_values import BACKFILL_DAYS, PAGE_ROWS
 from dayblotter.functions.columns import quoted
+from dayblotter.operators import timeranges
+from dayblotter.operators.timeranges import halves, millisecond_windows, next_millisecond
 from dayblotter.schemas import RAW_FEED
+from dayblotter.session import new_folder
+from dayblotter.sources.files import read_pages
 
-# Tasks get these classes with the job, so executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+# Tasks get what they run with the job, so executors need not have this package installed.
+for _module in (sys.modules[__name__], timeranges):
+    cloudpickle.register_pickle_by_value(_module)
 
-_ISO = "%Y-%m-%dT%H:%M:%S.%f"
+UPDATED, KEY = ":updated_at", ":id"
+TASK_ROWS = 16 * PAGE_ROWS
 
 
 class Transport(Protocol):
-    """What a service has to answer. Instances travel to executors."""
+    """What a service has to answer. Instances travel to executors.
+
+    Rows asked for lie in start <= column <= end and have a change time up to `ceiling`.
+    """
 
     def extreme(self, which: str, column: str) -> str | None:
         """The min or max of a column."""
 
-    def count(self, column: str, start: str, end: str) -> int:
-        """Rows with start <= column <= end."""
+    def count(self, column: str, start: str, end: str, ceiling: str) -> int:
+        """How many rows there are."""
+
+    def page(self, column: str, start: str, end: str, ceiling: str, limit: int, after: str | None) -> list[dict]:
+        """The first `limit` rows by key that come after a key."""
+
 
-    def page(self, column: str, start: str, end: str, limit: int, offset: int) -> list[dict]:
-        """Those rows in a fixed order, `limit` of them from `offset`."""
+def _clause(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
 @dataclass(frozen=True)
 class HttpTransport:
-    """A service that takes its query as $select, $where, $order, $limit and $offset."""
+    """A service that takes its query as $select, $where, $order and $limit, and its token as a header."""
 
     url: str
-    token: str | None = None
+    token: str | None = field(default=None, repr=False)
     opener: Callable[..., Any] = urlopen
     timeout: float = 60.0
 
     def _get(self, **clauses: Any) -> list[dict]:
-        query = {f"${name}": value for name, value in clauses.items()}
-        if self.token:
-            query["$$app_token"] = self.token
-        with self.opener(f"{self.url}?{urlencode(query)}", timeout=self.timeout) as reply:
+        query = urlencode({f"${name}": value for name, value in clauses.items()})
+        headers = {"X-App-Token": self.token} if self.token else {}
+        with self.opener(Request(f"{self.url}?{query}", headers=headers), timeout=self.timeout) as reply:
             if reply.status != 200:
                 raise OSError(f"feed answered {reply.status}")
             return json.load(reply)
 
+    @staticmethod
+    def _where(column: str, start: str, end: str, ceiling: str) -> str:
+        window = f"{column} between {_clause(start)} and {_clause(end)}"
+        return f"{window} and {UPDATED} <= {_clause(ceiling)}"
+
     def extreme(self, which: str, column: str) -> str | None:
         return self._get(select=f"{which}({column}) as value")[0].get("value")
 
-    def count(self, column: str, start: str, end: str) -> int:
-        where = f"{column} between '{start}' and '{end}'"
+    def count(self, column: str, start: str, end: str, ceiling: str) -> int:
+        where = self._where(column, start, end, ceiling)
         return int(self._get(select="count(*) as value", where=where)[0]["value"])
 
-    def page(self, column: str, start: str, end: str, limit: int, offset: int) -> list[dict]:
-        where = f"{column} between '{start}' and '{end}'"
-        return self._get(select=":*,*", where=where, order=":id", limit=limit, offset=offset)
+    def page(self, column: str, start: str, end: str, ceiling: str, limit: int, after: str | None) -> list[dict]:
+        where = self._where(column, start, end, ceiling)
+        if after is not None:
+            where += f" and {KEY} > {_clause(after)}"
+        return self._get(select=":*,*", where=where, order=KEY, limit=limit)
 
 
-def _text(moment: datetime) -> str:
-    return moment.strftime(_ISO)[:-3]
+@dataclass(frozen=True)
+class LandedPages:
+    """A service's answers from pages landed as JSON lines, in folders `day=...` by time of occurrence.
 
+    `extremes` and `hours`, rows by hour of occurrence, are kept from when the pages were landed. The
+    count of a window is that of the hours it touches: enough to lay out tasks by.
+    """
+
+    folder: str
+    extremes: dict[tuple[str, str], str | None]
+    hours: dict[str, int]
+
+    def extreme(self, which: str, column: str) -> str | None:
+        return self.extremes[which, column]
+
+    def count(self, column: str, start: str, end: str, ceiling: str) -> int:
+        return sum(rows for hour, rows in self.hours.items() if start[:13] <= hour <= end[:13])
+
+    def page(self, column: str, start: str, end: str, ceiling: str, limit: int, after: str | None) -> list[dict]:
+        asked = (self.folder, column, start, end, ceiling)
+        if asked not in _WINDOW:  # the pages of a window are asked for one after another
+            found = [
+                row
+                for row in self._rows(start[:10], end[:10])
+                if start <= row[column].removesuffix("Z") <= end and row[UPDATED].removesuffix("Z") <= ceiling
+            ]
+            _WINDOW.clear()
+            _WINDOW[asked] = sorted(found, key=lambda row: row[KEY])
+        rows = _WINDOW[asked]
+        first = 0 if after is None else bisect_right(rows, after, key=lambda row: row[KEY])
+        return rows[first : first + limit]
 
-def _moment(text: str) -> datetime:
-    return datetime.strptime(text.removesuffix("Z"), _ISO)
+    def _rows(self, first_day: str, last_day: str) -> Iterator[dict]:
+        store, root = fs.FileSystem.from_uri(self.folder if "://" in self.folder else f"file://{self.folder}")
+        for day in store.get_file_info(fs.FileSelector(root)):
+            if first_day <= day.base_name.removeprefix("day=") <= last_day and day.base_name.startswith("day="):
+                for file in store.get_file_info(fs.FileSelector(day.path)):
+                    if file.base_name.endswith(".json"):
+                        with store.open_input_stream(file.path) as lines:
+                            yield from map(json.loads, io.TextIOWrapper(lines, "utf-8"))
 
 
-def _windows(start: str, end: str, days: int) -> Iterator[tuple[str, str]]:
-    """The request windows, cut as `operators.timeranges.split_span` cuts; one when start is end."""
-    if days <= 0:
-        raise ValueError("a window must be at least one day long")
-    first, last, step = _moment(start), _moment(end), timedelta(days=days)
-    count = max(-((first - last) // step), 1)
-    begins = [first + number * step for number in range(count)]
-    closes = [begin - timedelta(milliseconds=1) for begin in begins[1:]]
-    yield from zip(map(_text, begins), map(_text, [*closes, last]))
+_WINDOW: dict[tuple, list[dict]] = {}
 
 
 @dataclass
-class PageBlock(InputPartition):
-    """Consecutive pages of one window. The last block of a window reads on until a page is empty."""
+class Windows(InputPartition):
+    """Windows that one task reads, one after another."""
 
     column: str
-    start: str
-    end: str
-    first_page: int
-    pages: int
-    last: bool
+    ceiling: str
+    spans: list[tuple[str, str]]
 
 
 @dataclass(frozen=True)
 class FeedReader:
-    """Planning and fetching, shared by the batch and the streaming reader."""
+    """Planning and fetching, shared by the batch and the streaming reader.
+
+    A task gets windows of up to `task_rows` rows together. `max_requests` bounds the tasks, and so
+    the requests that a service gets at once; `max_pages` is an error for a window that would take
+    more and cannot be cut.
+    """
 
     transport: Transport
     schema: StructType
-    limit: int
-    pages_per_task: int
-    max_pages: int | None
-
-    def plan(self, column: str, windows: Iterator[tuple[str, str]]) -> list[PageBlock]:
-        blocks = []
-        for start, end in windows:
-            pages = -(-self.transport.count(column, start, end) // self.limit)
-            if self.max_pages is not None and pages > self.max_pages:
-                raise RuntimeError(f"{pages} pages from {start} to {end}: use shorter windows")
-            firsts = range(0, max(pages, 1), self.pages_per_task)
-            blocks += [
-                PageBlock(column, start, end, first, self.pages_per_task, first == firsts[-1])
-                for first in firsts
-            ]
-        return blocks
-
-    def fetch(self, block: PageBlock) -> Iterator[pa.RecordBatch]:
-        page = block.first_page
-        while block.last or page < block.first_page + block.pages:
-            rows = self.transport.page(
-                block.column, block.start, block.end, self.limit, page * self.limit
-            )
-            if not rows:
-                return
-            yield self._batch(rows)
-            page += 1
+    limit: int = PAGE_ROWS
+    task_rows: int = TASK_ROWS
+    max_pages: int | None = None
+    max_requests: int | None = None
+
+    def plan(self, column: str, windows: Iterator[tuple[str, str]], ceiling: str) -> list[Windows]:
+        sized: list[tuple[str, str, int]] = []
+        # Counts are asked for side by side, as many at once as tasks may read.
+        with ThreadPoolExecutor(min(self.max_requests or 8, 8)) as pool:
+            left = list(windows)
+            while left:
+                counts = pool.map(lambda span: self.transport.count(column, *span, ceiling), left)
+                cut = []
+                for span, rows in zip(left, list(counts)):
+                    parts = halves(*span) if rows > self.task_rows else [span]
+                    if len(parts) > 1:
+                        cut += parts
+                        continue
+                    if self.max_pages is not None and rows > self.max_pages * self.limit:
+                        raise RuntimeError(f"more than {self.max_pages} pages from {span[0]} to {span[1]}")
+                    if rows:
+                        sized.append((*span, rows))
+                left = cut
+        tasks: list[tuple[list[tuple[str, str]], int]] = []
+        for start, end, rows in sorted(sized):
+            if tasks and tasks[-1][1] + rows <= self.task_rows:
+                tasks[-1] = ([*tasks[-1][0], (start, end)], tasks[-1][1] + rows)
+            else:
+                tasks.append(([(start, end)], rows))
+        groups = min(len(tasks), self.max_requests or len(tasks))
+        dealt = [[span for spans, _ in tasks[place::groups] for span in spans] for place in range(groups)]
+        return [Windows(column, ceiling, spans) for spans in dealt]
+
+    def fetch(self, windows: Windows) -> Iterator[pa.RecordBatch]:
+        for start, end in windows.spans:
+            after = None
+            while True:
+                rows = self.transport.page(windows.column, start, end, windows.ceiling, self.limit, after)
+                if rows:
+                    yield self._batch(rows)
+                    after = rows[-1][KEY]
+                if len(rows) < self.limit:
+                    break
 
     def _batch(self, rows: list[dict]) -> pa.RecordBatch:
         def value(row: dict, path: str) -> str | None:
@@ -160,40 +229,40 @@ class _BatchReader(DataSourceReader):
     def __init__(self, feed: FeedReader, options: dict) -> None:
         self.feed, self.options = feed, options
 
-    def partitions(self) -> list[PageBlock]:
+    def partitions(self) -> list[Windows]:
         o = self.options
-        windows = _windows(o["start"], o["end"], int(o.get("days", BACKFILL_DAYS)))
-        return self.feed.plan(o["column"], windows)
+        spans = millisecond_windows(o["start"], o["end"], int(o.get("days", BACKFILL_DAYS)))
+        return self.feed.plan(o["column"], spans, o["ceiling"])
 
-    def read(self, partition: PageBlock) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Windows) -> Iterator[pa.RecordBatch]:
         return self.feed.fetch(partition)
 
 
 class _ChangeReader(DataSourceStreamReader):
-    """Rows by change time. The offset is the newest change time handed out so far."""
+    """Rows by change time. The offset is the newest change time there was, and the ceiling of a batch."""
 
     def __init__(self, feed: FeedReader, options: dict) -> None:
         self.feed, self.options = feed, options
-        self.column = options.get("column", ":updated_at")
 
     def initialOffset(self) -> dict:
         return {"mark": self.options.get("since", "")}
 
     def latestOffset(self) -> dict:
-        newest = self.feed.transport.extreme("max", self.column)
+        newest = self.feed.transport.extreme("max", UPDATED)
         return {"mark": newest.removesuffix("Z") if newest else self.options.get("since", "")}
 
-    def partitions(self, start: dict, end: dict) -> list[PageBlock]:
-        if not end["mark"] or (start["mark"] and _moment(end["mark"]) <= _moment(start["mark"])):
+    def partitions(self, start: dict, end: dict) -> list[Windows]:
+        mark, ceiling = start["mark"], end["mark"]
+        if not ceiling or (mark and ceiling <= mark):
             return []
-        if start["mark"]:
-            begin = _text(_moment(start["mark"]) + timedelta(milliseconds=1))
+        if mark:
+            begin = next_millisecond(mark)
         else:
-            begin = self.feed.transport.extreme("min", self.column).removesuffix("Z")
+            begin = self.feed.transport.extreme("min", UPDATED).removesuffix("Z")
         days = int(self.options.get("days", BACKFILL_DAYS))
-        return self.feed.plan(self.column, _windows(begin, end["mark"], days))
+        return self.feed.plan(UPDATED, millisecond_windows(begin, ceiling, days), ceiling)
 
-    def read(self, partition: PageBlock) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Windows) -> Iterator[pa.RecordBatch]:
         return self.feed.fetch(partition)
 
 
@@ -209,14 +278,12 @@ def feed_source(transport: Transport, name: str = "incident_feed") -> type[DataS
             return FLAT_FEED
 
         def _feed(self, schema: StructType) -> FeedReader:
-            most = self.options.get("max_pages")
-            return FeedReader(
-                transport,
-                schema,
-                int(self.options.get("limit", PAGE_ROWS)),
-                int(self.options.get("pages_per_task", 16)),
-                int(most) if most else None,
-            )
+            given = {
+                name: int(self.options[name])
+                for name in ("limit", "task_rows", "max_pages", "max_requests")
+                if self.options.get(name)
+            }
+            return FeedReader(transport, schema, **given)
 
         def reader(self, schema: StructType) -> DataSourceReader:
             return _BatchReader(self._feed(schema), dict(self.options))
@@ -243,29 +310,35 @@ FLAT_FEED = _flat(RAW_FEED)
 
 @dataclass(frozen=True)
 class PagedFeed:
-    """A feed behind a transport, read page by page on the executors."""
+    """A feed behind a transport, read page by page on the executors; see `FeedReader`."""
 
     spark: SparkSession
     transport: Transport
     name: str = "incident_feed"
     days: int = BACKFILL_DAYS
     limit: int = PAGE_ROWS
+    task_rows: int = TASK_ROWS
+    max_pages: int | None = None
+    max_requests: int | None = None
 
     def __post_init__(self) -> None:
         self.spark.dataSource.register(feed_source(self.transport, self.name))
 
+    def _options(self, **more: str) -> dict:
+        own = {n: getattr(self, n) for n in ("days", "limit", "task_rows", "max_pages", "max_requests")}
+        return {name: value for name, value in {**own, **more}.items() if value is not None}
+
     def bounds(self, column: str) -> tuple[str | None, str | None]:
         least, greatest = (self.transport.extreme(which, column) for which in ("min", "max"))
         return least and least.removesuffix("Z"), greatest and greatest.removesuffix("Z")
 
-    def between(self, column: str, start: str, end: str) -> DataFrame:
-        options = {"column": column, "start": start, "end": end, "days": self.days, "limit": self.limit}
+    def between(self, column: str, start: str, end: str, ceiling: str) -> DataFrame:
+        options = self._options(column=column, start=start, end=end, ceiling=ceiling)
         return self.spark.read.format(self.name).options(**options).load()
 
     def changes(self, since: str | None = None) -> DataFrame:
         """The feed as a stream of changed rows."""
-        options = {"since": since or "", "days": self.days, "limit": self.limit}
-        return self.spark.readStream.format(self.name).options(**options).load()
+        return self.spark.readStream.format(self.name).options(**self._options(since=since or "")).load()
 
 
 @dataclass(frozen=True)
@@ -274,11 +347,21 @@ class LandedFeed:
 
     pages: DataFrame
 
+    @classmethod
+    def landed(cls, spark: SparkSession, path: str, arrays: bool = True) -> LandedFeed:
+        """Pages parsed once, and kept as Parquet in the shared folder for the reads that follow."""
+        folder = new_folder(spark, "landed")
+        read_pages(spark, path, RAW_FEED, arrays).write.parquet(folder)
+        return cls(spark.read.schema(RAW_FEED).parquet(folder))
+
+    @staticmethod
+    def _text(column: str) -> Column:
+        """ISO text sorts as time does; a trailing Z is cut before comparing."""
+        return F.rtrim(F.col(quoted(column)), F.lit("Z"))
+
     def bounds(self, column: str) -> tuple[str | None, str | None]:
-        text = F.rtrim(F.col(quoted(column)), F.lit("Z"))
+        text = self._text(column)
         return tuple(self.pages.agg(F.min(text), F.max(text)).first())
 
-    def between(self, column: str, start: str, end: str) -> DataFrame:
-        """ISO text sorts as time does; a trailing Z is cut before comparing."""
-        text = F.rtrim(F.col(quoted(column)), F.lit("Z"))
-        return self.pages.where(text.between(start, end))
+    def between(self, column: str, start: str, end: str, ceiling: str) -> DataFrame:
+        return self.pages.where(self._text(column).between(start, end) & (self._text(UPDATED) <= ceiling))

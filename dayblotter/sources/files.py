@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +15,21 @@ from pyspark.sql import types as T
 from dayblotter.fixed_values import MISSING_WORDS
 from dayblotter.functions.columns import conform, quoted, with_plain_headers
 
+# The first line, line breaks within quotes included.
+_HEADER = r'^\x{FEFF}?((?:[^"\r\n]|"[^"]*")*)'
+
+
+def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the columns their header names. One row for each file reaches the driver."""
+    text = spark.read.text(list(paths), wholetext=True)
+    headers = text.select(
+        F.col("_metadata.file_path"), F.regexp_extract("value", _HEADER, 1).alias("header")
+    ).where("header <> ''")
+    files = defaultdict(list)
+    for path, header in headers.collect():
+        files[tuple(next(csv.reader(io.StringIO(header))))].append(path)
+    return files
+
 
 def read_csv(
     spark: SparkSession,
@@ -18,20 +37,33 @@ def read_csv(
     schema: T.StructType | None = None,
     missing: Sequence[str] = MISSING_WORDS,
 ) -> DataFrame:
-    """One or many CSV files with a header, stacked; headers in lower case with underscores.
+    """One or many CSV files, each under its own header, stacked by name.
 
-    Values are read as text, words for "missing" become NULL, and a declared schema casts the
-    rest; nothing is inferred. Quoted values may hold line breaks, so a file is read by one task:
-    right for dimensions, which come in many small files, and not the way to read incidents.
+    Headers become lower case with underscores; a column that some files lack is NULL for them.
+    Values are read as text, words for "missing" become NULL, and a declared schema casts the rest;
+    nothing is inferred. A row with more or fewer cells than its header is an error. Empty files have
+    no rows. Quoted values may hold line breaks, so a file is read by one task: right for dimensions,
+    which come in many small files, and not the way to read incidents.
     """
-    text = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(paths if isinstance(paths, str) else list(paths))
-    )
-    plain = with_plain_headers(text)
+    given = [paths] if isinstance(paths, str) else list(paths)
+    frames = []
+    for header, files in sorted(_by_header(spark, given).items()):
+        text = (
+            spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in header]))
+            .option("header", True)
+            .option("enforceSchema", False)
+            .option("multiLine", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("mode", "FAILFAST")
+            .csv(files)
+        )
+        frames.append(with_plain_headers(text))
+    if not frames:
+        if schema is None:
+            raise ValueError(f"no header in {given}")
+        return spark.createDataFrame([], schema)
+    plain = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     known = plain.select(
         *[
             F.when(~F.col(quoted(name)).isin(*missing), F.col(quoted(name))).alias(name)
@@ -47,6 +79,8 @@ def read_pages(
     """Landed pages of a JSON feed under a declared schema, one partition's worth of files a task.
 
     `arrays` pages hold one JSON array a file, as a paged service returns them; otherwise a page
-    holds a record a line, which Spark can also split within a file.
+    holds a record a line, which Spark can also split within a file. A page that is cut off, or is no
+    JSON, is an error.
     """
-    return spark.read.schema(schema).option("multiLine", arrays).json(path)
+    reader = spark.read.schema(schema).option("multiLine", arrays).option("mode", "FAILFAST")
+    return reader.json(path)

@@ -2,16 +2,21 @@
 
 import contextlib
 import io
+import os
 import re
+from dataclasses import replace
 
+import pyarrow.parquet as pq
 import pytest
 
 from conftest import SF_DIR
 from dayblotter import bindings
 from dayblotter.operators.upsert import latest_per_key
-from dayblotter.schemas import TableSpec
+from dayblotter.operators.reshape import incidents_from_feed
+from dayblotter.schemas import INCIDENT_TABLE, TableSpec
 from dayblotter.session import new_folder
 from dayblotter.sinks.keyed import KeyedTable
+from dayblotter.sources.feed import LandedFeed
 
 
 def plan(df, mode="simple"):
@@ -97,15 +102,72 @@ def test_latest_per_key_combines_on_the_map_side(spark):
     assert text.index("partial_max") > text.index("Exchange hashpartitioning") and shuffles(text) == 1
 
 
-def test_upsert_shuffles_rows_once_and_reads_only_touched_buckets(spark):
+def stored_orders(spark):
     orders = bindings.table(spark, SF_DIR, "orders")
     spec = TableSpec("orders", orders.schema, ("o_orderkey",), ("o_orderdate",), buckets=8)
-    stored = KeyedTable(spark, new_folder(spark, "orders"), spec).create()
+    stored = KeyedTable(spark, new_folder(spark, "orders"), spec, compact_share=1e9).create()
+    return orders, stored
+
+
+def writes_of(spark, monkeypatch, work):
+    """The plans of what a keyed table writes."""
+    plans, write = [], KeyedTable._written
+
+    def seen(table, rows, state):
+        plans.append(plan(rows))
+        return write(table, rows, state)
+
+    monkeypatch.setattr(KeyedTable, "_written", seen)
+    work()
+    return plans
+
+
+def test_changes_are_shuffled_once_and_nothing_stored_is_read(spark, monkeypatch):
+    orders, stored = stored_orders(spark)
+    plans = writes_of(spark, monkeypatch, lambda: [stored.upsert(orders), stored.upsert(orders.limit(100))])
+    first, later = plans
+    assert shuffles(first) == 1 and "hashpartitioning(o_orderkey" in first and ", 8), REPARTITION_BY_NUM" in first
+    assert "keyed_" not in later and "REPARTITION_BY_NUM" in later
+
+
+def test_stored_rows_are_merged_without_a_shuffle(spark, monkeypatch):
+    orders, stored = stored_orders(spark)
     stored.upsert(orders)
-    some = orders.where("o_orderkey = 7").withColumn("_bucket", stored._bucket())
-    text = plan(stored._merged(some, "keep"))
-    assert shuffles(text) == 1
-    assert re.search(r"PartitionFilters: \[isnotnull\(_bucket#\d+\), \(_bucket#\d+ = \d+\)\]", text)
-    every = orders.withColumn("_bucket", stored._bucket())
-    text = plan(stored._merged(every, "keep"))
-    assert shuffles(text) == 1 and "shufflepartitionidpassthrough" in text
+    stored.upsert(orders.where("o_orderstatus = 'P'"))
+    text = plan(stored.read())
+    assert shuffles(text) == 0 and "Bucketed: true" in text and "SelectedBucketsCount: 8 out of 8" in text
+    (compacted,) = writes_of(spark, monkeypatch, stored.compact)
+    assert shuffles(compacted) == 0
+
+
+def test_numbering_rows_is_one_shuffle_and_writes_nothing(spark):
+    text = of(spark, "paged_scan")
+    assert shuffles(text) == 1 and text.count("Scan parquet") == 1 and "events.parquet" in text
+
+
+@pytest.mark.parametrize("name", ["monthly_growth", "q_weekday", "q_month"])
+def test_orders_are_scanned_once_for_counts_and_calendar(spark, name):
+    df = bindings.QUERIES[name](spark, SF_DIR)
+    df.collect()
+    text = plan(df)
+    assert text.count("orders.parquet") == 1 and "ReusedExchange" in text
+
+
+def test_landed_pages_are_parsed_once(spark):
+    folder = new_folder(spark, "pages")
+    bindings.raw_feed(bindings.table(spark, SF_DIR, "events"), corrected=False).write.json(folder)
+    feed = LandedFeed.landed(spark, folder, arrays=False)
+    text = plan(feed.between("date_of_occurrence", "2024-01-01T00:00:00.000", "2024-02-01T00:00:00.000", "2024-02-01T00:00:00.000"))
+    assert "json" not in text.lower().replace(folder.lower(), "") and "parquet" in text
+
+
+def test_change_times_have_statistics(spark):
+    stored = KeyedTable(spark, new_folder(spark, "t"), replace(INCIDENT_TABLE, buckets=2)).create()
+    stored.upsert(incidents_from_feed(bindings.raw_feed(bindings.table(spark, SF_DIR, "events"), corrected=False)))
+    folder = f"{stored.path}/{stored._state()['generation']}"
+    files = [f"{folder}/{name}" for name in os.listdir(folder) if name.endswith(".parquet")]
+    meta = pq.ParquetFile(files[0]).metadata
+    column = next(c for c in map(meta.row_group(0).column, range(meta.num_columns)) if c.path_in_schema == "updated_at")
+    assert column.physical_type == "INT64" and column.statistics.has_min_max
+    pushed = plan(stored.read().where("updated_at > timestamp '2024-01-15 00:00:00'"), "formatted")
+    assert "GreaterThan(updated_at" in pushed

@@ -4,11 +4,11 @@ import json
 
 import pytest
 
-from dayblotter.plans.registry import has_view, register_sql_folder
+from dayblotter.plans.registry import TABLES, VIEWS, has_view, register_sql_folder
 from dayblotter.schemas import RAW_FEED, RUNS, TableSpec, struct
 from dayblotter.session import new_folder, shared_folder
 from dayblotter.sinks.audit import RunLog
-from dayblotter.sinks.declare import declare_table
+from dayblotter.sinks.declare import create_view, declare_table, forget
 from dayblotter.sources.feed import LandedFeed
 from dayblotter.sources.files import read_pages
 from dayblotter.streaming.runs import IncidentStore
@@ -33,13 +33,13 @@ def config(tmp_path):
     (tmp_path / "stations.csv").write_text(
         f'{STATION_HEADER}\n7,Seventh,1 St,Town,IL,60601,w,1,2,3,1,2,41,-87,"(41, -87)"\n'
     )
-    (tmp_path / "holidays.csv").write_text('Name,Date\n"First Sunday","Sunday, October 1, 2023"\n')
+    (tmp_path / "holidays.csv").write_text('Name,Date\n"Kite Day","Friday, May 2, 2031"\n')
     return {
         "wards_csv": str(tmp_path / "wards.csv"),
         "stations_csv": str(tmp_path / "stations.csv"),
         "holiday_csvs": [str(tmp_path / "holidays.csv")],
-        "begin": "2023-10-01",
-        "end": "2023-10-31",
+        "begin": "2031-05-01",
+        "end": "2031-05-31",
     }
 
 
@@ -51,22 +51,22 @@ def landed(spark, folder, *records):
 
 def test_two_runs(spark, tmp_path, config):
     pages = tmp_path / "pages"
-    store = IncidentStore(spark, new_folder(spark, "store"))
-    feed = landed(spark, pages, record(1, arrest="Y"), record(2, date_of_occurrence="2023-10-02T13:00:00.000"))
+    store = IncidentStore(spark, new_folder(spark, "store"), expected_bytes=1)
+    feed = landed(spark, pages, record(1, arrest="Y"), record(2, date_of_occurrence="2031-05-05T13:00:00.000"))
     assert store.run(feed, "incidents", config) == "backfill"
     assert spark.table("crime_data").count() == 2
     assert spark.table("police_rank_by_arrest").first().arrest_percentage == "  50.00%"
-    assert tuple(spark.table("ward_crimes_summary").first()) == (16, "Doe, J.", "CRIMINAL DAMAGE", None, 2, 1)
+    assert tuple(spark.table("ward_crimes_summary").first()) == (16, "Doe, J.", "LOST KITE", None, 2, 1)
     assert {tuple(r) for r in spark.table("holiday_vs_non_holiday_crimes").collect()} == {(1.0, "Y"), (1.0, "N")}
     assert has_view(spark, "crime_growth_by_month")
     days = spark.table("crime_data_with_calendar_days_holidays")
-    assert len(days.columns) == 27 and days.where("holiday_name = 'First Sunday'").count() == 1
+    assert len(days.columns) == 27 and days.where("holiday_name = 'Kite Day'").count() == 1
     parts = spark.table("crime_data_with_time_of_day").select("crime_id", "time_of_day").collect()
     assert {tuple(r) for r in parts} == {("row-1", "night"), ("row-2", "afternoon")}
 
     # Dimensions stay as they are; new and changed incidents come in.
     (tmp_path / "wards.csv").write_text(f"{WARD_HEADER}\n")
-    feed = landed(spark, pages, record(2, arrest="Y", **{":updated_at": "2023-10-10T00:00:00.000Z"}))
+    feed = landed(spark, pages, record(2, arrest="Y", **{":updated_at": "2031-05-10T00:00:00.000Z"}))
     assert store.run(feed, "incidents", config) == "changes"
     assert spark.table("ward_offices").count() == 1
     assert spark.table("police_rank_by_arrest").first().arrest_percentage == " 100.00%"
@@ -84,7 +84,7 @@ def test_two_runs(spark, tmp_path, config):
 
 
 def test_failed_run_is_recorded_and_raised(spark, tmp_path, config):
-    store = IncidentStore(spark, new_folder(spark, "store"))
+    store = IncidentStore(spark, new_folder(spark, "store"), expected_bytes=1)
     feed = landed(spark, tmp_path / "pages", record(1))
     with pytest.raises(Exception):
         store.run(feed, "incidents", {**config, "wards_csv": str(tmp_path / "absent.csv")})
@@ -95,6 +95,20 @@ def test_failed_run_is_recorded_and_raised(spark, tmp_path, config):
     assert spark.table("crime_data").count() == 1
 
 
+def test_tables_and_views_are_there_for_another_session(spark, tmp_path, config):
+    store = IncidentStore(spark, new_folder(spark, "store"), expected_bytes=1)
+    feed = landed(spark, tmp_path / "pages", record(1, arrest="Y"), record(2))
+    store.run(feed, "incidents", config)
+    other = spark.newSession()
+    for name in (*TABLES, *VIEWS):
+        assert has_view(other, name) and other.table(name).count() > 0
+    assert not any(table.isTemporary for table in other.catalog.listTables() if table.name in VIEWS)
+    feed = landed(spark, tmp_path / "pages", record(3, **{":updated_at": "2031-05-10T00:00:00.000Z"}))
+    store.run(feed, "incidents", config)
+    assert other.table("crime_data").count() == 3
+    assert create_view(spark, "crime_growth_by_month", "select 1 as x", replace=False) is False
+
+
 def test_run_numbers(spark):
     log = RunLog(spark, new_folder(spark, "log"), "p", {"a": 1})
     assert log.next_run_id() == 1
@@ -125,5 +139,14 @@ def test_views_in_the_catalog(spark, tmp_path):
     assert tuple(spark.table("kept_totals").first()) == ("a", 3)
 
 
+def test_a_managed_table_does_not_give_way(spark):
+    spark.sql("create table managed_rows as select 1 as a")
+    with pytest.raises(ValueError, match="managed"):
+        forget(spark, "managed_rows")
+    with pytest.raises(ValueError, match="managed"):
+        create_view(spark, "managed_rows", "select 2 as a")
+    assert spark.table("managed_rows").first().a == 1
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
