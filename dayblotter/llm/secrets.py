@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayblotter.llm.common import table, without
+from dayblotter.llm.common import stored, table, without
 from dayblotter.session import new_folder, path_exists
 
 
@@ -168,11 +168,12 @@ def with_spans(
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     ledger.update(held.select(F.sha2(content, 256).alias("blob"), content.alias("text")), rules)
     places = F.create_map(*[part for i, r in enumerate(rules) for part in (F.lit(r.kind), F.lit(i))])
-    found = (
+    found = stored(
         ledger.findings(rules)
         .withColumn("_span", F.struct("start", places[F.col("rule")].alias("place"), "rule", "end"))
         .groupBy(F.col("blob").alias("_blob"))
-        .agg(F.sort_array(F.collect_list("_span")).alias("spans"))  # those of one text
+        .agg(F.sort_array(F.collect_list("_span")).alias("spans")),  # those of one text
+        "secrets",
     )
     empty = F.array().cast("array<struct<start bigint, place int, rule string, end bigint>>")
     return (
