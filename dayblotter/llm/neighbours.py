@@ -203,14 +203,14 @@ class Index:
         lists = found.groupBy("_query").agg(
             F.sort_array(F.collect_list(F.struct("_nth", "_id", "score"))).alias("_found")
         )
+        answers = stored(vectors.select("_query", "_vec").join(lists, "_query"), "neighbours")
         # Each query leaves itself out and takes the first of what is left.
         others = F.slice(
             F.filter("_found", lambda one: one["_id"] != F.col("query_id")), 1, self.neighbours
         )
         return (
             asked.withColumnRenamed("_id", "query_id")
-            .join(vectors.select("_query", "_vec"), "_vec")
-            .join(lists, "_query")
+            .join(answers, "_vec")
             .select("query_id", F.posexplode(others).alias("_place", "_one"))
             .select(
                 "query_id",
