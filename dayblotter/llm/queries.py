@@ -19,5 +19,6 @@ ORACLES = {
     "op1_extendible_shards": sharding.ORACLE,
     "op2_chat_format": chat.ORACLE,
     "op3_url_filter": urls.ORACLE,
+    "op7_substring_dedup": substrings.ORACLE,
     "op9_secret_scan": secrets.ORACLE,
 }

@@ -135,6 +135,7 @@ class Ledger:
         """
         wanted = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("version")) for r in rules])
         kinds = F.transform(wanted, lambda pair: pair["rule"])
+        distinct = blobs.dropDuplicates(["blob"])
         if path_exists(self.spark, f"{self.path}/pairs"):
             done = (
                 self.pairs()
@@ -143,14 +144,14 @@ class Ledger:
                 .agg(F.collect_set("_pair").alias("_done"))  # of as many as there are rule versions
             )
             left = F.array_except(wanted, F.coalesce("_done", F.array().cast("array<struct<rule string, version int>>")))
-            blobs = blobs.join(done, "blob", "left").withColumn("due", F.transform(left, lambda pair: pair["rule"]))
-            blobs = blobs.drop("_done").where("size(due) > 0")
+            joined = distinct.join(done, "blob", "left")
+            fresh = joined.withColumn("due", F.transform(left, lambda pair: pair["rule"])).drop("_done")
+            fresh = fresh.where("size(due) > 0")
         else:
-            blobs = blobs.withColumn("due", kinds)
-        distinct = blobs.dropDuplicates(["blob"])
-        scan(distinct, rules).write.mode("append").parquet(f"{self.path}/findings")
+            fresh = distinct.withColumn("due", kinds)
+        scan(fresh, rules).write.mode("append").parquet(f"{self.path}/findings")
         versions = F.create_map(*[part for r in rules for part in (F.lit(r.kind), F.lit(r.version))])
-        blobs.select("blob", "due").distinct().select("blob", F.explode("due").alias("rule")).withColumn(
+        fresh.select("blob", F.explode("due").alias("rule")).withColumn(
             "version", versions[F.col("rule")]
         ).write.mode("append").parquet(f"{self.path}/pairs")
 

@@ -59,7 +59,7 @@ def extendible_shards(
     done = []
     while True:
         cells = stored(_cells(left, depth), "sharding")
-        homes = _homes(cells, limit)
+        homes = stored(_homes(cells, limit), "sharding")
         dealt = left.withColumn("_cell", F.expr(f"substring(_bits, 1, _from + {depth})")).join(
             homes, "_cell"
         )
@@ -123,6 +123,11 @@ def _homes(cells: DataFrame, limit: int) -> DataFrame:
     return cells.select("_cell", "_split").join(best, "_cell", "left")
 
 
+def write_shards(shards: DataFrame, path: str) -> None:
+    """A folder of files for each shard, `shard=...`; a shard is written by one task, being bounded."""
+    shards.withColumn("shard", F.concat(F.lit("b"), "shard")).repartition("shard").write.partitionBy("shard").parquet(path)
+
+
 def directory(shards: DataFrame) -> DataFrame:
     """(slot, shard): the directory of 2^depth slots, depth being that of the deepest shard.
 

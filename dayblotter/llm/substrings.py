@@ -250,3 +250,27 @@ def op7_substring_dedup(spark, sf_dir):
     return without_repeats(docs, carry=["doc_id"]).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+ORACLE = """
+with docs as (
+  select row_number() over () as n, doc_id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words
+  from documents
+), windows as (
+  select n, doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) as h
+  from docs, unnest(range(1, len(words) - 48)) as t(i) where doc_id is not null
+), firsts as (
+  select h, min(doc_id) as first_doc from windows group by h having first_doc < max(doc_id)
+), gone as (
+  select distinct n, unnest(range(i, i + 50)) as i
+  from windows join firsts using (h) where first_doc < doc_id
+), kept as (
+  select w.n, string_agg(word, ' ' order by i) as kept, count(*) as n_kept
+  from (select n, unnest(words) as word, generate_subscripts(words, 1) as i from docs) w
+  anti join gone using (n, i) group by w.n
+)
+select doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n_kept, 0))::bigint as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from docs left join kept using (n)
+"""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayblotter.llm.common import table, without
+from dayblotter.llm.common import stored, table, without
 
 BROADCAST_RULES = 10_000
 _PREFIX_DIGITS = 8  # hexadecimal digits of the digest that are joined on, 32 bits
@@ -75,7 +75,7 @@ def filter_urls(
         met = asked.withColumn("_salt", F.pmod(F.xxhash64("host", "path"), F.lit(salts)).cast("int")).join(
             salted, ["_short", "_salt"]
         )
-    best = (
+    best = stored(
         met.where("_digest = _rule_digest")
         .groupBy("host", "path")
         .agg(
@@ -87,7 +87,8 @@ def filter_urls(
                     F.col("_rule_verdict").alias("verdict"),
                 )
             ).alias("_best")
-        )
+        ),
+        "urls",
     )
     return parsed.join(best, ["host", "path"], "left").select(
         *[f"`{name}`" for name in parsed.columns],

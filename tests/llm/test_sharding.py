@@ -4,7 +4,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from dayblotter.llm.sharding import directory, extendible_shards
+from dayblotter.llm.sharding import directory, extendible_shards, write_shards
+from dayblotter.session import new_folder
 from llm_data import frame, odd_rows, with_clash
 
 
@@ -65,3 +66,13 @@ def test_directory_has_every_slot_once(spark):
     assert sorted(slots) == list(range(2**deepest))
     for slot, shard in slots.items():
         assert bin(slot)[2:].zfill(deepest).startswith(shard)
+
+
+def test_shards_as_files(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"))
+    shards = extendible_shards(docs, ["doc_id"], F.lit(1), limit=40)
+    path = new_folder(spark, "shards")
+    write_shards(shards, path)
+    read = spark.read.option("basePath", path).parquet(path)
+    assert read.groupBy("shard").count().agg(F.max("count")).first()[0] <= 40
+    assert sorted((r["doc_id"], r["shard"]) for r in read.collect()) == sorted((r["doc_id"], "b" + r["shard"]) for r in shards.collect())
