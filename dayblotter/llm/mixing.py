@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dayblotter.llm.common import numbered, table, words_of
+from dayblotter.llm.common import bounded_batches, numbered, table, words_of
 
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4_096
 MOST_PASSES = 3
-CHUNK_ROWS = 20_000  # documents of a source that are put in order together
+CHUNK_ROWS = 4_000  # documents of a source that are put in order together
 _WEIGHTS = (1, 2, 3)
 _SEED = 8
 
@@ -226,7 +226,8 @@ def _pieces(starts: DataFrame, slots: DataFrame, block_words: int) -> DataFrame:
             F.least(end, (F.col("block") + 1) * block_words) - F.greatest("_start", F.col("block") * block_words)
         ).alias("words"),
     )
-    return slots.join(parts, ["source_place", "block"]).select(
+    # Spark takes slots for few, as the shards they are drawn from are; it must not broadcast them.
+    return slots.hint("merge").join(parts, ["source_place", "block"]).select(
         "shard", "slot", "source_place", "pass", "block", "_row", "first", "words"
     )
 
@@ -242,6 +243,7 @@ def mixed_documents(mix: Mix, text: str = "text", chars: str | None = "n_chars")
         mix.pieces.groupBy("_row", "pass")
         .agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_parts"))  # of one document
     )
+    bounded_batches(mix.rows.sparkSession)
     names = [n for n in mix.rows.columns if n not in ("_row", "size", "source_size", "target")]
     rows = mix.rows.join(taken, "_row").select(*[F.col(f"`{n}`") for n in names], "size", "_parts")
     schema = mix.rows.select(*[F.col(f"`{n}`") for n in names]).schema
