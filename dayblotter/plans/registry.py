@@ -55,6 +55,9 @@ def create_catalog_views(spark: SparkSession) -> list[str]:
     """The six views in the catalog, over the four tables, which must be there by name."""
     for name in TABLES:
         spark.catalog.dropTempView(name)
+    missing = [name for name in TABLES if not has_view(spark, name)]
+    if missing:
+        raise ValueError(f"not in the catalog: {missing}")
     for name in VIEWS:
         create_view(spark, name, (_CATALOG_SQL / f"{name}.sql").read_text())
     return list(VIEWS)
