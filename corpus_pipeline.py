@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; `run` writes it as Parquet to the shared
 folder and gives what it reads back to the next. All but the last return the columns of `documents`.
+
+A stage's frame has to be written before the next stage is called: that takes away what the stage
+before it worked with, so that a corpus needs room for the tables of one stage at a time.
 """
 
 from __future__ import annotations
@@ -12,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayblotter.llm import mixing, packing, quality, secrets, simhash
-from dayblotter.llm.common import stored, table
-from dayblotter.session import new_folder
+from dayblotter.llm.common import table, working_folder
+from dayblotter.session import new_folder, remove_folder
 
 # The draw of a mix and a set of components are not within SQL; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
@@ -49,17 +52,46 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, packing.public_tokenizer(), carry=["doc_id"])
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality_rules),
-    ("simhash_near_dedup", near_dedup),
-    ("secret_scan", secret_scan),
-    ("mix_to_weights", mix_to_weights),
-    ("pack_sequences", pack_sequences),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+# Folders of working tables by application: those of the last stage that was called.
+_WORKED_IN: dict[str, str] = {}
+
+
+def _clear(spark: SparkSession) -> None:
+    folder = _WORKED_IN.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        remove_folder(spark, folder)
+
+
+def _in_turn(name: str, stage: Stage) -> tuple[str, Stage]:
+    def called(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _clear(spark)
+        with working_folder(spark, name) as folder:
+            out = stage(spark, docs, sf_dir)
+        _WORKED_IN[spark.sparkContext.applicationId] = folder
+        return out
+
+    return name, called
+
+
+STAGES: list[tuple[str, Stage]] = [
+    _in_turn("quality_rules", quality_rules),
+    _in_turn("simhash_near_dedup", near_dedup),
+    _in_turn("secret_scan", secret_scan),
+    _in_turn("mix_to_weights", mix_to_weights),
+    _in_turn("pack_sequences", pack_sequences),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = new_folder(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
+    _clear(spark)
     return docs

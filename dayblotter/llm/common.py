@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,24 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+_WORKING: list[str] = []
+
+
+@contextmanager
+def working_folder(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """Within it, operators put their working tables into one new folder, which is given.
+
+    Frames that operators return go on reading their working tables. Once what a frame holds has been
+    written, `remove_folder` may take the folder away.
+    """
+    folder = new_folder(spark, purpose)
+    _WORKING.append(folder)
+    try:
+        yield folder
+    finally:
+        _WORKING.remove(folder)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The frame written to the shared folder and read back.
 
@@ -41,7 +61,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     work out twice and differently, such as row numbers.
     """
     spark = df.sparkSession
-    path = new_folder(spark, purpose)
+    path = f"{_WORKING[-1]}/{purpose}-{uuid4().hex}" if _WORKING else new_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

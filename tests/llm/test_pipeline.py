@@ -1,9 +1,12 @@
+import os
+
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from dayblotter.llm.packing import END_ID, public_tokenizer
 from dayblotter.llm.secrets import RULES
+from dayblotter.session import new_folder, shared_folder
 from llm_data import DOCS, frame, odd_rows, prose, words
 from test_secrets import base
 from test_simhash import classes, slow_fingerprint
@@ -63,14 +66,21 @@ def test_stages_against_brute_force(spark, rows):
 
 def test_stages_of_an_empty_table(spark):
     docs = frame(spark, [])
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, "")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        path = new_folder(spark, name)
+        stage(spark, docs, "").write.parquet(path)
+        docs = spark.read.parquet(path)
         assert docs.dtypes == spark.createDataFrame([], DOCS).dtypes and docs.collect() == []
     assert corpus_pipeline.pack_sequences(spark, docs, "").collect() == []
 
 
 def test_run(spark):
+    shared = f"{shared_folder(spark)}/dayblotter"
+    before = set(os.listdir(shared))
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = set(os.listdir(shared)) - before
+    # The result, and the ledger of secrets, which is there to stay.
+    assert sorted(name.split("-")[0] for name in left) == ["ledger", "pipeline"]
     assert out.columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     assert out.count() > 100
     assert len(RULES) == 7
