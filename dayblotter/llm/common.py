@@ -72,6 +72,16 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[df[f"`{name}`"] for name in df.columns if name.lower() not in taken])
 
 
+def carried(df: DataFrame, names: Iterable[str] | None, taken: Iterable[str]) -> list[str]:
+    """The columns of `df` to carry along: those named, or all, but for names that an operator takes.
+
+    An operator takes the names of the columns it adds, and of its working columns, which begin with
+    an underscore.
+    """
+    given = {name.lower() for name in taken}
+    return [name for name in names or df.columns if name.lower() not in given]
+
+
 def numbered(df: DataFrame, name: str, purpose: str) -> DataFrame:
     """The frame, stored, with a unique number for every row, repeated rows included."""
     return stored(without(df, [name]).withColumn(name, F.monotonically_increasing_id()), purpose)

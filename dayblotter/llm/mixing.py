@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dayblotter.llm.common import bounded_batches, numbered, table, words_of
+from dayblotter.llm.common import bounded_batches, carried, numbered, table, words_of
 
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4_096
@@ -26,6 +26,7 @@ MOST_PASSES = 3
 CHUNK_ROWS = 4_000  # documents of a source that are put in order together
 _WEIGHTS = (1, 2, 3)
 _SEED = 8
+_ADDED = ["size", "source_size", "target", "taken", "source_place", "_source", "_hash", "_row", "_known", "_chunks", "_chunk", "_parts"]
 
 
 @dataclass(frozen=True)
@@ -118,7 +119,7 @@ def mix_sources(
     target are given out as they are, and only what is left of them is drawn, so that shards differ
     little from the targets. No source gives more than `MOST_PASSES` passes: slots beyond stay empty.
     """
-    wanted = [name for name in carry or docs.columns if name.lower() not in _ADDED]
+    wanted = carried(docs, carry, _ADDED)
     kept = docs.select(
         *[F.col(f"`{name}`") for name in wanted],
         F.col(f"`{source}`").cast("string").alias("_source"),
@@ -147,9 +148,6 @@ def mix_sources(
     return Mix(placed.select(*[F.col(f"`{name}`") for name in wanted], "_row", "size", "source_size", "target"), pieces)
 
 
-_ADDED = ["size", "source_size", "target", "taken"]
-
-
 def _starts(placed: DataFrame) -> DataFrame:
     """Documents with words, with `_start`: how many words of their source come before them."""
     sums = placed.groupBy("source_place", "_chunk").agg(F.sum("size").alias("_sum"))

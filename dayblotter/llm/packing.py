@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from dayblotter.llm.common import bounded_batches, stored, table
+from dayblotter.llm.common import bounded_batches, carried, stored, table
 
 WINDOW = 2048
 END_ID = 1
-_ADDED = ["start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+_ADDED = ["start", "length", "ids", "doc_tokens", "sequence_id", "offset", "_text", "_part", "_row", "_sequence", "_offset"]
 
 
 @dataclass(frozen=True)
@@ -155,7 +155,7 @@ def pack(
     plan has a row for each run of equal pieces, which the driver makes from one count per length.
     """
     bounded_batches(docs.sparkSession)
-    wanted = [n for n in carry or docs.columns if n.lower() not in _ADDED and (carry or n != text)]
+    wanted = [name for name in carried(docs, carry, _ADDED) if carry or name != text]
     cut = stored(_cut(docs, tokenizer, wanted, text, window, end_id), "packing")
     rest = cut.where("sequence_id is null")
     # At most `window` numbers reach the driver.

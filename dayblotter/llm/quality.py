@@ -15,11 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayblotter.llm.common import stored, table, without, words_of
+from dayblotter.llm.common import carried, stored, table, without, words_of
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 EXTRA = ["n_lines", "n_ended_lines", "n_letters", "n_letter_words", "n_symbol_words", "n_unique_words"]
-_ADDED = [*BASE, *EXTRA, "base_failed", "votes", "quality", "kept"]
+_WORKING = ["_text", "_words", "_lines", "_keys", "_low", "_again"]
+_ADDED = [*BASE, *EXTRA, "base_failed", "votes", "quality", "kept", *_WORKING]
 SYMBOLS = "#*$%&|<>"
 ROUNDS = 50
 SETTLED = 1e-6
@@ -58,7 +59,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     Windows are found by sorting, for each document, one number per window: a hash above the window's
     place. Neighbours with one hash are compared word by word. Nothing leaves the row.
     """
-    rows = without(docs, [*_ADDED, "_text", "_words", "_lines", "_keys", "_low", "_again"])
+    rows = without(docs, _ADDED)
     rows = rows.withColumn("_text", F.coalesce(F.col(f"`{text}`"), F.lit("")))
     rows = rows.withColumn("_words", words_of(F.col("_text"))).withColumn(
         "_lines", F.filter(F.split("_text", "\n"), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]")))
@@ -89,7 +90,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "(here, next) -> least(3, coalesce(next - here, 3))), 0L, (sum, n) -> sum + n)"
     )
     return rows.select(
-        *[f"`{name}`" for name in rows.columns if not name.startswith("_")],
+        *[f"`{name}`" for name in rows.columns if name not in _WORKING],
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.regexp_replace("_text", r"[\x20\x09-\x0D]", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("_text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
@@ -206,7 +207,7 @@ def weak_quality(
     Texts are gone over once: what was measured is stored with the carried columns, the model is
     fitted to the stored votes, and judging reads them again.
     """
-    wanted = [name for name in carry or docs.columns if name.lower() not in _ADDED]
+    wanted = carried(docs, carry, _ADDED)
     voted = stored(
         measures(docs, text)
         .withColumn("votes", F.array(*[_vote(rule) for rule in rules]))

@@ -47,7 +47,7 @@ def extendible_shards(
     follows the number of shards, not of rows.
     """
     parts = F.to_json(F.struct(*[F.col(f"`{key}`").cast("string").alias(key) for key in keys]))
-    kept = without(rows, [*_ADDED, "_size", "_bits", "_base", "_from", "_cell", "_row"])
+    kept = without(rows, [*_ADDED, "_size", "_bits", "_base", "_from", "_cell", "_row", "_split"])
     work = numbered(
         kept.withColumn("_size", F.coalesce(size.cast("long"), F.lit(0))).withColumn("_bits", _bits(parts)),
         "_row",

@@ -15,13 +15,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayblotter.llm.common import bounded_batches, components, numbered, stored, table
+from dayblotter.llm.common import bounded_batches, carried, components, numbered, stored, table
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 FULL_CELL = 16
 _SEED = 42
-_ADDED = ["fingerprint", "component_id", "keep"]
+_ADDED = ["fingerprint", "component_id", "keep", "_fp", "_row", "_kept_row"]
 _BLOCK = 1 << 16  # shingles whose bits are counted at once
 
 
@@ -170,7 +170,7 @@ def simhash_groups(
     their component in a join on the fingerprint, which Spark splits where one is hot.
     """
     bounded_batches(docs.sparkSession)
-    wanted = [name for name in carry or docs.columns if name.lower() not in _ADDED]
+    wanted = carried(docs, carry, _ADDED)
     columns = list(dict.fromkeys([*wanted, doc_id]))
     rows = numbered(
         docs.select(*[F.col(f"`{name}`") for name in columns], fingerprints(F.col(f"`{text}`"), shingle).alias("_fp")),

@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from dayblotter.llm.common import bounded_batches, stored, table
+from dayblotter.llm.common import bounded_batches, carried, stored, table
 
 WINDOW = 50
-_ADDED = ["n_words", "n_removed", "kept"]
+_ADDED = ["n_words", "n_removed", "kept", "_key", "_marks", "_spans"]
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _INVERSES = tuple(pow(base, -1, 1 << 64) for base in _BASES)
 
@@ -211,7 +211,7 @@ def without_repeats(
     count has at least two of them.
     """
     bounded_batches(docs.sparkSession)
-    wanted = [name for name in carry or docs.columns if name.lower() not in _ADDED]
+    wanted = carried(docs, carry, _ADDED)
     columns = list(dict.fromkeys([*wanted, doc_id, text]))
     rows = docs.select(*[F.col(f"`{name}`") for name in columns]).withColumn(
         "_key", F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))

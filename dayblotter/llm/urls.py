@@ -50,7 +50,7 @@ def filter_urls(
     `BROADCAST_RULES` rules are broadcast; more are joined with `salts` copies of each, so that
     expressions all pages share spread over that many tasks.
     """
-    parsed = without(pages, _ADDED).withColumn("host", host_of(F.col(f"`{url}`")))
+    parsed = without(pages, [*_ADDED, "_best"]).withColumn("host", host_of(F.col(f"`{url}`")))
     parsed = parsed.withColumn("path", path_of(F.col(f"`{url}`")))
     known = _prepared(rules)
     shape = known.agg(
