@@ -90,7 +90,8 @@ def filter_urls(
         ),
         "urls",
     )
-    return parsed.join(best, ["host", "path"], "left").select(
+    # Decisions grow with the pages and compress well: Spark must not take their files for a few rows.
+    return parsed.join(best.hint("merge"), ["host", "path"], "left").select(
         *[f"`{name}`" for name in parsed.columns],
         F.col("_best.rule").alias("rule"),
         F.coalesce("_best.verdict", F.lit(default)).alias("verdict"),
