@@ -107,7 +107,7 @@ def test_odd_rows_and_empty_table(spark):
 
 
 def test_labelled_documents(spark):
-    """Held-out: labels are used here alone."""
+    """The estimate does not see labels; the rules were chosen with sight of such, see the README."""
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     rows = op10_weak_quality(spark, folder).join(labels, "doc_id").where("not base_failed").collect()
