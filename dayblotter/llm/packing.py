@@ -10,6 +10,7 @@ on the window alone. Pieces are then numbered within their length and look up th
 from __future__ import annotations
 
 import base64
+import re
 from collections import defaultdict, deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
@@ -28,6 +29,8 @@ from dayblotter.llm.common import bounded_batches, carried, stored, table
 
 WINDOW = 2048
 END_ID = 1
+LONGEST_SPACE = 100_000  # characters of white space in a row that `tiktoken` is given; near a million it panics
+_SPACE = re.compile(r"\s+")
 _ADDED = ["start", "length", "ids", "doc_tokens", "sequence_id", "offset", "_text", "_part", "_row", "_sequence", "_offset"]
 
 
@@ -36,7 +39,8 @@ class Tokenizer:
     """Ids of a text by a `tokenizers` file, special tokens neither added nor escaped.
 
     `ranks`, if given, is the same byte-level vocabulary for `tiktoken`, which is faster; `pattern`
-    splits texts for it. Texts that hold one of the file's special tokens always go by the file.
+    splits texts for it. Texts that hold one of the file's special tokens, or more white space in a
+    row than `LONGEST_SPACE`, always go by the file.
     """
 
     file: str
@@ -53,13 +57,19 @@ class Tokenizer:
             fast = tiktoken.Encoding("ranks", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
 
         def ids(text: str) -> list[int]:
-            if fast is None or any(token in text for token in special):
+            if fast is None or any(token in text for token in special) or _long_space(text):
                 return by_file.encode(text, add_special_tokens=False).ids
             return fast.encode_ordinary(text)
 
         return ids
 
 
+def _long_space(text: str) -> bool:
+    if len(text) <= LONGEST_SPACE:
+        return False
+    return any(found.end() - found.start() > LONGEST_SPACE for found in _SPACE.finditer(text))
+
+
 class _Rooms:
     """A segment tree over remaining room 0..capacity: which is the least, from some room on, that is open?"""
 

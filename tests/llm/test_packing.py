@@ -103,6 +103,12 @@ def test_odd_rows(spark, encode):
     assert len(set(places)) == len(places)
 
 
+def test_long_white_space(spark, encode):
+    texts = {1: "a" + " " * 1_000_000 + "b", 2: "\n" * 1_000_000, 3: " " * 100_000 + "c", 4: "plain"}
+    got = pack(frame(spark, [(n, t, "s") for n, t in texts.items()]), public_tokenizer(), window=2048)
+    check(got.collect(), texts, 2048, encode)
+
+
 def test_empty_table(spark):
     assert pack(frame(spark, []), public_tokenizer()).collect() == []
 
