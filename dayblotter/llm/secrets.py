@@ -32,6 +32,19 @@ class Rule:
     version: int = 1
 
 
+_BASE64 = "[A-Za-z0-9+/=]"
+_LABEL = r"(?:[A-Z]+ )*PRIVATE KEY-----"
+# From the header to its END line, with no other such line between (20 stretches of up to four dashes
+# are as many as the fields above a key have). Without an END line: those fields, the base64 that begins
+# the lines that follow, and long runs of it where lines were joined by blanks. A line end may be written
+# as an escape. Groups are repeated up to bounds, beyond any key, since each time takes stack.
+_PRIVATE_KEY = (
+    rf"-----BEGIN {_LABEL}(?:[^-]*(?:-{{1,4}}[^-]+){{0,20}}-----END {_LABEL}"
+    rf"|(?:\s*[A-Za-z]+-[A-Za-z]+:[^\r\n]*){{0,4}}(?:\x20*{_BASE64}{{16}}{_BASE64}*)?"
+    rf"(?:[\x20\t]*[\r\n\\][\s\\]*{_BASE64}+){{0,500}}(?:\x20{_BASE64}{{16}}{_BASE64}*){{0,60}}"
+    rf"(?:\x20[A-Za-z0-9+/]+=+)?)"
+)
+
 # The first three kinds and their order.
 RULES = [
     Rule(
@@ -42,7 +55,7 @@ RULES = [
     ),
     Rule("access", r"AKIA[A-Z0-9]+", shortest=20),
     Rule("hex", r"[0-9a-f]+", shortest=24),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY, version=2),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),

@@ -67,6 +67,39 @@ def test_further_kinds(spark):
         assert (0, 3 + number, len(text)) in got[number]
 
 
+LINES = [("Zk9+/" * 13)[n : n + 64 - n % 2] for n in range(26)] + ["Qw7="]
+HEAD, FOOT = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+FIELDS = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C\n\n"
+
+
+@pytest.mark.parametrize("between", ["\n", "\r\n", "\n    ", "\\n", " "])
+@pytest.mark.parametrize("fields", ["", FIELDS])
+def test_whole_private_keys_are_redacted(spark, between, fields):
+    if fields and between in ("\\n", " "):
+        fields = ""
+    body = HEAD + between + fields + between.join(LINES)
+    texts = [
+        f"so: {body}{between}{FOOT} é and more", f"so: {body}", f"so: {body}\n. What follows - stays.",
+        f"a {body}{between}{FOOT} b {body}{between}{FOOT} c", f"{HEAD} is a header. {FOOT[:9]} stays",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = with_spans(docs, "text", Ledger(spark, new_folder(spark, "ledger")))
+    clean = {row["doc_id"]: row["clean"] for row in found.withColumn("clean", redact(F.col("text"), F.col("spans"))).collect()}
+    assert clean == {
+        0: "so: [SECRET] é and more", 1: "so: [SECRET]", 2: "so: [SECRET]\n. What follows - stays.",
+        3: "a [SECRET] b [SECRET] c", 4: "[SECRET] is a header. -----END  stays",
+    }
+
+
+def test_headers_in_long_texts(spark):
+    lines = "\n".join(["A" * 64] * 3_000)
+    texts = [f"{HEAD}\n{lines}", f"{HEAD}\n{lines}\n{FOOT}", f"{HEAD} a-b " * 20_000, HEAD + " a-b" * 300_000]
+    got = scanned(spark, texts)
+    assert got[1] == [(0, 3, len(texts[1]))]
+    assert got[0][0][0] == 0 and got[0][0][2] > 32_000
+    assert len(got[2]) == 20_000 and len(got[3]) == 1
+
+
 def test_only_unseen_pairs_are_scanned(spark, monkeypatch):
     path = new_folder(spark, "ledger")
     seen = []
