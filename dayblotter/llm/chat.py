@@ -30,16 +30,13 @@ class Mapping:
 
 
 def _listed(field: str, role: str, text: str) -> str:
-    return (
-        f"transform(try_variant_get(_record, '$.{field}', 'array<struct<{role} string, {text} string>>'), "
-        f"m -> named_struct('role', m.{role}, 'text', m.{text}))"
-    )
+    return f"transform(_record.{field}, m -> named_struct('role', m.`{role}`, 'text', m.{text}))"
 
 
 def _said(*pairs: tuple[str, str]) -> str:
     """Turns from fields; an absent system text or input makes no turn."""
     turns = ", ".join(
-        f"named_struct('role', '{role}', 'text', try_variant_get(_record, '$.{field}', 'string'))"
+        f"named_struct('role', '{role}', 'text', _record.{field})"
         for role, field in pairs
     )
     return f"filter(array({turns}), t -> t.role <> 'system' or t.text is not null)"
@@ -53,9 +50,9 @@ MAPPINGS = [
         "instruction",
         ["{instruction,output}", "{input,instruction,output}"],
         "array(named_struct('role', 'user', 'text', concat_ws('\\n\\n', "
-        "try_variant_get(_record, '$.instruction', 'string'), "
-        "nullif(try_variant_get(_record, '$.input', 'string'), ''))), "
-        "named_struct('role', 'assistant', 'text', try_variant_get(_record, '$.output', 'string')))",
+        "_record.instruction, "
+        "nullif(_record.input, ''))), "
+        "named_struct('role', 'assistant', 'text', _record.output))",
     ),
     Mapping(
         "prompt",
@@ -70,6 +67,22 @@ MAPPINGS = [
     Mapping("question", ["{answer,question}"], _said(("user", "question"), ("assistant", "answer"))),
 ]
 
+# Every field that the mappings read. Unlike a variant, of 128 MiB at most, this has no limit of its own.
+_FIELDS = (
+    "messages array<struct<role string, content string>>, turns array<struct<role string, text string>>, "
+    "conversations array<struct<`from` string, value string>>, instruction string, input string, output string, "
+    "prompt string, completion string, response string, system string, question string, answer string, "
+    "_damaged string"
+)
+_READING = {"maxStringLen": str(2**31 - 1), "columnNameOfCorruptRecord": "_damaged"}
+
+# Quantifiers are possessive: others take stack by the match.
+_STRING = r'"[^"\\\x00-\x1f]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1f]*+)*+"'
+_ANY_STRING = r'"[^"\\]*+(?:(?s:\\.)[^"\\]*+)*+"'
+_NAME = _ANY_STRING + r"\s*+:"
+_FLAT = r'\{(?:[^{}\[\]"]|' + _ANY_STRING + r")*+\}"
+MOST_SKELETON = 100_000_000  # bytes of JSON, whose variant is surely within 128 MiB
+
 # Role names that other layouts use.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -93,6 +106,15 @@ def field_tree(record: Column) -> Column:
     return shape
 
 
+def skeleton(record: Column) -> Column:
+    """A JSON text without its texts, of the same tree: strings are empty, equal flat neighbours are one.
+
+    Names stay, and so do strings that are no JSON, for a parser to refuse.
+    """
+    emptied = F.regexp_replace(record, rf'({_NAME})|(")(?:{_STRING[1:-1]})(")|({_ANY_STRING})', "$1$2$3$4")
+    return F.regexp_replace(emptied, rf"({_NAME})|({_FLAT})(?:\s*+,\s*+\2)++", "$1$2")
+
+
 def _closed(tree: str) -> str:
     """A declared tree as `field_tree` writes it, which closes every bracket with `>`."""
     return tree.replace("}", ">").replace("]", ">")
@@ -120,15 +142,21 @@ def canonical_turns(records: DataFrame, record: str) -> DataFrame:
     one whose tree no mapping covers keep their row, with null `layout` and `turns`. A null text in
     a turn becomes empty, a null role becomes `user`. Repeated rows are kept. Input columns named
     like added ones give way to them.
+
+    Names are taken from the record's `skeleton`, texts by a reader without a limit on their length.
+    A skeleton above `MOST_SKELETON` is an error.
     """
-    parsed = without(records, ["schema_fingerprint", "layout", "turns", "_record"]).withColumn(
-        "_record", F.try_parse_json(F.col(f"`{record}`"))
-    )
-    parsed = parsed.withColumn("schema_fingerprint", F.md5(field_tree(F.col("_record"))))
+    held = without(records, ["schema_fingerprint", "layout", "turns", "_record", "_skeleton"])
+    parsed = held.withColumn("_skeleton", skeleton(F.col(f"`{record}`")))
+    short = F.when(
+        F.octet_length("_skeleton") > MOST_SKELETON, F.raise_error(F.lit("a record has too many fields")).cast("string")
+    ).otherwise(F.col("_skeleton"))
+    parsed = parsed.withColumn("schema_fingerprint", F.md5(field_tree(F.try_parse_json(short)))).drop("_skeleton")
+    parsed = parsed.withColumn("_record", F.from_json(F.col(f"`{record}`"), _FIELDS, _READING))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(_TURNS)
     for mapping in MAPPINGS:
         prints = [fingerprint_of(_closed(tree)) for tree in mapping.trees]
-        chosen = F.col("schema_fingerprint").isin(prints)
+        chosen = F.col("schema_fingerprint").isin(prints) & F.col("_record._damaged").isNull()
         layout = F.when(chosen, F.lit(mapping.name)).otherwise(layout)
         turns = F.when(chosen, F.expr(mapping.turns).cast(_TURNS)).otherwise(turns)
     names = F.create_map(*[F.lit(word) for pair in ROLES.items() for word in pair])
@@ -213,7 +241,11 @@ def op2_chat_format(spark, sf_dir):
         "from (select explode(sequence(0L, 1L)) i)"
     )
     records = records_of(turns.unionByName(probe), "conv_id", "turn", "role", "text")
-    formatted = format_turns(canonical_turns(records, "record"))
+    known = canonical_turns(records, "record")
+    # Every record was made above, so one that is not understood is a fault, not damaged input.
+    lost = F.concat(F.lit("no layout for the record of conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))
+    known = known.withColumn("turns", F.coalesce("turns", F.raise_error(lost).cast(_TURNS)))
+    formatted = format_turns(known)
     read = read_back(F.col("formatted"))
     said = F.concat_ws(
         "", F.transform("_read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))

@@ -1,9 +1,11 @@
 import json
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from dayblotter.llm import chat
 from dayblotter.llm.chat import (
     END,
     MAPPINGS,
@@ -17,6 +19,7 @@ from dayblotter.llm.chat import (
     op2_chat_format,
     read_back,
     records_of,
+    skeleton,
     unescape,
 )
 
@@ -96,6 +99,43 @@ def test_rows_by_turn(spark):
     assert got[2] == [("user", "x" * 200_000)] and got[None] == [("user", "n")] and got[3] == [("assistant", "")]
 
 
+def test_texts_longer_than_a_parser_takes_by_default(spark):
+    made = "select {conv}L conv_id, id turn, if(id % 2 = 0, 'user', 'assistant') role, repeat('{word}', {times}) text from range({turns})"
+    rows = [(1, "ab", 10_500_000, 1), (2, "c\\\\d\"", 1_000, 300), (3, "e", 1, 300_000)]
+    df = spark.sql(" union all ".join(made.format(conv=c, word=w, times=t, turns=n) for c, w, t, n in rows))
+    records = records_of(df, "conv_id", "turn", "role", "text")
+    out = canonical_turns(records, "record").select(
+        "conv_id", "layout", F.size("turns").alias("n"),
+        F.expr("aggregate(turns, 0L, (n, t) -> n + length(t.text))").alias("chars"),
+    )
+    got = {row["conv_id"]: row for row in out.collect()}
+    for conv, word, times, turns in rows:
+        assert (got[conv]["layout"], got[conv]["n"]) == ("messages", turns)
+        assert got[conv]["chars"] == len(word.replace("\\\\", "\\")) * times * turns
+
+
+def test_skeletons_keep_names_and_faults(spark):
+    cases = {
+        '{"a": "x\\"{", "b" : [{"c": "1"} , {"c": "2"},{"c": "3"}]}': '{"a": "", "b" : [{"c": ""}]}',
+        '{"k{},{}": "v", "k:": ":"}': '{"k{},{}": "", "k:": ""}',
+        '{"a": "\\q", "b": "c"}': '{"a": "\\q", "b": ""}',
+        '{"a": "line\nend"}': '{"a": "line\nend"}',
+        '["x", 1, "y\\\\"]': '["", 1, ""]',
+    }
+    df = spark.createDataFrame([(one,) for one in cases], "r string")
+    assert {row[0]: row[1] for row in df.select("r", skeleton(F.col("r"))).collect()} == cases
+    bad = read(spark, ['{"prompt": "\\q", "response": "b"}', '{"prompt": "a\nb", "response": "b"}', '{"prompt": "a", "response": "b'])
+    assert all(row["layout"] is None and row["schema_fingerprint"] is None for row in bad.values())
+    plain = read(spark, ['{"prompt": 3, "response": true}', '{"prompt": 2.50, "response": null}', '{"prompt": "\\u00e9\\ud83d\\ude00", "response": ""}'])
+    assert [[t["text"] for t in plain[n]["turns"]] for n in range(3)] == [["3", "true"], ["2.5", ""], ["é😀", ""]]
+
+
+def test_a_record_of_its_own_that_is_not_understood_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(chat, "MAPPINGS", [])
+    with pytest.raises(Exception, match="no layout for the record of conversation"):
+        op2_chat_format(spark, "/root/testdata/sf0.001").collect()
+
+
 def test_empty_table_and_clashing_names(spark):
     df = spark.createDataFrame([], "record string, LAYOUT int, segments int")
     out = format_turns(canonical_turns(df, "record"))
