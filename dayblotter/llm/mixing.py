@@ -2,9 +2,10 @@
 
 The documents of a source, one after another, are a stream of words that is cut into blocks of a fixed
 length. An output shard has a fixed number of slots; how many of them each source gets is drawn from a
-multinomial distribution. A source's slots are numbered over all shards, and a pseudorandom
-permutation of its block numbers, another one for each pass over the source, says which block a slot
-holds. Blocks then join slots by number.
+multinomial distribution. Over all shards a source gets the slots of its target: those drawn beyond it
+are handed, each within its shard, to the sources that drew too few. A source's slots are numbered over
+all shards, and a pseudorandom permutation of its block numbers, another one for each pass over the
+source, says which block a slot holds. Blocks then join slots by number.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ MOST_PASSES = 3
 CHUNK_ROWS = 4_000  # documents of a source that are put in order together
 _WEIGHTS = (1, 2, 3)
 _SEED = 8
+_DEALING, _KEEPING = 1 << 40, 1 << 41  # keys of permutations, beyond those of passes
 _ADDED = ["size", "source_size", "target", "taken", "source_place", "_source", "_hash", "_row", "_known", "_chunks", "_chunk", "_parts"]
 
 
@@ -66,6 +68,17 @@ def targets(sizes: Mapping[str | None, int], most: float = MOST_PASSES) -> dict[
     return found
 
 
+def rounded(shares: Sequence[float]) -> list[int]:
+    """Whole slots for each source, each share rounded up or down, that add up to the rounded sum.
+
+    Whole shares stay as they are; fractions are rounded as their running sum is.
+    """
+    whole = [int(np.floor(share + 1e-6)) for share in shares]
+    over = np.cumsum([0.0, *(max(0.0, share - n) for share, n in zip(shares, whole))])
+    steps = np.diff(np.floor(over + 0.5).astype(int))
+    return [n + int(step) for n, step in zip(whole, steps)]
+
+
 def permuted(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
     """Where a pseudorandom permutation of 0..size-1 puts each number.
 
@@ -117,7 +130,8 @@ def mix_sources(
     The order of documents in a source is pseudorandom, by hash; they are put in order in chunks
     of a bounded size, so a source of any size spreads over many tasks. A shard's whole slots by
     target are given out as they are, and only what is left of them is drawn, so that shards differ
-    little from the targets. No source gives more than `MOST_PASSES` passes: slots beyond stay empty.
+    little from the targets. Over all shards every source has the slots of its target, see `rounded`,
+    so none gives more than `MOST_PASSES` passes and no slot stays empty.
     """
     wanted = carried(docs, carry, _ADDED)
     kept = docs.select(
@@ -170,11 +184,14 @@ def _slots(docs: DataFrame, sources: Sequence[Source], shard_slots: int) -> Data
     """(shard, slot, source_place, pass, block): what every slot of every shard holds.
 
     Shards are drawn independently, each from its own seed; a run sum over shards then numbers the
-    slots of a source.
+    slots of a source. A source that drew more slots than `rounded` gives it keeps a pseudorandom choice
+    of them. The others, numbered over all sources, are dealt in a pseudorandom order to the sources that
+    drew less, so they are spread over shards, and a shard has as many slots as before.
     """
     spark = docs.sparkSession
     shares = np.array([one.slots for one in sources])
-    total = round(float(shares.sum()))
+    goals = np.array(rounded(shares), dtype=np.int64)
+    total = int(goals.sum())
     shards = -(-total // shard_slots)
     chances = shares / shares.sum() if total else shares
     blocks = [one.blocks for one in sources]
@@ -192,19 +209,41 @@ def _slots(docs: DataFrame, sources: Sequence[Source], shard_slots: int) -> Data
                 out += [(shard, place, int(n)) for place, n in enumerate(whole) if n]
             yield pd.DataFrame(out, columns=["shard", "source_place", "_slots"])
 
+    counts = spark.range(shards).mapInPandas(drawn, "shard long, source_place int, _slots long")
+    got = np.zeros(len(sources), dtype=np.int64)
+    for place, number in counts.groupBy("source_place").agg(F.sum("_slots")).collect():  # a row for each source
+        got[place] = number
+    # Before each source: slots given up, and slots taken over.
+    given = np.cumsum([0, *np.maximum(got - goals, 0)])
+    taken = np.cumsum([0, *np.maximum(goals - got, 0)])
+
+    def dealt(place: int, first: int, number: int) -> Iterator[tuple[int, np.ndarray]]:
+        """The sources of slots that `place` drew, with the slots' numbers in them."""
+        slot = np.arange(first, first + number)
+        if got[place] <= goals[place]:
+            yield place, slot
+            return
+        slot = permuted(slot, int(got[place]), _KEEPING + place)
+        yield place, slot[slot < goals[place]]
+        extra = slot[slot >= goals[place]] - goals[place] + given[place]
+        if len(extra):
+            extra = permuted(extra, int(given[-1]), _DEALING)
+            owner = np.searchsorted(taken, extra, side="right") - 1
+            for one in np.unique(owner):
+                yield int(one), got[one] + extra[owner == one] - taken[one]
+
     def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for shard, place, number, first in batch.itertuples(index=False):
-                slot = np.arange(first, min(first + number, MOST_PASSES * blocks[place]))
-                turn, nth = slot // blocks[place], slot % blocks[place]
-                for one in np.unique(turn):
-                    mine = turn == one
-                    block = permuted(nth[mine], blocks[place], place * MOST_PASSES + int(one))
-                    yield pd.DataFrame(
-                        {"shard": shard, "slot": slot[mine], "source_place": place, "pass": int(one), "block": block}
-                    )
+            for shard, drawn_place, number, first in batch.itertuples(index=False):
+                for place, slot in dealt(drawn_place, first, number):
+                    turn, nth = slot // blocks[place], slot % blocks[place]
+                    for one in np.unique(turn):
+                        mine = turn == one
+                        block = permuted(nth[mine], blocks[place], place * MOST_PASSES + int(one))
+                        yield pd.DataFrame(
+                            {"shard": shard, "slot": slot[mine], "source_place": place, "pass": int(one), "block": block}
+                        )
 
-    counts = spark.range(shards).mapInPandas(drawn, "shard long, source_place int, _slots long")
     earlier = Window.partitionBy("source_place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     runs = counts.withColumn("_first", F.coalesce(F.sum("_slots").over(earlier), F.lit(0)))
     return runs.repartition("shard").mapInPandas(held, "shard long, slot long, source_place int, pass int, block long")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from dayblotter.llm import mixing
-from dayblotter.llm.mixing import mix_sources, mixed_documents, permuted, targets
+from dayblotter.llm.mixing import mix_sources, mixed_documents, permuted, rounded, targets
 from llm_data import frame, odd_rows, prose, with_clash, words
 
 
@@ -55,6 +55,32 @@ def test_mix_is_near_its_targets(spark):
     assert {r["doc_id"]: anew[r["_row"]] for r in again.rows.collect()} == {n: held[r["_row"]] for n, r in got.items()}
 
 
+def test_rounded_shares_add_up():
+    assert rounded([3.0, 0.5, 0.5, 0.5, 0.5, 12.0]) in ([3, 1, 0, 1, 0, 12], [3, 0, 1, 0, 1, 12])
+    shares = np.random.default_rng(1).random(500) * 9
+    got = rounded(shares)
+    assert sum(got) == round(shares.sum()) and max(abs(np.array(got) - shares)) < 1 + 1e-9
+    assert rounded([]) == [] and rounded([0.0]) == [0]
+
+
+def test_small_sources_over_thousands_of_shards(spark):
+    # One block a document; the small ones are stopped at three passes.
+    small = {"s1": 1, "s2": 4, "s3": 12}
+    rows = [(n, prose(n, 4), "big") for n in range(9_000)]
+    rows += [(10_000 + n, prose(n, 4), name) for name, number in small.items() for n in range(number)]
+    mix = mix_sources(frame(spark, rows), block_words=4, shard_slots=4)
+    pieces = mix.pieces.collect()
+    assert len({row["shard"] for row in pieces}) > 2_000
+    place = {name: at for at, name in enumerate(sorted(["big", *small]))}
+    slots = {(row["source_place"], row["slot"], row["pass"], row["block"]) for row in pieces}
+    found = Counter(at for at, _, _, _ in slots)
+    assert {name: found[place[name]] for name in small} == {name: 3 * number for name, number in small.items()}
+    assert len(slots) == len({(at, turn, block) for at, _, turn, block in slots}) == len(rows)
+    assert set(Counter(shard for shard, _, _ in {(r["shard"], r["source_place"], r["slot"]) for r in pieces}).values()) <= {4, len(rows) % 4}
+    held, docs = taken(mix), mix.rows.collect()
+    assert all(held[row["_row"]] == 12 for row in docs if row["source"] in small)
+
+
 def test_slots_hold_blocks(spark):
     rows = [(n, prose(n, 50), f"s{n % 2}") for n in range(40)]
     pieces = mix_sources(frame(spark, rows), block_words=16, shard_slots=8).pieces.collect()
