@@ -33,7 +33,7 @@ from dayblotter.session import new_folder, stored_bytes
 from dayblotter.sinks.audit import RunLog
 from dayblotter.sinks.declare import declare_table
 from dayblotter.sinks.keyed import KeyedTable, buckets_for
-from dayblotter.sources.feed import LandedFeed, LandedPages, PagedFeed
+from dayblotter.sources.feed import LandedFeed, LandedPages
 from dayblotter.sources.files import read_csv, read_pages
 from dayblotter.streaming.runs import IncidentStore
 from dayblotter.streaming.upserts import stream_upserts
@@ -493,8 +493,10 @@ def land_pages(events: DataFrame) -> LandedPages:
 
 @query
 def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events through the paged reader, up to its ceiling; later changes are left for the next read."""
-    feed = PagedFeed(spark, land_pages(table(spark, sf_dir, "events")), "landed_feed", limit=5000, max_requests=32)
+    """Events landed as JSON pages and read back up to a ceiling; later changes are left for the next read."""
+    folder = new_folder(spark, "pages")
+    raw_feed(table(spark, sf_dir, "events"), corrected=True).write.option("maxRecordsPerFile", 100000).json(folder)
+    feed = LandedFeed.landed(spark, folder, arrays=False)
     start, end = feed.bounds("date_of_occurrence")
     rows = feed.between("date_of_occurrence", start, end, f"{SPLIT_TIME.replace(' ', 'T')}.000")
     return with_utc_stamps(incidents_from_feed(rows))

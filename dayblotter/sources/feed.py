@@ -109,8 +109,9 @@ class HttpTransport:
 class LandedPages:
     """A service's answers from pages landed as JSON lines, in folders `day=...` by time of occurrence.
 
-    `extremes` and `hours`, rows by hour of occurrence, are kept from when the pages were landed. The
-    count of a window is that of the hours it touches: enough to lay out tasks by.
+    A stand-in for tests of `PagedFeed`; landed pages are read by `LandedFeed`. `extremes` and `hours`,
+    rows by hour of occurrence, are kept from when the pages were landed. The count of a window is that
+    of the hours it touches, so no hour may have more rows than a task.
     """
 
     folder: str

@@ -193,6 +193,20 @@ def test_landed_pages_answer_as_a_service_does(spark):
     assert rows.count() == rows.select("`:id`").distinct().count() == events.count()
 
 
+def test_scan_of_an_hour_with_more_rows_than_a_task(spark, monkeypatch):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").limit(20)
+    number = F.monotonically_increasing_id()
+    hot = events.crossJoin(spark.range(1200)).withColumn("event_id", number.cast(events.schema["event_id"].dataType))
+    hot = hot.withColumn("ts", F.lit("2024-01-05 10:15:00").cast(events.schema["ts"].dataType)).drop("id").localCheckpoint()
+    monkeypatch.setattr(bindings, "table", lambda spark, sf_dir, name: hot)
+    # Planned as windows, it would come down to every millisecond of the hour.
+    monkeypatch.setattr(FeedReader, "plan", None)
+    monkeypatch.setattr("dayblotter.sources.feed.PagedFeed.between", None)
+    got = bindings.feed_scan(spark, "")
+    below = bindings.raw_feed(hot, corrected=True).where("rtrim('Z', `:updated_at`) <= '2024-01-21T00:00:00.000'")
+    assert got.count() == got.distinct().count() == below.count() > 16_000
+
+
 class Moving:
     """A feed in which something changes after each read."""
 
