@@ -1,6 +1,19 @@
 """The queries of this subpackage and the SQL that checks those which SQL can express."""
 
-from dayblotter.llm import chat, mixing, neighbours, packing, quality, secrets, sharding, simhash, substrings, urls
+from dayblotter.llm import (
+    bpe,
+    chat,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    substrings,
+    urls,
+    vector_codes,
+)
 
 QUERIES = {
     "op1_extendible_shards": sharding.op1_extendible_shards,
@@ -13,6 +26,8 @@ QUERIES = {
     "op8_mix": mixing.op8_mix,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_weak_quality": quality.op10_weak_quality,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_bpe": bpe.op13_bpe,
 }
 
 ORACLES = {

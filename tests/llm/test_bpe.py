@@ -1,0 +1,129 @@
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tokenizers
+from pyspark.sql import functions as F
+
+from dayblotter.llm.bpe import BpeFile, Codec, PairTree, decoded, encoded, merged, op13_bpe, word_tokenizer
+from llm_data import frame, odd_rows, with_clash
+
+FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
+
+
+def one_by_one(symbols, merges):
+    """Merges found by looking at all pairs each time."""
+    symbols = list(symbols)
+    while True:
+        found = [(merges[pair][0], place) for place, pair in enumerate(zip(symbols, symbols[1:])) if pair in merges]
+        if not found:
+            return symbols
+        place = min(found)[1]
+        symbols[place : place + 2] = [merges[symbols[place], symbols[place + 1]][1]]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_merges_are_leftmost_of_lowest_rank(seed):
+    rng = random.Random(seed)
+    merges, most = {}, 3
+    for rank in range(rng.randrange(1, 25)):
+        pair = (rng.randrange(most), rng.randrange(most))
+        if pair not in merges:
+            merges[pair] = (rank, most)
+            most += 1
+    symbols = [rng.randrange(3) for _ in range(rng.randrange(0, 60))]
+    assert merged(list(symbols), merges) == one_by_one(symbols, merges)
+
+
+def test_tree_root_is_the_least():
+    rng = random.Random(3)
+    entries = [rng.randrange(10**6) for _ in range(37)]
+    tree = PairTree(list(entries))
+    for _ in range(300):
+        place = rng.randrange(37)
+        entries[place] = rng.randrange(10**6)
+        tree.put(place, entries[place])
+        assert tree.first() == min(entries)
+
+
+@pytest.fixture(scope="module", params=FILES)
+def pair(request):
+    path = public_tokenizers.path(request.param)
+    return Codec(path), tokenizers.Tokenizer.from_file(path)
+
+
+def same(codec, library, text):
+    ids = library.encode(text, add_special_tokens=False).ids
+    got = codec.encode(text)
+    assert np.frombuffer(got, dtype="<u4").tolist() == ids, ascii(text[:80])
+    assert codec.decode(got) == library.decode(ids, skip_special_tokens=False), ascii(text[:80])
+
+
+def test_like_the_library(pair):
+    rng = random.Random(5)
+    parts = [
+        "Hello", "it's", "'LL", "don't", " ", "\n\n", " ", "\x1c", "\x85", "​", "é", "é", "Σ", "ΑΣ", "ς", "İ", "ß",
+        "漢字", "한글", "가", "😀", "👩‍👩", "१२", "½", "!!", "…", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>",
+        "<|", "</w>", "Ġ", "ﬁ", "͸", "Ɤ", "\U00010d50", "\U0001fffe", "\0", "�", "aaaaaaaa", "th", "ing", "123", "_x_",
+    ]
+    for _ in range(1500):
+        same(*pair, "".join(rng.choice(parts) for _ in range(rng.randrange(0, 14))))
+
+
+def test_every_known_character(pair):
+    """Runs of characters with letters, digits and signs about them, so that each one's class shows."""
+    for first in range(0, 0x20000, 64):
+        same(*pair, "".join(f"a{chr(one)}!{chr(one)}1 " for one in range(first, first + 64) if not 0xD800 <= one < 0xE000))
+
+
+def test_very_long_pieces(pair):
+    rng = random.Random(9)
+    for text in ["a" * 50_000, "".join(rng.choice("etaoinshr") for _ in range(60_000)), " " * 60_000 + "x", "é" * 20_000, "?" * 30_001]:
+        same(*pair, text)
+
+
+def test_other_files_are_refused(tmp_path):
+    path = tmp_path / "odd.json"
+    path.write_text('{"model": {"type": "BPE", "vocab": {}, "merges": [], "unk_token": "<unk>"}}')
+    with pytest.raises(ValueError, match="unk_token"):
+        Codec(str(path))
+
+
+def test_odd_rows(spark):
+    library = tokenizers.Tokenizer.from_file(word_tokenizer().file)
+    docs = with_clash(frame(spark, odd_rows()), "ids", "decoded").withColumn("_other", F.lit("x"))
+    got = decoded(encoded(docs, word_tokenizer()), word_tokenizer())
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "_other", "ids", "decoded"]
+    found = got.collect()
+    assert len(found) == len(odd_rows())
+    for row in found:
+        ids = library.encode(row["text"] or "", add_special_tokens=False).ids
+        assert np.frombuffer(row["ids"], dtype="<u4").tolist() == ids
+        assert row["decoded"] == library.decode(ids, skip_special_tokens=False)
+
+
+def test_ids_that_are_none(spark):
+    rows = spark.createDataFrame([(1, None), (2, b""), (3, b"\xff\xff\xff\x7f\x00\x00\x00\x00")], "id long, ids binary")
+    got = {row["id"]: row["decoded"] for row in decoded(rows, word_tokenizer()).collect()}
+    assert got == {1: None, 2: "", 3: "!"}
+
+
+def test_empty_table(spark):
+    docs = frame(spark, [])
+    assert decoded(encoded(docs, word_tokenizer()), BpeFile(word_tokenizer().file)).collect() == []
+
+
+def test_query_against_the_library(spark):
+    folder = "/root/testdata/sf0.001"
+    library = tokenizers.Tokenizer.from_file(word_tokenizer().file)
+    expected = []
+    for number, text in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect():
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        back = library.decode(ids, skip_special_tokens=False)
+        digest = hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
+        expected.append((number, len(ids), digest, hashlib.sha256(back.encode()).hexdigest()))
+    got = op13_bpe(spark, folder)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
