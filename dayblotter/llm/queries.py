@@ -6,6 +6,7 @@ from dayblotter.llm import (
     mixing,
     neighbours,
     packing,
+    prefix_trie,
     quality,
     secrets,
     sharding,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_mix": mixing.op8_mix,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_weak_quality": quality.op10_weak_quality,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
     "op12_vector_codes": vector_codes.op12_vector_codes,
     "op13_bpe": bpe.op13_bpe,
 }
@@ -36,4 +38,5 @@ ORACLES = {
     "op3_url_filter": urls.ORACLE,
     "op7_substring_dedup": substrings.ORACLE,
     "op9_secret_scan": secrets.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
 }
