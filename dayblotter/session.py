@@ -84,6 +84,20 @@ def _text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_characters(spark: SparkSession, path: str, count: int) -> str:
+    """The first characters of a file, and no more of it is read than they and a buffer."""
+    files, hadoop_path = _hadoop_path(spark, path)
+    stream = files.open(hadoop_path)
+    try:
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        room, got = spark.sparkContext._gateway.new_array(spark._jvm.char, count), 0
+        while got < count and (more := reader.read(room, got, count - got)) > 0:
+            got += more
+        return spark._jvm.java.lang.String.valueOf(room, 0, got)
+    finally:
+        stream.close()
+
+
 def text_files(spark: SparkSession, folder: str, ending: str) -> dict[str, str]:
     """Name and text of the small files of a folder, in whatever store it is."""
     return {name: _text(spark, f"{folder}/{name}") for name in _names(spark, folder, ending)}
