@@ -3,7 +3,8 @@
 A text is normalised and split into pieces as its tokenizer's file says. A piece begins as one symbol
 per byte; a segment tree over its adjacent pairs holds each pair's rank and place, so the root is the
 leftmost pair of lowest rank. That pair is merged, the two pairs beside it and the one that is gone are
-updated, each in a logarithmic number of steps, until no pair can be merged.
+updated, each in a logarithmic number of steps, until no pair can be merged. Short pieces that are new
+are merged many at a time, their trees being the rows of a matrix.
 """
 
 from __future__ import annotations
@@ -11,8 +12,10 @@ from __future__ import annotations
 import json
 import unicodedata
 from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -24,12 +27,17 @@ from pyspark.sql import functions as F
 
 from dayblotter.llm.common import bounded_batches, table, without
 
-KEPT_PIECES = 200_000  # pieces whose ids a task remembers at a time
+KEPT_PIECES = 400_000  # pieces whose ids a task remembers at a time
 KEPT_LENGTH = 64  # characters of the longest piece that is remembered
+TOGETHER = (8, 16, 32)  # symbols of the longest pieces that are merged together, by size of their trees
+PART = 1 << 20  # characters of a text whose pieces a task holds at once
+_SHIFT = 24  # of the left symbol in a pair's key
 _BITS = 40  # of a tree entry, for the place; the rank is above them
 _PLACE = (1 << _BITS) - 1
 _NONE = (1 << 62) - 1
 
+_SPACE = regex.compile(r"\s")
+
 # What a file's normaliser has to be for texts to be normalised here; others are left to its library.
 _KNOWN_NORMALIZER = [
     {"type": "NFC"},
@@ -48,8 +56,29 @@ def byte_letters() -> list[str]:
     return [letters[byte] for byte in range(256)]
 
 
+class Merges:
+    """Pairs of symbols by rank, for one pair at a time and for many at once."""
+
+    def __init__(self, pairs: list[tuple[int, int, int]]) -> None:
+        """`pairs` has (left, right, what they become) from the lowest rank on; a pair named again counts there."""
+        self.rank = {left << _SHIFT | right: rank for rank, (left, right, _) in enumerate(pairs)}
+        self.made = [made for _, _, made in pairs]
+        self.keys = np.array(sorted(self.rank), dtype=np.int64)
+        self.ranks = np.array([self.rank[key] for key in self.keys.tolist()], dtype=np.int64)
+        self.made_array = np.array(self.made, dtype=np.int64)
+
+    def entries(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Tree entries of pairs; a symbol below zero has none."""
+        keys = left << _SHIFT | right
+        if not len(self.keys):
+            return np.full(keys.shape, _NONE)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = (self.keys[at] == keys) & (left >= 0) & (right >= 0)
+        return np.where(found, self.ranks[at] << _BITS | place, _NONE)
+
+
 class PairTree:
-    """A segment tree over the adjacent pairs of a piece; `first()` is its leftmost pair of lowest rank."""
+    """A segment tree over the adjacent pairs of a piece; the root, `tree[1]`, is its leftmost pair of lowest rank."""
 
     def __init__(self, entries: list[int]) -> None:
         self.size = 1 << max(len(entries) - 1, 0).bit_length()
@@ -58,9 +87,6 @@ class PairTree:
         for node in range(self.size - 1, 0, -1):
             self.tree[node] = min(self.tree[2 * node], self.tree[2 * node + 1])
 
-    def first(self) -> int:
-        return self.tree[1]
-
     def put(self, place: int, entry: int) -> None:
         tree, node = self.tree, place + self.size
         tree[node] = entry
@@ -72,36 +98,97 @@ class PairTree:
             tree[node] = least
 
 
-def merged(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """The symbols after all merges; `merges` gives a pair's rank and the symbol that it becomes."""
-    count = len(symbols)
+def merged(symbols: list[int], merges: Merges) -> list[int]:
+    """The symbols of one piece after all merges."""
+    count, rank, made = len(symbols), merges.rank, merges.made
     if count < 2:
         return symbols
 
     def entry(left: int, right: int) -> int:
-        found = merges.get((symbols[left], symbols[right]))
-        return _NONE if found is None else found[0] << _BITS | left
+        found = rank.get(symbols[left] << _SHIFT | symbols[right])
+        return _NONE if found is None else found << _BITS | left
 
-    tree = PairTree([entry(place, place + 1) for place in range(count - 1)])
+    pairs = PairTree([entry(place, place + 1) for place in range(count - 1)])
+    tree = pairs.tree
     after, before = array("q", range(1, count + 1)), array("q", range(-1, count - 1))
-    while (least := tree.first()) != _NONE:
+    while (least := tree[1]) != _NONE:
         place = least & _PLACE
         gone = after[place]
-        symbols[place] = merges[symbols[place], symbols[gone]][1]
+        symbols[place] = made[least >> _BITS]
         symbols[gone] = -1
         following = after[place] = after[gone]
         if gone < count - 1:
-            tree.put(gone, _NONE)
+            pairs.put(gone, _NONE)
         if following < count:
             before[following] = place
-            tree.put(place, entry(place, following))
+            pairs.put(place, entry(place, following))
         else:
-            tree.put(place, _NONE)
+            pairs.put(place, _NONE)
         if before[place] >= 0:
-            tree.put(before[place], entry(before[place], place))
+            pairs.put(before[place], entry(before[place], place))
     return [symbol for symbol in symbols if symbol >= 0]
 
 
+def merged_together(pieces: list[list[int]], merges: Merges) -> list[bytes]:
+    """The symbols of many short pieces after all merges, as little-endian 32-bit numbers.
+
+    Their trees are rows of one matrix. In each step every piece that has a pair left merges the one at
+    its root; the three entries this changes are put into all trees, level by level.
+    """
+    size = 1 << max(max(map(len, pieces)) - 2, 1).bit_length()
+    many, width = len(pieces), size + 2
+    symbols = np.full((many, width), -1, dtype=np.int64)
+    lengths = np.array([len(piece) for piece in pieces])
+    symbols[np.arange(width) < lengths[:, None]] = np.fromiter(chain.from_iterable(pieces), np.int64, lengths.sum())
+    places = np.broadcast_to(np.arange(width), (many, width))
+    tree = np.full((many, 2 * size + 2), _NONE)
+    tree[:, size : 2 * size] = merges.entries(symbols[:, :size], symbols[:, 1 : size + 1], places[:, :size])
+    half = size // 2
+    while half:
+        tree[:, half : 2 * half] = tree[:, 2 * half : 4 * half].reshape(many, half, 2).min(axis=2)
+        half //= 2
+    after, before = places + 1, places - 1
+    rows = np.arange(many)
+    while True:
+        least = tree[rows, 1]
+        going = least != _NONE
+        rows, least = rows[going], least[going]
+        if not len(rows):
+            break
+        place = least & _PLACE
+        gone, prior = after[rows, place], before[rows, place]
+        following = after[rows, gone]
+        symbols[rows, place] = merges.made_array[least >> _BITS]
+        symbols[rows, gone] = -1
+        after[rows, place], before[rows, following] = following, place
+        tree[rows, size + gone] = _NONE
+        tree[rows, size + place] = merges.entries(symbols[rows, place], symbols[rows, following], place)
+        inner = prior >= 0
+        tree[rows[inner], size + prior[inner]] = merges.entries(
+            symbols[rows[inner], prior[inner]], symbols[rows[inner], place[inner]], prior[inner]
+        )
+        changed = np.stack([np.minimum(gone, size - 1), place, np.maximum(prior, 0)]) + size
+        while changed[0, 0] > 1:
+            changed >>= 1
+            tree[rows, changed] = np.minimum(tree[rows, 2 * changed], tree[rows, 2 * changed + 1])
+    left = symbols >= 0
+    ends = (4 * np.cumsum(left.sum(axis=1))).tolist()
+    flat = symbols[left].astype("<u4").tobytes()
+    return [flat[first:last] for first, last in zip([0, *ends], ends)]
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A long text in parts, cut at white space, which is in no piece."""
+    first = 0
+    while len(text) - first > PART:
+        found = _SPACE.search(text, first + PART)
+        if found is None:
+            break
+        yield text[first : found.start()]
+        first = found.start()
+    yield text[first:] if first else text
+
+
 class _Remembered(dict):
     """Ids by piece. A full memory is begun anew; long pieces are not kept."""
 
@@ -112,11 +199,14 @@ class _Remembered(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.make(piece)
         if len(piece) <= KEPT_LENGTH:
-            if len(self) >= KEPT_PIECES:
-                self.clear()
-            self[piece] = ids
+            self.keep([piece], [ids])
         return ids
 
+    def keep(self, pieces: list[str], ids: list[bytes]) -> None:
+        if len(self) + len(pieces) > KEPT_PIECES:
+            self.clear()
+        self.update(zip(pieces, ids))
+
 
 class Codec:
     """Encodes and decodes as the library `tokenizers` does with a file, special tokens not added.
@@ -136,10 +226,9 @@ class Codec:
         if model.get("type", "BPE") != "BPE" or odd:
             raise ValueError(f"{file} is not a plain byte-pair file: {odd}")
         self.file, self.vocabulary, self.suffix = file, model["vocab"], model.get("end_of_word_suffix") or ""
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[self.vocabulary[left], self.vocabulary[right]] = (rank, self.vocabulary[left + right])
+        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
+        number = self.vocabulary
+        self.merges = Merges([(number[left], number[right], number[left + right]) for left, right in pairs])
         self.added = {token["content"]: token["id"] for token in added}
         longest = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
@@ -169,10 +258,13 @@ class Codec:
         known = split["behavior"] == "Removed" and split["invert"] and not level["add_prefix_space"] and not level["use_regex"]
         return regex.compile(split["pattern"]["Regex"]) if known and "Regex" in split["pattern"] else None
 
-    def _ids(self, of_bytes: bytes) -> bytes:
+    def _symbols(self, of_bytes: bytes) -> list[int]:
         symbols = [self.symbol[byte] for byte in of_bytes]
         symbols[-1] = self.last_symbol[of_bytes[-1]]
-        return np.array(merged(symbols, self.merges), dtype="<u4").tobytes()
+        return symbols
+
+    def _ids(self, of_bytes: bytes) -> bytes:
+        return np.array(merged(self._symbols(of_bytes), self.merges), dtype="<u4").tobytes()
 
     def _plain_piece(self, piece: str) -> bytes:
         return self._ids(piece.encode())
@@ -181,17 +273,45 @@ class Codec:
         """A piece whose bytes the library has written as letters."""
         return self._ids(bytes(map(self.byte_of.__getitem__, piece)))
 
-    def _encode_run(self, run: str) -> bytes:
-        """Ids of a run without added tokens.
+    def _remember(self, pieces: set[str]) -> None:
+        """Merge short pieces that are not known yet together, those of about one length at a time."""
+        new = defaultdict(list)
+        for piece in pieces:
+            if len(piece) <= TOGETHER[-1] and piece not in self.plain:
+                of_bytes = piece.encode()
+                limit = next((limit for limit in TOGETHER if len(of_bytes) <= limit), None)
+                if limit:
+                    new[limit].append((piece, of_bytes))
+        for found in new.values():
+            self.plain.keep(
+                [piece for piece, _ in found], merged_together([self._symbols(held) for _, held in found], self.merges)
+            )
+
+    def _normal(self, run: str) -> str | None:
+        """A run without added tokens as its file normalises it, or None if the library has to.
 
         White space is in no piece, so it need not be made equal first. A capital sigma becomes a small
         one as if alone, unlike in `str.lower`. Characters that Python's tables do not know, which those
         of the library may, leave the run to the library.
         """
-        if self.pattern is not None and (run.isascii() or all(unicodedata.category(one) != "Cn" for one in set(run))):
-            if not run.isascii():
-                run = unicodedata.normalize("NFC", run).replace("Σ", "σ")
-            return b"".join(map(self.plain.__getitem__, self.pattern.findall(run.lower())))
+        if self.pattern is None:
+            return None
+        if run.isascii():
+            return run.lower()
+        if any(unicodedata.category(one) == "Cn" for one in set(run)):
+            return None
+        return unicodedata.normalize("NFC", run).replace("Σ", "σ").lower()
+
+    def _encode_run(self, run: str, known: list[str] | None = None) -> bytes:
+        if known is not None:
+            return b"".join(map(self.plain.__getitem__, known))
+        if (normal := self._normal(run)) is not None:
+            out = []
+            for part in _parts(normal):
+                pieces = self.pattern.findall(part)
+                self._remember(set(pieces))
+                out.append(b"".join(map(self.plain.__getitem__, pieces)))
+            return b"".join(out)
         if self.library is None:
             self.library = tokenizers.Tokenizer.from_file(self.file)
         if self.library.normalizer is not None:
@@ -199,15 +319,27 @@ class Codec:
         pieces = self.library.pre_tokenizer.pre_tokenize_str(run) if run else []
         return b"".join(self.lettered[piece] for piece, _ in pieces)
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, text: str, known: list[str] | None = None) -> bytes:
         """Ids as unsigned little-endian 32-bit numbers."""
         if self.special is None or self.special.search(text) is None:
-            return self._encode_run(text)
+            return self._encode_run(text, known)
         out = []
         for place, run in enumerate(self.special.split(text)):
             out.append(self.added[run].to_bytes(4, "little") if place % 2 else self._encode_run(run))
         return b"".join(out)
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts. Pieces of all short ones that are new are merged together first."""
+        known = [self._short_pieces(text) for text in texts]
+        self._remember(set(chain.from_iterable(pieces for pieces in known if pieces)))
+        return [self.encode(text, pieces) for text, pieces in zip(texts, known)]
+
+    def _short_pieces(self, text: str) -> list[str] | None:
+        if len(text) > PART // 16 or self.special is not None and self.special.search(text):
+            return None
+        normal = self._normal(text)
+        return None if normal is None else self.pattern.findall(normal)
+
     def decode(self, ids: bytes) -> str:
         """The text of ids; ids that the file does not have are left out."""
         known = self.tokens
@@ -239,7 +371,7 @@ def encoded(docs: DataFrame, tokenizer: BpeFile, text: str = "text") -> DataFram
     def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = Codec(tokenizer.file)
         for texts in batches:
-            yield pd.Series([codec.encode(one or "") for one in texts], dtype=object)
+            yield pd.Series(codec.encode_all([one or "" for one in texts]), dtype=object)
 
     return without(docs, ["ids"]).withColumn("ids", ids_of(F.col(f"`{text}`")))
 
