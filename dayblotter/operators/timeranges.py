@@ -70,6 +70,23 @@ def next_millisecond(text: str) -> str:
     return _text(_moment(text) + timedelta(milliseconds=1))
 
 
+def before_millisecond(text: str) -> str:
+    return _text(_moment(text) - timedelta(milliseconds=1))
+
+
+def middle(start: str, end: str) -> str:
+    """The millisecond halfway between two, rounded down."""
+    first = _moment(start)
+    return _text(first + (_moment(end) - first) // 2)
+
+
+def is_moment(text: str) -> bool:
+    try:
+        return _moment(text) is not None
+    except ValueError:
+        return False
+
+
 def millisecond_windows(start: str, end: str, days: int) -> Iterator[tuple[str, str]]:
     """The pieces of `split_span` as texts, for requests; one when start is end."""
     if days <= 0:
@@ -83,9 +100,7 @@ def millisecond_windows(start: str, end: str, days: int) -> Iterator[tuple[str,
 
 def halves(start: str, end: str) -> list[tuple[str, str]]:
     """A window cut in two; itself when it is a single millisecond."""
-    first, last = _moment(start), _moment(end)
-    if last <= first:
+    if _moment(end) <= _moment(start):
         return [(start, end)]
-    middle = first + (last - first) // 2
-    middle -= timedelta(microseconds=middle.microsecond % 1000)
-    return [(start, _text(middle)), (_text(middle + timedelta(milliseconds=1)), end)]
+    half = middle(start, end)
+    return [(start, half), (next_millisecond(half), end)]

@@ -9,10 +9,9 @@ belong to the next read.
 
 from __future__ import annotations
 
-import io
 import json
+import re
 import sys
-from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -21,7 +20,6 @@ from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,14 +27,21 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
     DataSourceStreamReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
     InputPartition,
+    LessThan,
+    LessThanOrEqual,
 )
 from pyspark.sql.types import StringType, StructField, StructType
 
 from dayblotter.fixed_values import BACKFILL_DAYS, PAGE_ROWS
 from dayblotter.functions.columns import quoted
 from dayblotter.operators import timeranges
-from dayblotter.operators.timeranges import halves, millisecond_windows, next_millisecond
+from dayblotter.operators.timeranges import before_millisecond, halves, is_moment, middle, millisecond_windows, next_millisecond
 from dayblotter.schemas import RAW_FEED
 from dayblotter.session import new_folder
 from dayblotter.sources.files import read_pages
@@ -46,6 +51,9 @@ for _module in (sys.modules[__name__], timeranges):
     cloudpickle.register_pickle_by_value(_module)
 
 UPDATED, KEY = ":updated_at", ":id"
+TIMES = ("date_of_occurrence", UPDATED, ":created_at")
+_LEAST = "0001-01-01T00:00:00.000"
+_STAMP = re.compile(r"\d{4}-\d\d-\d\d(T\d\d(:\d\d(:\d\d(\.\d{1,3})?)?)?)?Z?")
 TASK_ROWS = 16 * PAGE_ROWS
 
 
@@ -105,52 +113,6 @@ class HttpTransport:
         return self._get(select=":*,*", where=where, order=KEY, limit=limit)
 
 
-@dataclass(frozen=True)
-class LandedPages:
-    """A service's answers from pages landed as JSON lines, in folders `day=...` by time of occurrence.
-
-    A stand-in for tests of `PagedFeed`; landed pages are read by `LandedFeed`. `extremes` and `hours`,
-    rows by hour of occurrence, are kept from when the pages were landed. The count of a window is that
-    of the hours it touches, so no hour may have more rows than a task.
-    """
-
-    folder: str
-    extremes: dict[tuple[str, str], str | None]
-    hours: dict[str, int]
-
-    def extreme(self, which: str, column: str) -> str | None:
-        return self.extremes[which, column]
-
-    def count(self, column: str, start: str, end: str, ceiling: str) -> int:
-        return sum(rows for hour, rows in self.hours.items() if start[:13] <= hour <= end[:13])
-
-    def page(self, column: str, start: str, end: str, ceiling: str, limit: int, after: str | None) -> list[dict]:
-        asked = (self.folder, column, start, end, ceiling)
-        if asked not in _WINDOW:  # the pages of a window are asked for one after another
-            found = [
-                row
-                for row in self._rows(start[:10], end[:10])
-                if start <= row[column].removesuffix("Z") <= end and row[UPDATED].removesuffix("Z") <= ceiling
-            ]
-            _WINDOW.clear()
-            _WINDOW[asked] = sorted(found, key=lambda row: row[KEY])
-        rows = _WINDOW[asked]
-        first = 0 if after is None else bisect_right(rows, after, key=lambda row: row[KEY])
-        return rows[first : first + limit]
-
-    def _rows(self, first_day: str, last_day: str) -> Iterator[dict]:
-        store, root = fs.FileSystem.from_uri(self.folder if "://" in self.folder else f"file://{self.folder}")
-        for day in store.get_file_info(fs.FileSelector(root)):
-            if first_day <= day.base_name.removeprefix("day=") <= last_day and day.base_name.startswith("day="):
-                for file in store.get_file_info(fs.FileSelector(day.path)):
-                    if file.base_name.endswith(".json"):
-                        with store.open_input_stream(file.path) as lines:
-                            yield from map(json.loads, io.TextIOWrapper(lines, "utf-8"))
-
-
-_WINDOW: dict[tuple, list[dict]] = {}
-
-
 @dataclass
 class Windows(InputPartition):
     """Windows that one task reads, one after another."""
@@ -204,8 +166,9 @@ class FeedReader:
         dealt = [[span for spans, _ in tasks[place::groups] for span in spans] for place in range(groups)]
         return [Windows(column, ceiling, spans) for spans in dealt]
 
-    def fetch(self, windows: Windows) -> Iterator[pa.RecordBatch]:
-        for start, end in windows.spans:
+    def fetch(self, windows: Windows | None) -> Iterator[pa.RecordBatch]:
+        """The rows of a task; Spark reads a plan without tasks by one task without windows."""
+        for start, end in windows.spans if windows else []:
             after = None
             while True:
                 rows = self.transport.page(windows.column, start, end, windows.ceiling, self.limit, after)
@@ -239,29 +202,126 @@ class _BatchReader(DataSourceReader):
         return self.feed.fetch(partition)
 
 
+def _stamp(value: object) -> str | None:
+    """A text that sorts among stamps as the stamp given here does, or None.
+
+    Stamps are ISO texts to the millisecond. A part of one, such as a day, stands for its first
+    millisecond: at or after it, and before it, mean the same for both.
+    """
+    if not isinstance(value, str) or not _STAMP.fullmatch(value):
+        return None
+    text = value.removesuffix("Z")
+    text += _LEAST[len(text) :]
+    return text if is_moment(text) else None
+
+
+class _FilteredReader(DataSourceReader):
+    """The feed under the tests of a query: those on time columns become the window that is asked for.
+
+    A window holds all rows that pass, and may hold some that do not, so Spark tests rows again.
+    """
+
+    def __init__(self, feed: FeedReader, options: dict) -> None:
+        self.feed, self.options = feed, options
+        self.least: dict[str, str] = {}
+        self.greatest: dict[str, str] = {}
+
+    def pushFilters(self, filters: list[Filter]) -> list[Filter]:
+        for one in filters:
+            column = getattr(one, "attribute", ("",))[0]
+            if column in TIMES:
+                values = list(one.value) if isinstance(one, In) else [getattr(one, "value", None)]
+                stamps = [_stamp(value) for value in values]
+                if stamps and None not in stamps:
+                    self._bound(column, one, min(stamps), max(stamps))
+        return filters
+
+    def _bound(self, column: str, one: Filter, least: str, greatest: str) -> None:
+        if isinstance(one, (EqualTo, In, GreaterThan, GreaterThanOrEqual)):
+            self.least[column] = max(least, self.least.get(column, least))
+        if isinstance(one, (EqualTo, In, LessThan, LessThanOrEqual)):
+            self.greatest[column] = min(greatest, self.greatest.get(column, greatest))
+
+    def _column(self) -> str:
+        """The column with both ends bounded, else with one; change times, which every row has, if none is."""
+        known = [column for column in TIMES if column in self.least or column in self.greatest]
+        both = [column for column in known if column in self.least and column in self.greatest]
+        return (both or known or [UPDATED])[0]
+
+    def partitions(self) -> list[Windows]:
+        transport, column = self.feed.transport, self._column()
+        newest = transport.extreme("max", UPDATED)
+        if newest is None:
+            return []
+        ceiling = min(newest.removesuffix("Z"), self.greatest.get(UPDATED, newest))
+        ends = [self.least.get(column), self.greatest.get(column)]
+        for place, which in enumerate(("min", "max")):
+            if ends[place] is None:
+                found = ceiling if (which, column) == ("max", UPDATED) else transport.extreme(which, column)
+                if found is None:
+                    return []
+                ends[place] = found.removesuffix("Z")
+        if ends[0] > ends[1]:
+            return []
+        spans = millisecond_windows(ends[0], ends[1], int(self.options.get("days", BACKFILL_DAYS)))
+        return self.feed.plan(column, spans, ceiling)
+
+    def read(self, partition: Windows) -> Iterator[pa.RecordBatch]:
+        return self.feed.fetch(partition)
+
+
 class _ChangeReader(DataSourceStreamReader):
-    """Rows by change time. The offset is the newest change time there was, and the ceiling of a batch."""
+    """Rows by change time. The offset is a change time, and the ceiling of the batch that ends there.
+
+    With `batch_rows` a batch ends at the last change time up to which there are no more rows than
+    that, found by some forty counts; changes of one millisecond stay together. `until` is a change
+    time beyond which nothing is read.
+    """
 
     def __init__(self, feed: FeedReader, options: dict) -> None:
         self.feed, self.options = feed, options
+        self.batch_rows = int(options.get("batch_rows", 0))
+        self.position: str | None = None
 
     def initialOffset(self) -> dict:
         return {"mark": self.options.get("since", "")}
 
     def latestOffset(self) -> dict:
+        position = self.options.get("since", "") if self.position is None else self.position
         newest = self.feed.transport.extreme("max", UPDATED)
-        return {"mark": newest.removesuffix("Z") if newest else self.options.get("since", "")}
+        if not newest:
+            return {"mark": position}
+        newest = min(newest.removesuffix("Z"), self.options.get("until") or newest)
+        if not self.batch_rows or newest <= position:
+            return {"mark": max(newest, position)}
+        return {"mark": self._reached(self._begin(position), newest)}
+
+    def _begin(self, mark: str) -> str:
+        """The first change time after a mark."""
+        return next_millisecond(mark) if mark else self.feed.transport.extreme("min", UPDATED).removesuffix("Z")
+
+    def _reached(self, begin: str, newest: str) -> str:
+        def fits(end: str) -> bool:
+            return self.feed.transport.count(UPDATED, begin, end, end) <= self.batch_rows
+
+        if begin >= newest or fits(newest):
+            return newest
+        # Up to `low` all is taken; up to `high` there are too many.
+        low, high = before_millisecond(begin), newest
+        while next_millisecond(low) < high:
+            between = middle(low, high)
+            low, high = (between, high) if fits(between) else (low, between)
+        taken = low >= begin and self.feed.transport.count(UPDATED, begin, low, low)
+        return low if taken else high
 
     def partitions(self, start: dict, end: dict) -> list[Windows]:
+        """Spark asks for (offset, offset) when it goes on from a checkpoint, and so tells the offset."""
         mark, ceiling = start["mark"], end["mark"]
+        self.position = ceiling
         if not ceiling or (mark and ceiling <= mark):
             return []
-        if mark:
-            begin = next_millisecond(mark)
-        else:
-            begin = self.feed.transport.extreme("min", UPDATED).removesuffix("Z")
         days = int(self.options.get("days", BACKFILL_DAYS))
-        return self.feed.plan(UPDATED, millisecond_windows(begin, ceiling, days), ceiling)
+        return self.feed.plan(UPDATED, millisecond_windows(self._begin(mark), ceiling, days), ceiling)
 
     def read(self, partition: Windows) -> Iterator[pa.RecordBatch]:
         return self.feed.fetch(partition)
@@ -287,7 +347,8 @@ def feed_source(transport: Transport, name: str = "incident_feed") -> type[DataS
             return FeedReader(transport, schema, **given)
 
         def reader(self, schema: StructType) -> DataSourceReader:
-            return _BatchReader(self._feed(schema), dict(self.options))
+            kind = _BatchReader if self.options.get("column") else _FilteredReader
+            return kind(self._feed(schema), dict(self.options))
 
         def streamReader(self, schema: StructType) -> DataSourceStreamReader:
             return _ChangeReader(self._feed(schema), dict(self.options))
@@ -321,12 +382,14 @@ class PagedFeed:
     task_rows: int = TASK_ROWS
     max_pages: int | None = None
     max_requests: int | None = None
+    batch_rows: int | None = None
 
     def __post_init__(self) -> None:
         self.spark.dataSource.register(feed_source(self.transport, self.name))
 
     def _options(self, **more: str) -> dict:
-        own = {n: getattr(self, n) for n in ("days", "limit", "task_rows", "max_pages", "max_requests")}
+        names = ("days", "limit", "task_rows", "max_pages", "max_requests", "batch_rows")
+        own = {name: getattr(self, name) for name in names}
         return {name: value for name, value in {**own, **more}.items() if value is not None}
 
     def bounds(self, column: str) -> tuple[str | None, str | None]:
@@ -337,9 +400,20 @@ class PagedFeed:
         options = self._options(column=column, start=start, end=end, ceiling=ceiling)
         return self.spark.read.format(self.name).options(**options).load()
 
-    def changes(self, since: str | None = None) -> DataFrame:
-        """The feed as a stream of changed rows."""
-        return self.spark.readStream.format(self.name).options(**self._options(since=since or "")).load()
+    def rows(self) -> DataFrame:
+        """The feed as it is when a query on it is planned.
+
+        What a query asks of the time columns, compared as texts, reaches the service as the window of
+        the read and the ceiling of change times. For that, filter push-down to Python sources is
+        turned on in the session; Spark has no such option for one read.
+        """
+        self.spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+        return self.spark.read.format(self.name).options(**self._options()).load()
+
+    def changes(self, since: str | None = None, until: str | None = None) -> DataFrame:
+        """The feed as a stream of changed rows, after `since` and up to `until`, `batch_rows` at a time."""
+        options = self._options(since=since or "", until=until)
+        return self.spark.readStream.format(self.name).options(**options).load()
 
 
 @dataclass(frozen=True)

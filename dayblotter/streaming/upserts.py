@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from dayblotter.fixed_values import POLL_INTERVAL
+from dayblotter.operators.reshape import incidents_from_feed
 from dayblotter.sinks.keyed import KeyedTable
+from dayblotter.sources.feed import UPDATED, PagedFeed
 
 
 def stream_upserts(
@@ -24,3 +26,20 @@ def stream_upserts(
     if interval is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()
+
+
+def take_changes(feed: PagedFeed, table: KeyedTable, checkpoint: str, since: str | None = None) -> int:
+    """Upsert all there is now, in batches of `feed.batch_rows`, and end; the number of batches.
+
+    The newest change time is fixed before the first. A stream that takes what is there ends after one
+    batch of a source that bounds its batches, so it is begun again until there is nothing left.
+    """
+    until, batches = feed.bounds(UPDATED)[1], 0
+    while until:
+        query = stream_upserts(incidents_from_feed(feed.changes(since, until)), table, checkpoint, interval=None)
+        query.awaitTermination()
+        taken = sum(1 for progress in query.recentProgress if progress.numInputRows)
+        if not taken:
+            break
+        batches += taken
+    return batches
