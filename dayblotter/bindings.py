@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from dayblotter import fixed_values
 from dayblotter.functions import columns, dates, numbers
-from dayblotter.operators import incremental, paging, ranking, timeranges, upsert
+from dayblotter.operators import global_windows, incremental, paging, ranking, timeranges, upsert
 from dayblotter.operators.calendar import calendar, calendar_for, days_between, known_holidays
 from dayblotter.operators.reshape import incidents_from_feed
 from dayblotter.plans import questions, registry, views
@@ -463,6 +463,24 @@ def top_two_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.top_two(counts, "user_id", "event_type", "n")
 
 
+@query
+def order_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order's rank by price, dearest first, and by day, both ways."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("price")
+    )
+    priced = global_windows.dense_rank_rows(orders, "price", descending="price_rank")
+    return global_windows.dense_rank_rows(priced, "day", ascending="day_rank", descending="day_rank_back")
+
+
+@query
+def event_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event beside the one before it, and the difference of their values."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    both = global_windows.previous_rows(events, "event_id", ["event_type", "value"])
+    return both.withColumn("diff", F.col("value") - F.col("prev_value"))
+
+
 # --- sources -----------------------------------------------------------------------------------
 
 
@@ -478,6 +496,16 @@ def paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.assign_pages(events, "event_id", fixed_values.PAGE_ROWS)
 
 
+@query
+def page_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page in the middle of the events, by an index of pages that is stored and read again."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    folder = new_folder(spark, "page-index")
+    paging.PageIndex.of(events, "event_id").store(events, "event_id", folder)
+    index = paging.PageIndex.load(spark, folder)
+    return index.page(events, "event_id", fixed_values.PAGE_ROWS, index.rows // fixed_values.PAGE_ROWS // 2)
+
+
 @query
 def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed as JSON pages and read back up to a ceiling; later changes are left for the next read."""
@@ -547,6 +575,26 @@ def csv_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, folders, CUSTOMER_FILE)
 
 
+LINE_FILE = struct(
+    "order_key bigint, line_number int, ship_date timestamp_ntz, extended_price double, note string"
+)
+LINE_RANGE = 1 << 20
+
+
+@query
+def csv_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines in CSV files of many ranges, with line breaks within quotes."""
+    folder = new_folder(spark, "csv")
+    table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("ORDER KEY"),
+        F.col("l_linenumber").alias("LINE NUMBER"),
+        F.col("l_shipdate").alias("SHIP DATE"),
+        F.col("l_extendedprice").alias("EXTENDED PRICE"),
+        F.concat(F.lit('by "'), "l_returnflag", F.lit('",\nto '), "l_linestatus").alias("NOTE"),
+    ).write.option("header", True).option("escape", '"').csv(folder)
+    return read_csv(spark, folder, LINE_FILE, range_bytes=LINE_RANGE)
+
+
 # --- sinks and increments ----------------------------------------------------------------------
 
 
@@ -622,6 +670,20 @@ def store_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_utc_stamps(store.incidents.read())
 
 
+@query
+def store_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One week of the incidents of a store that has changes beside its backfill."""
+    events = table(spark, sf_dir, "events")
+    buckets = buckets_for(stored_bytes(spark, f"{sf_dir}/events.parquet"))
+    stored = KeyedTable(spark, new_folder(spark, "store"), replace(INCIDENT_TABLE, buckets=buckets), compact_share=1.0).create()
+    earlier = events.where(F.col("ts") < F.lit(SPLIT_TIME).cast("timestamp_ntz"))
+    stored.upsert(incidents_from_feed(raw_feed(earlier, corrected=False)))
+    changed = raw_feed(events.where("event_type = 'error'"), corrected=True)
+    stored.upsert(incidents_from_feed(changed.unionByName(raw_feed(events.where(F.col("ts") >= F.lit(SPLIT_TIME).cast("timestamp_ntz")), corrected=False))))
+    start, end = (F.lit(day).cast("timestamp_ntz") for day in ("2024-01-15 00:00:00", "2024-01-21 23:59:59.999"))
+    return with_utc_stamps(stored.read_window(start, end))
+
+
 @query
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream of event files keeps the newest event of every user and kind."""

@@ -259,6 +259,25 @@ ORACLES: dict[str, str] = {
     "json_flatten": """
         select event_id, json_extract_string(props, '$.k')::int as props_k, null::varchar as props_absent
         from events""",
+    "page_read": """
+        with placed as (select event_id, event_type, row_number() over (order by event_id) - 1 as place from events),
+        middle as (select count(*) // 1000 // 2 as page from events)
+        select event_id, event_type from placed, middle where place // 1000 = page""",
+    "order_ranks": """
+        select o_orderkey, o_orderdate::date as "day", o_totalprice as price,
+               dense_rank() over (order by o_totalprice desc) as price_rank,
+               dense_rank() over (order by o_orderdate::date) as day_rank,
+               dense_rank() over (order by o_orderdate::date desc) as day_rank_back
+        from orders""",
+    "event_change": """
+        select event_id, event_type, value, lag(event_type) over (order by event_id) as prev_event_type,
+               lag(value) over (order by event_id) as prev_value, value - lag(value) over (order by event_id) as diff
+        from events""",
+    "csv_large": """
+        select l_orderkey as order_key, l_linenumber as line_number, l_shipdate as ship_date,
+               l_extendedprice as extended_price,
+               'by "' || l_returnflag || '",' || chr(10) || 'to ' || l_linestatus as note
+        from lineitem""",
     "csv_headers": _CSV,
     "csv_union": _CSV,
     "missing_to_null": """
@@ -275,6 +294,9 @@ ORACLES: dict[str, str] = {
         select event_id, ts, event_type from events
         where ts > (select max(ts) from events where ts < timestamp '2024-01-21 00:00:00')""",
     "store_refresh": f"select {_feed('events', True)} from events",
+    "store_window": f"""
+        select * from (select {_feed('events', True)} from events)
+        where date_of_occurrence between timestamp '2024-01-15 00:00:00' and timestamp '2024-01-21 23:59:59.999'""",
     "stream_upsert": """
         select event_id, ts, user_id, event_type, value, props from
         (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as p

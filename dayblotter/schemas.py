@@ -81,16 +81,24 @@ RAW_FEED = T.StructType(
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A declared table. Without `buckets` the cluster's shuffle setting decides when it is made."""
+    """A declared table. Without `buckets` the cluster's shuffle setting decides when it is made.
+
+    Rows of a bucket lie in the order of `laid_out_by`, a time, in row groups of `row_group_bytes`: a window
+    of that time then leaves most row groups out.
+    """
 
     name: str
     schema: T.StructType
     keys: tuple[str, ...]
     newest: tuple[str, ...] = ()
     buckets: int | None = None
+    laid_out_by: str | None = None
+    row_group_bytes: int = 32 << 20
 
 
-INCIDENT_TABLE = TableSpec("crime_data", INCIDENTS, ("crime_id",), ("updated_at", "version"))
+INCIDENT_TABLE = TableSpec(
+    "crime_data", INCIDENTS, ("crime_id",), ("updated_at", "version"), laid_out_by="date_of_occurrence"
+)
 CALENDAR_TABLE = TableSpec("date", CALENDAR, ("date",))
 STATION_TABLE = TableSpec("police_stations", STATIONS, ("district",))
 WARD_TABLE = TableSpec("ward_offices", WARDS, ("ward",))

@@ -25,6 +25,7 @@ from dayblotter.schemas import TableSpec
 from dayblotter.session import publish, published, remove_folder, stored_bytes
 
 _WRITE = "_write"
+_DAY = "_day"  # of the time that rows are laid out by; footers of wall-clock times are not looked at, those of dates are
 BUCKET_BYTES = 256 << 20
 COMPACT_SHARE = 0.3
 MOST_WRITES = 100
@@ -50,7 +51,8 @@ class KeyedTable:
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
         self.states = f"{self.path}/states"
         self.compact_share, self.most_writes = compact_share, most_writes
-        self.stored = T.StructType([*spec.schema.fields, T.StructField(_WRITE, T.StringType())])
+        day = [T.StructField(_DAY, T.DateType())] if spec.laid_out_by else []
+        self.stored = T.StructType([*spec.schema.fields, *day, T.StructField(_WRITE, T.StringType())])
 
     def exists(self) -> bool:
         return published(self.spark, self.states) is not None
@@ -81,7 +83,40 @@ class KeyedTable:
 
         Grouping by the key needs no shuffle, for the key is what rows are bucketed by.
         """
+        return self._newest_sql(self._state())
+
+    def read_window(self, start, end) -> DataFrame:
+        """The rows whose `laid_out_by` is from `start` to `end`, both inside, as `read` has them.
+
+        Row groups are left out by their footers. Of the first write, which holds most rows, those are
+        read that have rows in the window; of later writes all, as what they change may leave the window
+        or come into it. A row in the window of a later write may be older than what the first write has
+        of its key, outside the window; so rows of the first write that are as new are read as well.
+        Changes that come by change time have none of these.
+        """
+        if not (self.spec.laid_out_by and self.spec.newest):
+            raise ValueError(f"{self.spec.name} has to say what it is laid out by and which of two rows is newer")
         state = self._state()
+        writes = list(state["writes"])
+        inside = F.col(quoted(self.spec.laid_out_by)).between(start, end)
+        near = F.col(_DAY).between(F.to_date(start), F.to_date(end))
+        stored, newest = self.spark.table(self._relation(state)), F.col(quoted(self.spec.newest[0]))
+        if len(writes) < 2:
+            one = stored.where(F.col(_WRITE).isin(writes)).where(near & inside)
+            return one.select(*map(quoted, self.spec.schema.names))
+        later = stored.where(F.col(_WRITE).isin(writes[1:])).where(near & inside)
+        least, unknown = later.agg(F.min(newest), F.count_if(newest.isNull())).first()
+        needed = near | F.col(_WRITE).isin(writes[1:])
+        if unknown:
+            needed = F.lit(True)
+        elif least is not None:
+            needed = needed | (newest >= F.lit(least))
+        rows = stored.where(F.col(_WRITE).isin(writes)).where(needed)
+        ranked = [name for name in (*self.spec.newest, _WRITE) if name not in self.spec.keys]
+        found = latest_per_key(rows.drop(_DAY), self.spec.keys, ranked)
+        return found.select(*map(quoted, self.spec.schema.names)).where(inside)
+
+    def _newest_sql(self, state: dict) -> str:
         relation, writes = self._relation(state), list(state["writes"])
         names = [quoted(name) for name in self.spec.schema.names]
         live = f"{_WRITE} in ({', '.join(map(sql_literal, writes))})" if writes else "false"
@@ -162,9 +197,12 @@ class KeyedTable:
         name = f"keyed_{hashlib.md5(folder.encode()).hexdigest()}"
         columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self.stored.fields)
         keys = ", ".join(quoted(key) for key in self.spec.keys)
+        order = f"sorted by ({quoted(self.spec.laid_out_by)}) " if self.spec.laid_out_by else ""
         self.spark.sql(
             f"create table if not exists {name} ({columns}) using parquet "
-            f"clustered by ({keys}) into {state['buckets']} buckets location {sql_literal(folder)}"
+            f"options ('parquet.block.size' = '{self.spec.row_group_bytes}') "
+            f"clustered by ({keys}) {order}into {state['buckets']} buckets "
+            f"location {sql_literal(folder)}"
         )
         self.spark.catalog.refreshTable(name)  # another session may have written
         return name
@@ -175,6 +213,8 @@ class KeyedTable:
         # Names sort in the order of writing.
         write = f"{state.get('version', 0):012d}-{uuid.uuid4().hex}"
         before = stored_bytes(self.spark, folder)
+        if self.spec.laid_out_by:
+            rows = rows.withColumn(_DAY, F.to_date(quoted(self.spec.laid_out_by)))
         rows.withColumn(_WRITE, F.lit(write)).write.insertInto(relation)
         if self.spark.table(relation).where(F.col(_WRITE) == write).isEmpty():
             return None

@@ -1,0 +1,101 @@
+"""Windows of a stored table: the rows of a full read, from a fraction of the row groups."""
+
+import random
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from dayblotter.schemas import TableSpec, struct
+from dayblotter.session import new_folder
+from dayblotter.sinks.keyed import KeyedTable
+from test_global_windows import scanned
+
+SPEC = TableSpec(
+    "incidents", struct("k bigint, happened timestamp_ntz, changed bigint, note string"), ("k",), ("changed",),
+    buckets=4, laid_out_by="happened", row_group_bytes=16 << 10,
+)
+
+
+def rows(spark, first, count, changed, shift=0):
+    """One incident a minute, in no order of keys."""
+    return spark.range(first, first + count, 1, 3).selectExpr(
+        "pmod(id * 7919, 1000003) as k",
+        f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id + {shift}) as happened",
+        f"cast({changed} as bigint) as changed", "uuid() as note",
+    )
+
+
+def stored(spark, **more):
+    return KeyedTable(spark, new_folder(spark, "store"), replace(SPEC, **more), compact_share=1e9).create()
+
+
+def window(table, first, last):
+    start, end = (F.expr(f"timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, {minute})") for minute in (first, last))
+    return table.read_window(start, end), table.read().where(F.col("happened").between(start, end))
+
+
+def same(table, first, last):
+    got, full = window(table, first, last)
+    assert got.columns == full.columns
+    found = sorted(map(tuple, got.collect()))
+    assert found == sorted(map(tuple, full.collect()))
+    return found
+
+
+def test_a_window_reads_a_fraction_of_the_row_groups(spark):
+    table = stored(spark)
+    table.upsert(rows(spark, 0, 60_000, 1))
+    got, full = window(table, 30_000, 30_600)
+    assert got.count() == 601 and got.collect() and full.collect()
+    assert scanned(got) < 60_000 / 8
+    assert scanned(full) == 60_000
+
+
+def test_later_writes_cost_what_they_hold(spark):
+    table = stored(spark)
+    table.upsert(rows(spark, 0, 60_000, 1))
+    table.upsert(rows(spark, 59_000, 2_000, 2))
+    assert len(same(table, 30_000, 30_600)) == 601
+    got, _ = window(table, 60_000, 60_300)
+    got.collect()
+    assert scanned(got) < 60_000 / 8 + 2_000
+
+
+def test_changes_that_move_in_and_out_and_come_late(spark):
+    table = stored(spark)
+    table.upsert(rows(spark, 0, 5_000, "id % 100 + 10"))
+    table.upsert(rows(spark, 100, 500, 1_000, shift=-50))  # moved, newer
+    table.upsert(rows(spark, 300, 600, 5, shift=2_000))  # older than what is there: of no effect
+    table.upsert(rows(spark, 4_990, 500, "id % 90"))  # some older, some newer, some of their own
+    for first, last in [(0, 80), (40, 120), (540, 610), (2_300, 2_900), (4_950, 5_600), (9_000, 9_001)]:
+        same(table, first, last)
+    table.compact()
+    same(table, 40, 700)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_writes(spark, seed):
+    rng = random.Random(seed)
+    table = stored(spark, buckets=2)
+    for _ in range(4):
+        made = [(rng.randrange(40), rng.randrange(100), rng.choice([None, rng.randrange(20)])) for _ in range(30)]
+        df = spark.createDataFrame(made, "k long, minute int, changed long").selectExpr(
+            "k", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, minute) as happened", "changed", "'x' as note"
+        )
+        table.upsert(df)
+    for first in range(0, 100, 20):
+        same(table, first, first + 15)
+
+
+def test_what_a_window_needs_is_declared(spark):
+    for lacking in ({"laid_out_by": None}, {"newest": ()}):
+        table = stored(spark, **lacking)
+        table.upsert(rows(spark, 0, 10, 1))
+        with pytest.raises(ValueError, match="laid out by"):
+            table.read_window(F.lit(None), F.lit(None))
+
+
+def test_a_table_without_rows(spark):
+    table = stored(spark)
+    assert window(table, 0, 10)[0].collect() == []
