@@ -21,11 +21,15 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 EXTRA = ["n_lines", "n_ended_lines", "n_letters", "n_letter_words", "n_symbol_words", "n_unique_words"]
 _WORKING = ["_text", "_words", "_lines", "_keys", "_low", "_again"]
 _ADDED = [*BASE, *EXTRA, "base_failed", "votes", "quality", "kept", *_WORKING]
-# Rules that see the same flaw agree more often than independent ones would, which drives posteriors
-# to the ends: a document goes only if it is poor at a hundred to one.
-LEAST = 0.01
+LEAST = 0.5
 ROUNDS = 50
 SETTLED = 1e-6
+# A vote against is so many times as likely on a poor document as on a good one, at least: rules speak against
+# gross flaws only. So a flaw that one rule or two see counts beside one that many see.
+LIKELIER = 99.0
+MOST_RULES = 12  # patterns of votes, 3^12 at most, are gone over on the driver
+PSEUDO = 1.0  # documents added to each count of votes, so that no chance is 0
+PRIORS = (0.5, 0.99)  # the share of good documents lies within
 
 
 @dataclass(frozen=True)
@@ -123,52 +127,59 @@ def _vote(rule: Rule) -> Column:
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Share of good documents, and for each rule the chance of votes -1, 0, 1 on poor and good ones."""
+    """Share of good documents, and for each rule the chances that it votes, and against good and poor ones if so.
+
+    Abstaining is as likely on good as on poor documents, and says nothing.
+    """
 
     prior: float
-    poor: Sequence[Sequence[float]]
-    good: Sequence[Sequence[float]]
+    voting: Sequence[float]
+    against_good: Sequence[float]
+    against_poor: Sequence[float]
+
+    def chances(self, place: int, good: bool) -> list[float]:
+        """Of a rule's votes -1, 0 and 1 on good or on poor documents."""
+        voting, against = self.voting[place], (self.against_good if good else self.against_poor)[place]
+        return [voting * against, 1 - voting, voting * (1 - against)]
+
+    def weights(self, place: int) -> list[float]:
+        """What votes -1, 0 and 1 add to the log odds of being good."""
+        good, poor = self.against_good[place], self.against_poor[place]
+        return [math.log(good / poor), 0.0, math.log((1 - good) / (1 - poor))]
+
+    def chance(self, votes: Sequence[int]) -> float:
+        """Posterior probability of being good, of one pattern of votes."""
+        odds = math.log(self.prior / (1 - self.prior)) + sum(self.weights(at)[vote + 1] for at, vote in enumerate(votes))
+        return 1 / (1 + math.exp(-odds))
 
     def quality(self, votes: Column) -> Column:
         """Posterior probability of being good."""
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for place, (poor, good) in enumerate(zip(self.poor, self.good)):
-            weights = F.array(*[F.lit(math.log(g / p)) for g, p in zip(good, poor)])
-            odds = odds + weights[votes[place].cast("int") + 1]
+        for place in range(len(self.voting)):
+            odds = odds + F.array(*map(F.lit, self.weights(place)))[votes[place].cast("int") + 1]
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
 def fit(votes: DataFrame, rules: int, rounds: int = ROUNDS) -> LabelModel:
     """Expectation-maximisation over all rows of `votes`, an array column of that name.
 
-    Rows count by their pattern of votes: at most 3^rules patterns are stored and gone over, however
-    many documents there are, and one row of sums reaches the driver each round. Begins with rules
-    that are right nine times in ten. Chances stay within 0.1 % and 99.9 %, the share of good
-    documents within 1 % and 99 %, and a rule's vote for (against) is never taken to speak against
-    (for) a document, so that good and poor cannot change places. Without rows: the beginning.
+    Rows are counted by their pattern of votes; the counts, of 3^rules patterns at most however many
+    documents there are, reach the driver, and the rounds go over them. Begins with four documents in
+    five good, and rules that vote against a tenth of the good and two fifths of the poor. Each round
+    takes the parameters that make the votes, and `PSEUDO` documents beside them, likeliest given the
+    posteriors, among those that keep to `PRIORS` and `LIKELIER`; so the likelihood never falls, and
+    good and poor cannot change places. Without rows: the beginning.
     """
-    patterns = stored(votes.groupBy("votes").agg(F.count(F.lit(1)).alias("n")), "quality")
-    model = LabelModel(0.8, [[0.5, 0.3, 0.2]] * rules, [[0.1, 0.2, 0.7]] * rules)
-    for _ in range(rounds):
-        weighed = patterns.withColumn("_good", F.col("n") * model.quality(F.col("votes")))
-        sums = weighed.agg(
-            F.sum("n").alias("n"),
-            F.sum("_good").alias("good"),
-            *[
-                F.sum(F.when(F.col("votes")[place] == vote, F.col(of)).otherwise(0)).alias(f"{of}_{place}_{vote}")
-                for place in range(rules)
-                for vote in (-1, 0, 1)
-                for of in ("n", "_good")
-            ],
-        ).first()
-        if not sums["n"]:
-            return model
-        after = _maximised(sums, rules)
+    if rules > MOST_RULES:
+        raise ValueError(f"{rules} rules have too many patterns of votes, {MOST_RULES} are the most")
+    counts = [(tuple(row[0]), row[1]) for row in votes.groupBy("votes").agg(F.count(F.lit(1))).collect()]
+    model = LabelModel(0.8, [1.0] * rules, [0.1] * rules, [0.4] * rules)
+    for _ in range(rounds if counts else 0):
+        after = _maximised([(pattern, n, n * model.chance(pattern)) for pattern, n in sorted(counts)], rules)
         moved = max(
             abs(a - b)
-            for new, old in ((after.good, model.good), (after.poor, model.poor))
-            for x, y in zip(new, old)
-            for a, b in zip(x, y)
+            for new, old in ((after.against_good, model.against_good), (after.against_poor, model.against_poor))
+            for a, b in zip(new, old)
         )
         model = after
         if moved < SETTLED:
@@ -176,27 +187,38 @@ def fit(votes: DataFrame, rules: int, rounds: int = ROUNDS) -> LabelModel:
     return model
 
 
-def _maximised(sums, rules: int) -> LabelModel:
-    n, good = float(sums["n"]), float(sums["good"])
-    bad = max(n - good, 0.0)
-
-    def chances(total: float, parts: Sequence[float]) -> list[float]:
-        # A thousandth of the rows is added evenly, so that no chance is 0.
-        held = [max(part, 0.0) + n / 3000 for part in parts]
-        return [part / sum(held) for part in held] if total >= 0 else []
-
-    goods, poors = [], []
-    for place in range(rules):
-        for_good = [float(sums[f"_good_{place}_{vote}"]) for vote in (-1, 0, 1)]
-        for_all = [float(sums[f"n_{place}_{vote}"]) for vote in (-1, 0, 1)]
-        g = chances(good, for_good)
-        p = chances(bad, [a - b for a, b in zip(for_all, for_good)])
-        # A vote keeps its meaning; abstaining says nothing by itself.
-        p[0], g[2] = max(p[0], g[0]), max(g[2], p[2])
-        p[1] = g[1]
-        goods.append(g)
-        poors.append(p)
-    return LabelModel(min(max(good / n, 0.01), 0.99), poors, goods)
+def _maximised(weighed: Sequence[tuple[Sequence[int], float, float]], rules: int) -> LabelModel:
+    """The likeliest parameters for patterns with their number of documents and of good ones among them."""
+    n, good = (math.fsum(row[place] for row in weighed) for place in (1, 2))
+    voting, goods, poors = [], [], []
+    for rule in range(rules):
+        counts = {
+            (vote, of): math.fsum(row[of] for row in weighed if row[0][rule] == vote) for vote in (-1, 1) for of in (1, 2)
+        }
+        on_good = [counts[vote, 2] for vote in (-1, 1)]
+        on_poor = [max(counts[vote, 1] - counts[vote, 2], 0.0) for vote in (-1, 1)]
+        for_good, for_poor = likeliest(*[count + PSEUDO for count in (*on_good, *on_poor)])
+        voting.append((counts[-1, 1] + counts[1, 1] + PSEUDO) / (n + 2 * PSEUDO))
+        goods.append(for_good)
+        poors.append(for_poor)
+    prior = (good + PSEUDO) / (n + 2 * PSEUDO)
+    return LabelModel(min(max(prior, PRIORS[0]), PRIORS[1]), voting, goods, poors)
+
+
+def likeliest(against_good: float, for_good: float, against_poor: float, for_poor: float) -> tuple[float, float]:
+    """Chances of a vote against good and against poor documents that make these counts likeliest.
+
+    Where the shares themselves do not keep the second `LIKELIER` times the first, it is just that: then
+    the likelihood has one maximum in the second, where a quadratic is 0.
+    """
+    good, poor = against_good / (against_good + for_good), against_poor / (against_poor + for_poor)
+    if good * LIKELIER <= poor:
+        return good, poor
+    share, against = 1 / LIKELIER, against_good + against_poor
+    square = share * (against + for_good + for_poor)
+    linear = against * (1 + share) + share * for_good + for_poor
+    poor = (linear - math.sqrt(linear * linear - 4 * square * against)) / (2 * square)
+    return share * poor, poor
 
 
 def weak_quality(

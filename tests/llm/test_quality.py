@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from dayblotter.llm.quality import BASE, RULES, fit, measures, op10_weak_quality, weak_quality
+from dayblotter.llm.quality import BASE, LIKELIER, PSEUDO, RULES, fit, likeliest, measures, op10_weak_quality, weak_quality
 from llm_data import frame, odd_rows, prose, with_clash, words
 
 
@@ -48,53 +48,157 @@ def test_rules_outvote_one_another(spark):
     assert got[2000]["base_failed"] and got[2001]["base_failed"] and not got[2001]["kept"]
 
 
+def on(votes, model, good):
+    """The chance of a document's votes if it is good, or poor: rules are independent given that."""
+    out = model["prior"] if good else 1 - model["prior"]
+    for place, vote in enumerate(votes):
+        against = model["good" if good else "poor"][place]
+        out *= {-1: model["voting"][place] * against, 0: 1 - model["voting"][place], 1: model["voting"][place] * (1 - against)}[vote]
+    return out
+
+
+def likelihood(patterns, model):
+    """The log likelihood of all votes and of the documents added."""
+    out = sum(n * math.log(on(votes, model, True) + on(votes, model, False)) for votes, n in patterns.items())
+    for chance in (model["prior"], *model["good"], *model["poor"], *model["voting"]):
+        out += PSEUDO * (math.log(chance) + math.log(1 - chance))
+    return out
+
+
+def searched(a, b, c, d):
+    """The best chances for counts, within the constraint, by trying many."""
+    def value(good, poor):
+        return a * math.log(good) + b * math.log(1 - good) + c * math.log(poor) + d * math.log(1 - poor)
+
+    free = (a / (a + b), c / (c + d))
+    if free[0] * LIKELIER <= free[1]:
+        return free
+    low, high = 1e-9, 1 - 1e-9
+    for _ in range(200):  # one maximum
+        left, right = low + (high - low) / 3, high - (high - low) / 3
+        low, high = (left, high) if value(left / LIKELIER, left) < value(right / LIKELIER, right) else (low, right)
+    return low / LIKELIER, low
+
+
 def plain_em(patterns, rules, rounds):
-    """The same estimates by loops over votes."""
-    prior, poor, good = 0.8, [[0.5, 0.3, 0.2]] * rules, [[0.1, 0.2, 0.7]] * rules
-    total = sum(patterns.values())
-    for _ in range(rounds):
-        weights = {}
-        for votes in patterns:
-            odds = math.log(prior / (1 - prior)) + sum(math.log(good[j][v + 1] / poor[j][v + 1]) for j, v in enumerate(votes))
-            weights[votes] = 1 / (1 + math.exp(-odds))
-        share = sum(n * weights[votes] for votes, n in patterns.items())
-        poor, good = [], []
-        for j in range(rules):
-            g = [sum(n * weights[v] for v, n in patterns.items() if v[j] == vote) + total / 3000 for vote in (-1, 0, 1)]
-            p = [sum(n * (1 - weights[v]) for v, n in patterns.items() if v[j] == vote) + total / 3000 for vote in (-1, 0, 1)]
-            g, p = [x / sum(g) for x in g], [x / sum(p) for x in p]
-            p[0], g[2], p[1] = max(p[0], g[0]), max(g[2], p[2]), g[1]
-            poor.append(p)
-            good.append(g)
-        prior = min(max(share / total, 0.01), 0.99)
-    return prior, poor, good
-
-
-@pytest.mark.parametrize("rounds", [1, 7])
-def test_estimates(spark, rounds):
-    rng = random.Random(5)
+    """Expectation-maximisation of two classes with rules that are independent given the class."""
+    model = {"prior": 0.8, "voting": [1.0] * rules, "good": [0.1] * rules, "poor": [0.4] * rules}
+    total, heights = sum(patterns.values()), []
+    for number in range(rounds):
+        # Before the first round no rule abstains, by the model, so abstaining is left out of its posteriors.
+        seen = {**model, "voting": [0.5] * rules} if number == 0 else model
+        good = {votes: on(votes, seen, True) / (on(votes, seen, True) + on(votes, seen, False)) for votes in patterns}
+        model = {"prior": 0.0, "voting": [], "good": [], "poor": []}
+        for place in range(rules):
+            counts = [
+                PSEUDO + sum(n * (good[votes] if of_good else 1 - good[votes]) for votes, n in patterns.items() if votes[place] == vote)
+                for of_good in (True, False)
+                for vote in (-1, 1)
+            ]
+            for_good, for_poor = searched(*counts)
+            model["good"].append(for_good)
+            model["poor"].append(for_poor)
+            model["voting"].append((sum(n for votes, n in patterns.items() if votes[place]) + PSEUDO) / (total + 2 * PSEUDO))
+        share = (sum(n * good[votes] for votes, n in patterns.items()) + PSEUDO) / (total + 2 * PSEUDO)
+        model["prior"] = min(max(share, 0.5), 0.99)
+        heights.append(likelihood(patterns, model))
+    return model, heights
+
+
+def invented_votes(seed, count=500):
+    rng = random.Random(seed)
     votes = []
-    for _ in range(500):
+    for _ in range(count):
         sign = 1 if rng.random() < 0.8 else -1
         votes.append(tuple(rng.choices([sign, 0, -sign], weights)[0] for weights in ([8, 1, 1], [5, 4, 1], [6, 1, 3], [9, 1, 0])))
+    return votes
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 7])
+def test_estimates(spark, rounds):
+    votes = invented_votes(5)
     df = spark.createDataFrame([([*one],) for one in votes], "votes array<tinyint>")
     model = fit(df, 4, rounds)
-    prior, poor, good = plain_em(Counter(votes), 4, rounds)
-    assert model.prior == pytest.approx(prior)
-    for got, expected in zip([*model.poor, *model.good], [*poor, *good]):
-        assert got == pytest.approx(expected)
+    expected, _ = plain_em(Counter(votes), 4, rounds)
+    assert model.prior == pytest.approx(expected["prior"], abs=1e-6)
+    for got, name in ((model.against_good, "good"), (model.against_poor, "poor"), (model.voting, "voting")):
+        assert got == pytest.approx(expected[name], abs=1e-6)
+    for place in range(4):
+        assert sum(model.chances(place, True)) == pytest.approx(1) == pytest.approx(sum(model.chances(place, False)))
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_the_likelihood_never_falls(seed):
+    """Of the estimates that `fit` gives, see the test before."""
+    _, heights = plain_em(Counter(invented_votes(seed, 200)), 4, 30)
+    assert all(after >= before - 1e-7 for before, after in zip(heights, heights[1:]))
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_constrained_chances_are_the_likeliest(seed):
+    rng = random.Random(seed)
+    counts = [rng.choice([1.0, rng.uniform(1, 20), rng.uniform(1, 5000)]) for _ in range(4)]
+    got = likeliest(*counts)
+    assert got == pytest.approx(searched(*counts), abs=1e-6) and got[0] * LIKELIER <= got[1] * (1 + 1e-9)
 
 
 def test_accuracies_are_found(spark):
+    """Where rules keep to the model, what they do on either kind of document is found."""
     rng = random.Random(6)
-    rows, truth = [], []
-    for _ in range(4000):
+    rows = []
+    for _ in range(6000):
         good = rng.random() < 0.7
-        truth.append(good)
-        rows.append(([(1 if good else -1) if rng.random() < accuracy else (-1 if good else 1) for accuracy in (0.95, 0.8, 0.7, 0.9, 0.85)],))
+        rows.append(([-1 if rng.random() < (low if good else high) else 1 for low, high in ((0.005, 0.9), (0.002, 0.4), (0.001, 0.7), (0.006, 0.8), (0.003, 0.5))],))
     model = fit(spark.createDataFrame(rows, "votes array<tinyint>"), 5)
     assert model.prior == pytest.approx(0.7, abs=0.03)
-    assert [chances[2] for chances in model.good] == pytest.approx([0.95, 0.8, 0.7, 0.9, 0.85], abs=0.04)
+    assert model.against_good == pytest.approx([0.005, 0.002, 0.001, 0.006, 0.003], abs=0.004)
+    assert model.against_poor == pytest.approx([0.9, 0.4, 0.7, 0.8, 0.5], abs=0.05)
+
+
+def clean(number, lines=30):
+    rng = random.Random(number)
+    word = lambda: "".join(rng.choice("abcdefghiklmnoprstuw") for _ in range(rng.randrange(3, 9)))
+    return "\n".join(" ".join(word() for _ in range(15)).capitalize() + "." for _ in range(lines))
+
+
+def test_each_flaw_is_found_and_every_rule_has_a_weight(spark):
+    """Beside the documents of a test table: some that repeat a line or a passage, some full of symbols."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    made = []
+    for n in range(6):
+        lines = clean(n, 40).split("\n")
+        made.append((10**9 + n, "\n".join([*lines[:15], *lines[20:21] * 12]), "line"))
+        made.append((10**9 + 100 + n, "\n".join([*lines[:15], *lines[20:23] * 4]), "passage"))
+        made.append((10**9 + 200 + n, " ".join(f"{word}{'$#%&'[n % 4] * 3}" for word in " ".join(lines[:8]).split()), "symbols"))
+        made.append((10**9 + 300 + n, clean(50 + n), "clean"))
+    judged = weak_quality(docs.unionByName(frame(spark, made)).repartition(4), carry=["doc_id", "source"])
+    rows = judged.where("doc_id >= 1000000000").collect()
+    assert len(rows) == 24
+    for kind in ("line", "passage", "symbols", "clean"):
+        assert {row["kept"] for row in rows if row["source"] == kind} == {kind == "clean"}, kind
+    assert not any(row["base_failed"] for row in rows)
+    model = fit(judged.select("votes"), len(RULES))
+    for place in range(len(RULES)):
+        against, abstained, in_favour = model.weights(place)
+        assert against <= -math.log(LIKELIER) + 1e-9 and abstained == 0 < in_favour
+
+
+def test_query_against_a_plain_estimate(spark):
+    """`kept` of every document, from votes that are counted here and the plain estimate."""
+    folder = "/root/testdata/sf0.001"
+    rows = weak_quality(spark.read.parquet(f"{folder}/documents.parquet"), carry=["doc_id"]).collect()
+    patterns = Counter(tuple(row["votes"]) for row in rows)
+    model, _ = plain_em(patterns, len(RULES), 50)  # as many rounds as `fit` takes at most
+    texts = {row["doc_id"]: row["text"] for row in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    expected = {}
+    for row in rows:
+        n_words, chars, symbols, _, again = base(texts[row["doc_id"]])
+        votes = tuple(row["votes"])
+        assert votes[0] == (-1 if n_words < 20 else 1 if n_words >= 50 else 0)
+        assert votes[2] == (-1 if symbols > 0.1 * n_words else 1 if symbols <= 0.02 * n_words else 0)
+        good = on(votes, model, True) / (on(votes, model, True) + on(votes, model, False))
+        expected[row["doc_id"]] = not (n_words < 50 or 100 * again > 50 * n_words) and good >= 0.5
+    assert {row["doc_id"]: row["kept"] for row in op10_weak_quality(spark, folder).collect()} == expected
 
 
 def test_odd_rows_and_empty_table(spark):
@@ -110,8 +214,9 @@ def test_labelled_documents(spark):
     """The estimate does not see labels; the rules were chosen with sight of such, see the README."""
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
-    rows = op10_weak_quality(spark, folder).join(labels, "doc_id").where("not base_failed").collect()
+    rows = op10_weak_quality(spark, folder).withColumnRenamed("quality", "chance").join(labels, "doc_id").where("not base_failed").collect()
     assert len(RULES) == 10
-    assert all(row["kept"] for row in rows if row["quality"] == 1 and row["toxic"] == 0)
+    good = [row for row in rows if row["quality"] == 1 and row["toxic"] == 0]
+    assert sum(row["kept"] for row in good) >= 0.99 * len(good)
     poor = [row for row in rows if row["quality"] == 0]
     assert sum(not row["kept"] for row in poor) >= 0.9 * len(poor)
