@@ -1,7 +1,8 @@
 """A corpus, from documents to packed sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame; `run` writes it as Parquet to the shared
-folder and gives what it reads back to the next. All but the last return the columns of `documents`.
+folder and gives what it reads back to the next. All but the last return the columns of `documents`,
+with further ones of any name as they are; `doc_id`, `text` and `source` have to be there, `n_chars` may.
 
 A stage's frame has to be written before the next stage is called: that takes away what the stage
 before it worked with, so that a corpus needs room for the tables of one stage at a time.
@@ -22,34 +23,52 @@ from dayblotter.session import new_folder, remove_folder
 ORACLE_SQL = None
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The documents under names that no operator uses, and what each column is called there.
+
+    A column of a document stays what it is, whatever an operator adds under its name.
+    """
+    names = {name: f"column_{place}" for place, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def _named(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    return rows.select(*[F.col(there).alias(name) for name, there in names.items()])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised rules keep."""
-    return quality.weak_quality(docs).where("kept").select(*[f"`{name}`" for name in docs.columns])
+    rows, names = _numbered(docs)
+    return _named(quality.weak_quality(rows, names["text"]).where("kept"), names)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id."""
-    return simhash.simhash_groups(docs).where("keep").select(*[f"`{name}`" for name in docs.columns])
+    rows, names = _numbered(docs)
+    return _named(simhash.simhash_groups(rows, names["doc_id"], names["text"]).where("keep"), names)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret in their texts replaced by a mark."""
+    """All documents, with every secret in their texts replaced by a mark; `n_chars`, if there, is set anew."""
+    rows, names = _numbered(docs)
     ledger = secrets.Ledger(spark, new_folder(spark, "ledger"))
-    found = secrets.with_spans(docs, "text", ledger)
-    clean = found.withColumn("text", secrets.redact(F.col("text"), F.col("spans")))
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(
-        *[f"`{name}`" for name in docs.columns]
-    )
+    found = secrets.with_spans(rows, names["text"], ledger)
+    clean = found.withColumn(names["text"], secrets.redact(F.col(names["text"]), F.col("spans")))
+    if "n_chars" in names:
+        clean = clean.withColumn(names["n_chars"], F.length(names["text"]).cast(docs.schema["n_chars"].dataType))
+    return _named(clean, names)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes of every document, a row for each pass over its source."""
-    return mixing.mixed_documents(mixing.mix_sources(docs)).select(*[f"`{name}`" for name in docs.columns])
+    rows, names = _numbered(docs)
+    mix = mixing.mix_sources(rows, names["source"], names["text"])
+    return _named(mixing.mixed_documents(mix, names["text"], names.get("n_chars")), names)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences, with their token ids."""
-    return packing.pack(docs, packing.public_tokenizer(), carry=["doc_id"])
+    return packing.pack(docs.select("doc_id", "text"), packing.public_tokenizer(), carry=["doc_id"])
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

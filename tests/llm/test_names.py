@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from dayblotter.llm import mixing, packing, quality, secrets, sharding, simhash, substrings, urls
 from dayblotter.session import new_folder
 from llm_data import frame, odd_rows
@@ -32,3 +33,39 @@ def test_clashing_names(spark, name):
     got = OPERATORS[name](spark, docs)
     assert got.where("_other = 'x'").count() == OPERATORS[name](spark, plain).count()
     assert len(set(map(str.lower, got.columns))) == len(got.columns)
+
+
+STAGE_NAMES = [
+    "size", "target", "taken", "kept", "keep", "spans", "votes", "quality", "n_words", "base_failed", "component_id",
+    "fingerprint", "source_size", "pass", "pieces", "column_0", "column_2", "start", "ids", "offset",
+]
+
+
+@pytest.mark.parametrize("number", range(len(corpus_pipeline.STAGES)))
+def test_columns_of_documents_pass_through_stages(spark, number):
+    plain = frame(spark, odd_rows())
+    extra = [name for name in dict.fromkeys([*STAGE_NAMES, *OWN])]
+    docs = plain.select("*", *[F.concat(F.lit(f"{name} "), F.coalesce("text", F.lit(""))).alias(name) for name in extra])
+    _, stage = corpus_pipeline.STAGES[number]
+    # Calling a stage takes away what the one before worked with.
+    expected = stage(spark, plain, "")
+    columns, held = expected.columns, expected.collect()
+    got = stage(spark, docs, "")
+    if number == len(corpus_pipeline.STAGES) - 1:
+        assert got.columns == columns and got.count() == len(held)
+        return
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert all(row[name].startswith(f"{name} ") for row in rows for name in extra)
+    if number != 3:  # the order of documents in a mix depends on all their columns
+        key = lambda row: [(value is None, value) for value in row[:5]]
+        assert sorted(map(key, rows)) == sorted(map(key, held))
+
+
+@pytest.mark.parametrize("number", range(len(corpus_pipeline.STAGES)))
+def test_stages_without_lengths(spark, number):
+    docs = frame(spark, odd_rows()).drop("n_chars", "lang")
+    _, stage = corpus_pipeline.STAGES[number]
+    got = stage(spark, docs, "")
+    assert number == len(corpus_pipeline.STAGES) - 1 or got.columns == docs.columns
+    assert got.collect() or number == 0  # no document of this table has the quality to stay
