@@ -2,8 +2,8 @@
 
 Vectors are projected to a few dimensions with normal (2-stable) coefficients, so that a projected
 distance, squared and divided by the true one, follows a chi-square distribution. A kd-tree holds the
-projections. A search takes projected neighbours in order of distance and verifies them on the
-original vectors, until the test says that a vector nearer than those found would, with the
+projections. A search takes projected neighbours one after another, nearest first, and verifies them on
+the original vectors, until the test says that a vector nearer than those found would, with the
 probability asked for, have been met by now.
 """
 
@@ -21,13 +21,16 @@ from pyspark.sql.window import Window
 
 from dayblotter.llm.common import numbered, stored, table
 
-DIMENSIONS = 8  # even, see `chi_square_at`
+DIMENSIONS = 24  # even, see `chi_square_at`
 CHANCE = 0.97
 SAMPLE_ROWS = 20_000  # rows the outer tree is fitted to; every row is indexed
 BLOCK_ROWS = 8_192
 MOST_LEAVES = 1_024  # of the outer tree
-QUERY_ROWS = 2_048  # queries that one task takes for a block
-_LEAF_ROWS = 64  # of the tree within a block
+QUERY_ROWS = 16_384  # queries that one task takes for a block
+_LEAF_ROWS = 32  # of the tree within a block
+_LEAVES = 32  # taken from that tree at a time
+_POINTS = 32  # verified at a time, or a sixth of those verified before, between two looks at the test
+_ROUNDING = 1e-12  # of a product of lengths: how far two equal scores may be apart before they are summed exactly
 _SLACK = 1e-12
 _SEED = 20
 
@@ -118,9 +121,9 @@ def _rows(column: pd.Series, width: int) -> np.ndarray:
 class Index:
     """Distinct vectors in blocks of a kd-tree over their projections, ready to be searched."""
 
-    def __init__(self, rows: DataFrame, id_name: str, vector: str, neighbours: int) -> None:
+    def __init__(self, rows: DataFrame, id_name: str, vector: str, neighbours: int, chance: float) -> None:
         self.neighbours, self.id, self.vector = neighbours, id_name, vector
-        self.limit = chi_square_at(CHANCE, DIMENSIONS)
+        self.limit = chi_square_at(chance, DIMENSIONS)
         self.valid, self.width = _usable(rows, id_name, vector)
         longest = self.valid.agg(F.max(F.expr("aggregate(_vec, 0D, (sum, x) -> sum + x * x)"))).first()[0]
         self.longest = longest or 0.0
@@ -194,10 +197,10 @@ class Index:
         home = vectors.withColumn("_leaf", self._leaf("_at")).withColumn("_bound", F.lit(float("inf")))
         first = stored(self._searched(home), "neighbours")
         rest = stored(self._searched(self._elsewhere(home, first)), "neighbours")
+        self.searches = first.unionByName(rest)
         best = Window.partitionBy("_query").orderBy(F.desc("score"), "_id")
         found = (
-            first.unionByName(rest)
-            .withColumn("_nth", F.row_number().over(best))
+            self.searches.withColumn("_nth", F.row_number().over(best))
             .where(F.col("_nth") <= self.neighbours + 1)
         )
         lists = found.groupBy("_query").agg(
@@ -266,48 +269,86 @@ class Index:
         def search(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
             out = []
             if len(held) and len(asked):
-                vectors, ids = _rows(held["_vec"], width), held["_ids"].tolist()
-                copies = np.array([len(one) for one in ids])
-                tree, leaves = grown(_rows(held["_at"], DIMENSIONS), _LEAF_ROWS, tight=True)
+                where = f"{held['_leaf'].iloc[0]}.{held['_block'].iloc[0]}"
+                block = Block(_rows(held["_vec"], width), _rows(held["_at"], DIMENSIONS), held["_ids"].tolist(), longest)
                 for number, vector, at, bound in zip(
                     asked["_query"], _rows(asked["_vec"], width), _rows(asked["_at"], DIMENSIONS), asked["_bound"]
                 ):
-                    best = _verified(vector, at, bound, tree, leaves, vectors, copies, longest, limit, needed)
-                    for place in best:
-                        # Products of 32-bit components are exact, and so is their sum here.
-                        score = math.fsum((vectors[place] * vector).tolist())
-                        out += [(number, int(one), score) for one in ids[place]]
-            return pd.DataFrame(out, columns=["_query", "_id", "score"])
+                    found, seen = block.nearest(vector, at, bound, limit, needed)
+                    out += [(number, one, score, where, seen) for score, one in found]
+            return pd.DataFrame(out, columns=["_query", "_id", "score", "_block", "_seen"])
 
         return (
             points.groupBy(*key)
             .cogroup(dealt.groupBy(*key))
-            .applyInPandas(search, "_query long, _id long, score double")
+            .applyInPandas(search, "_query long, _id long, score double, _block string, _seen long")
         )
 
 
-def _verified(query, at, bound, tree, leaves, vectors, copies, longest, limit, needed) -> np.ndarray:
-    """Places of the vectors nearest to a query, by taking leaves in order of projected distance."""
-    distances = tree.distances(at)
-    order = np.argsort(distances, kind="stable")
-    square = float(query @ query)
-    places, scores = np.empty(0, dtype=np.int64), np.empty(0)
-    step = 4
-    for begin in range(0, len(order), step):
-        if distances[order[begin]] > (bound + _SLACK) * limit:
-            break
-        seen = np.concatenate([leaves[leaf] for leaf in order[begin : begin + step]])
-        places = np.concatenate([places, seen])
-        scores = np.concatenate([scores, vectors[seen] @ query])
-        if len(scores) > needed:
-            best = np.argsort(-scores, kind="stable")[: needed]
-            places, scores = places[best], scores[best]
-        held = np.cumsum(copies[places])
-        if len(held) and held[-1] >= needed:
-            ranked = np.sort(scores)[::-1] if len(scores) <= needed else scores
-            worst = ranked[min(int(np.searchsorted(held, needed)), len(ranked) - 1)]
-            bound = min(bound, max(square + longest - 2 * float(worst), 0.0))
-    return places
+class Block:
+    """Distinct vectors with a kd-tree over their projections, searched for one query at a time."""
+
+    def __init__(self, vectors: np.ndarray, projected: np.ndarray, ids: list, longest: float) -> None:
+        self.vectors, self.projected, self.ids, self.longest = vectors, projected, ids, longest
+        self.copies = np.array([len(one) for one in ids])
+        self.tree, self.leaves = grown(projected, _LEAF_ROWS, tight=True)
+
+    def neighbours_of(self, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All points in order of projected distance, some at a time, with these distances, squared.
+
+        Leaves are opened in order of the distance to their boxes. A point is given once no leaf that is
+        not open can hold a nearer one; until then it waits.
+        """
+        boxes = self.tree.distances(at)
+        order = np.argsort(boxes, kind="stable")
+        waiting, distances, given = np.empty(0, dtype=np.int64), np.empty(0), 0
+        for first in range(0, len(order), _LEAVES):
+            opened = np.concatenate([self.leaves[leaf] for leaf in order[first : first + _LEAVES]])
+            apart = self.projected[opened] - at
+            waiting = np.concatenate([waiting, opened])
+            distances = np.concatenate([distances, np.einsum("nd,nd->n", apart, apart)])
+            following = boxes[order[first + _LEAVES]] if first + _LEAVES < len(order) else np.inf
+            near = distances <= following
+            ready = np.flatnonzero(near)
+            ready = ready[np.argsort(distances[ready], kind="stable")]
+            begin = 0
+            while begin < len(ready):
+                some = ready[begin : begin + max(_POINTS, given // 6)]
+                yield waiting[some], distances[some]
+                begin, given = begin + len(some), given + len(some)
+            waiting, distances = waiting[~near], distances[~near]
+
+    def nearest(self, query: np.ndarray, at: np.ndarray, bound: float, limit: float, needed: int) -> tuple[list, int]:
+        """The `needed` best (score, id), ties by id, and how many points were verified to find them.
+
+        `bound` is the squared distance that a point has to beat, as far as is known. The search ends
+        at a point whose projected distance a nearer one would exceed with less than the chance left.
+        Points stay as long as their score, rounded, may tie with the last that is needed.
+        """
+        square = float(query @ query)
+        margin = _ROUNDING * math.sqrt(square * self.longest)
+        places, scores, seen, worst = np.empty(0, dtype=np.int64), np.empty(0), 0, -math.inf
+        for points, distances in self.neighbours_of(at):
+            if distances[0] > (bound + _SLACK) * limit:
+                break
+            seen += len(points)
+            new = self.vectors[points] @ query
+            good = new >= worst - margin
+            if not good.any():
+                continue
+            places, scores = np.concatenate([places, points[good]]), np.concatenate([scores, new[good]])
+            order = np.argsort(-scores, kind="stable")
+            held = np.cumsum(self.copies[places[order]])
+            if held[-1] >= needed:
+                worst = float(scores[order[int(np.searchsorted(held, needed))]])
+                kept = scores >= worst - margin
+                places, scores = places[kept], scores[kept]
+                bound = min(bound, max(square + self.longest - 2 * worst, 0.0))
+        # Products of 32-bit components are exact, and so is their sum here.
+        found = [
+            (math.fsum((self.vectors[place] * query).tolist()), int(one)) for place in places for one in self.ids[place]
+        ]
+        return sorted(found, key=lambda one: (-one[0], one[1]))[:needed], seen
 
 
 def _usable(rows: DataFrame, id_name: str, vector: str, width: int | None = None) -> tuple[DataFrame, int]:
@@ -326,7 +367,12 @@ def _usable(rows: DataFrame, id_name: str, vector: str, width: int | None = None
 
 
 def nearest(
-    rows: DataFrame, queries: DataFrame, id_name: str = "vec_id", vector: str = "embedding", neighbours: int = 20
+    rows: DataFrame,
+    queries: DataFrame,
+    id_name: str = "vec_id",
+    vector: str = "embedding",
+    neighbours: int = 20,
+    chance: float = CHANCE,
 ) -> DataFrame:
     """(query_id, rank, `id_name`, score): for each query the rows of the largest inner product.
 
@@ -335,9 +381,9 @@ def nearest(
     or zero, has neither null nor non-finite components, and is as long as most are. Fewer rows than
     asked for give them all; an empty table gives an empty one. Other columns are not looked at.
 
-    The search is approximate: each neighbour is found with the probability `CHANCE` or better.
+    The search is approximate: each neighbour is found with the probability `chance` or better.
     """
-    return Index(rows, id_name, vector, neighbours).search(queries)
+    return Index(rows, id_name, vector, neighbours, chance).search(queries)
 
 
 def op5_nearest(spark, sf_dir):

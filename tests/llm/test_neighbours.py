@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from dayblotter.llm import neighbours
-from dayblotter.llm.neighbours import chi_square_at, grown, nearest
+from dayblotter.llm.neighbours import CHANCE, Index, chi_square_at, grown, nearest, op5_nearest
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -95,3 +95,77 @@ def test_tree_holds_every_point_once():
     for number, rows in enumerate(leaves):
         assert (place[rows] == number).all()
         assert (points[rows] >= tree.boxes[0][number]).all() and (points[rows] <= tree.boxes[1][number]).all()
+
+
+def hits(got, exact):
+    return sum(len({n for n, _ in got[q]} & {n for n, _ in exact[q]}) for q in exact) / sum(map(len, exact.values()))
+
+
+def share_verified(index):
+    """Of all points, over all searches of all queries."""
+    counted = index.searches.groupBy("_query", "_block").max("_seen")
+    return counted.groupBy().sum("max(_seen)").first()[0] / index.count / counted.select("_query").distinct().count()
+
+
+def exactly(rows, queries, k):
+    """As `brute`, for vectors of 32-bit numbers, by one product; ties at the end count for either."""
+    ids, vectors = np.array([n for n, _ in rows]), np.array([v for _, v in rows], dtype=np.float64)
+    out = {}
+    for number, vector in queries:
+        scores = vectors @ np.array(vector, dtype=np.float64)
+        order = [place for place in np.lexsort((ids, -scores)) if ids[place] != number][:k]
+        out[number] = [(int(ids[place]), float(scores[place])) for place in order]
+    return out
+
+
+def test_recall_and_share_verified_of_a_test_table(spark):
+    """Nearly random vectors: the twentieth neighbour is little nearer than the rest."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    rows = [tuple(row) for row in table.collect()]
+    index = Index(table, "vec_id", "embedding", 20, CHANCE)
+    got = answers(index.search(table.where("vec_id % 20 = 0")))
+    assert hits(got, exactly(rows, [one for one in rows if one[0] % 20 == 0], 20)) >= 0.9
+    assert share_verified(index) <= 0.7
+
+
+def test_share_verified_of_clustered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 600)
+    rows = [(n, (np.array(v) / np.linalg.norm(v)).astype("float32").tolist()) for n, v in vectors(6000, 32, 4, 0.1)]
+    df = spark.createDataFrame([(n, v, 0) for n, v in rows], SCHEMA)
+    index = Index(df, "vec_id", "embedding", 20, CHANCE)
+    assert len(index.blocks) >= 8
+    got = answers(index.search(df.where("vec_id % 20 = 0")))
+    assert hits(got, exactly(rows, [one for one in rows if one[0] % 20 == 0], 20)) >= 0.95
+    assert share_verified(index) < 0.2
+
+
+def test_mass_ties_go_to_smaller_ids(spark, monkeypatch):
+    """Vectors of +-1 have few different scores; with a search that does not stop early every rank is right."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 900)
+    rng = np.random.default_rng(8)
+    rows = [(n, v) for n, v in enumerate(rng.choice([-1.0, 1.0], (3000, 16)).tolist())]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(int(n), [float(x) for x in v], 0) for n, v in rows], SCHEMA)
+    queries = [(int(n), v) for n, v in rows if int(n) % 100 == 0]
+    got = answers(nearest(df, df.where("vec_id % 100 = 0"), chance=1 - 1e-12))
+    assert got == exactly([(int(n), v) for n, v in rows], queries, 20)
+
+
+def test_points_come_in_order_of_projected_distance():
+    rng = np.random.default_rng(3)
+    at = rng.standard_normal((1500, neighbours.DIMENSIONS))
+    block = neighbours.Block(rng.standard_normal((1500, 8)), at, [[n] for n in range(1500)], 100.0)
+    query = rng.standard_normal(neighbours.DIMENSIONS)
+    found = list(block.neighbours_of(query))
+    places, distances = np.concatenate([p for p, _ in found]), np.concatenate([d for _, d in found])
+    assert sorted(places.tolist()) == list(range(1500)) and (np.diff(distances) >= 0).all()
+    assert distances == pytest.approx(((at[places] - query) ** 2).sum(axis=1))
+
+
+def test_query_against_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [(row["vec_id"], row["embedding"]) for row in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    got = answers(op5_nearest(spark, folder))
+    exact = exactly(rows, [one for one in rows if one[0] % 20 == 0], 20)
+    assert set(got) == set(exact) and all(len(found) == 20 for found in got.values())
+    assert hits(got, exact) >= 0.9
