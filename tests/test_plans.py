@@ -124,20 +124,30 @@ def writes_of(spark, monkeypatch, work):
 
 def test_changes_are_shuffled_once_and_nothing_stored_is_read(spark, monkeypatch):
     orders, stored = stored_orders(spark)
-    plans = writes_of(spark, monkeypatch, lambda: [stored.upsert(orders), stored.upsert(orders.limit(100))])
-    first, later = plans
+    beside, write = [], KeyedTable._beside
+    monkeypatch.setattr(KeyedTable, "_beside", lambda table, rows, state: beside.append(plan(rows)) or write(table, rows, state))
+    plans = writes_of(spark, monkeypatch, lambda: [stored.upsert(orders), stored.upsert(orders.where("o_orderkey < 100"))])
+    (first,) = plans
     assert shuffles(first) == 1 and "hashpartitioning(o_orderkey" in first and ", 8), REPARTITION_BY_NUM" in first
-    assert "keyed_" not in later and "REPARTITION_BY_NUM" in later
+    (later,) = beside
+    assert "keyed_" not in later and shuffles(later) == 1
 
 
 def test_stored_rows_are_merged_without_a_shuffle(spark, monkeypatch):
     orders, stored = stored_orders(spark)
     stored.upsert(orders)
     stored.upsert(orders.where("o_orderstatus = 'P'"))
-    text = plan(stored.read())
-    assert shuffles(text) == 0 and "Bucketed: true" in text and "SelectedBucketsCount: 8 out of 8" in text
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # Whether there are more buckets than a shuffle has partitions, or fewer.
+        for partitions in ("4", "50"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            text = plan(stored.read())
+            assert shuffles(text) == 1 and "8), REPARTITION_BY_NUM" in text and "Bucketed: true" in text
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
     (compacted,) = writes_of(spark, monkeypatch, stored.compact)
-    assert shuffles(compacted) == 0
+    assert shuffles(compacted) == 1 and "8), REPARTITION_BY_NUM" in compacted
 
 
 def test_numbering_rows_is_one_shuffle_and_writes_nothing(spark):

@@ -96,15 +96,55 @@ def files(stored):
     return {name: os.path.getmtime(f"{folder}/{name}") for name in os.listdir(folder) if name.startswith("part-")}
 
 
+def beside(stored):
+    """Files of the changes beside a table."""
+    folder = stored._changes_folder(stored._state())
+    return sum(name.startswith("part-") for _, _, names in os.walk(folder) for name in names)
+
+
+def test_changes_to_many_buckets_are_few_files(spark):
+    """Two thousand changes in four hundred buckets: a file, and not four hundred; a later one adds its own."""
+    spec = TableSpec("t", SCHEMA, ("k",), ("updated_at", "version"), buckets=400)
+    stored = KeyedTable(spark, new_folder(spark, "many"), spec, compact_share=1e9).create()
+    stored.upsert(frame(spark, [(f"k{i}", at(1), "1", float(i)) for i in range(10_000)]))
+    before = files(stored)
+    changes = frame(spark, [(f"k{i}", at(2), "1", -1.0) for i in range(9_000, 11_000)])
+    for number in (1, 2):
+        stored.upsert(changes)
+        assert files(stored) == before and beside(stored) == number
+    got = stored.read()
+    assert got.count() == 11_000 and got.where("payload = -1").count() == 2_000
+    stored.compact()
+    assert beside(stored) == 0 and stored._state()["changes"] == {}
+    assert stored.read().count() == 11_000 and stored.read().where("payload = -1").count() == 2_000
+
+
+def test_changes_without_a_column_that_says_which_is_newer(spark):
+    spec = TableSpec("t", SCHEMA, ("k", "version"), buckets=3)
+    stored = KeyedTable(spark, new_folder(spark, "unordered"), spec, compact_share=1e9).create()
+    stored.upsert(frame(spark, [("a", at(2), "1", 1.0), ("b", at(2), "1", 1.0)]))
+    stored.upsert(frame(spark, [("a", at(1), "1", 2.0), ("a", at(1), "2", 2.0)]))
+    stored.upsert(frame(spark, [("c", at(1), "1", 3.0)]))
+    assert sorted((r.k, r.version, r.payload) for r in stored.read().collect()) == [
+        ("a", "1", 2.0), ("a", "2", 2.0), ("b", "1", 1.0), ("c", "1", 3.0)
+    ]
+
+
+def test_a_change_without_a_time_does_not_win(spark):
+    stored = table(spark)
+    stored.upsert(frame(spark, [("a", at(2), "1", 1.0), ("b", None, "1", 1.0)]))
+    stored.upsert(frame(spark, [("a", None, "9", 2.0), ("b", None, "2", 2.0)]))
+    assert {r.k: r.payload for r in stored.read().collect()} == {"a": 1.0, "b": 2.0}
+
+
 def test_a_change_in_every_bucket_rewrites_no_file(spark):
     stored = table(spark)
     stored.upsert(frame(spark, [(f"k{i}", at(1), "1", float(i)) for i in range(5000)]))
     before = files(stored)
     assert len(before) == 4
     stored.upsert(frame(spark, [(f"k{i}", at(2), "1", -1.0) for i in range(40)]))
-    after = files(stored)
-    assert before.items() < after.items() and len(after) == 8
-    assert len(stored._state()["writes"]) == 2
+    assert files(stored) == before and beside(stored) == 1
+    assert len(stored._state()["writes"]) == len(stored._state()["changes"]) == 1
     assert stored.read().where("payload = -1").count() == 40 and stored.read().count() == 5000
 
 
