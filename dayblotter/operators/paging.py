@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date, datetime
+from decimal import Decimal
 from itertools import accumulate
 from typing import Any
 
@@ -11,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dayblotter.functions.columns import quoted, sql_literal
+
 _ERROR = 0.0001
 _LEAST_RANGES = 8
 INDEX_RANGES = 4096
@@ -26,7 +31,7 @@ def number_rows(df: DataFrame, key: str, name: str = "row_number") -> DataFrame:
     """
     placed, limits = in_ranges(df, key)
     before = _rows_before(placed, len(limits))
-    starts = F.array(*[F.lit(number).cast("bigint") for number in before])
+    starts = F.expr(_array(before))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
     return placed.withColumn(name, F.get(starts, F.col("_range")) + within).drop("_range")
 
@@ -58,13 +63,29 @@ def _place(key: Column, limits: list) -> Column:
     def below(numbers: Column) -> Column:
         return F.size(F.filter(numbers, lambda limit: limit < key))
 
-    heads = F.array(*[F.lit(group[-1]) for group in groups])
+    heads = F.expr(_array(group[-1] for group in groups))
     whole = below(heads)
-    inside = F.array(*[F.array(*[F.lit(limit) for limit in group]) for group in groups])
+    inside = F.expr(f"array({', '.join(map(_array, groups))})")
     within = F.when(whole < len(groups), below(F.get(inside, whole))).otherwise(0)
     return F.when(whole < len(groups), whole * width + within).otherwise(len(limits))
 
 
+def _array(limits: Iterable) -> str:
+    """Limits as one text of SQL: thousands of them would take long to build one by one."""
+
+    def text(limit: Any) -> str:
+        if isinstance(limit, str):
+            return sql_literal(limit)
+        if isinstance(limit, bool) or not isinstance(limit, (int, float, Decimal, date)):
+            raise TypeError(f"keys of type {type(limit).__name__} are not dealt into ranges")
+        if isinstance(limit, datetime):
+            return f"timestamp_{'ntz' if limit.tzinfo is None else 'ltz'}'{limit.isoformat(sep=' ')}'"
+        kinds = {int: f"{limit}L", float: f"double('{limit!r}')", Decimal: f"{limit:f}BD", date: f"date'{limit}'"}
+        return kinds[type(limit)]
+
+    return f"array({', '.join(map(text, limits))})"
+
+
 def _limits(df: DataFrame, key: str, ranges: int) -> list:
     shares = [number / ranges for number in range(1, ranges)]
     kind = df.schema[key].dataType.typeName()
@@ -74,7 +95,8 @@ def _limits(df: DataFrame, key: str, ranges: int) -> list:
         sample = keys.orderBy(F.xxhash64("_key")).limit(ranges * 100).collect()
         found = sorted(row[0] for row in sample)
         return sorted({found[int(share * len(found))] for share in shares}) if found else []
-    found = df.agg(F.percentile_approx(key, shares, int(1 / _ERROR))).first()[0]
+    asked = f"percentile_approx({quoted(key)}, {_array(shares)}, {int(1 / _ERROR)})"
+    found = df.agg(F.expr(asked)).first()[0]
     return sorted(set(found or []))
 
 
@@ -143,7 +165,7 @@ class PageIndex:
             below = column <= F.lit(self.limits[high])
             inside = inside & (below if low > 0 else below | column.isNull())
         some = df.where(inside).withColumn("_range", _place(column, self.limits[low:high]))
-        starts = F.array(*[F.lit(rows).cast("bigint") for rows in self.before[low : high + 1]])
+        starts = F.expr(_array(self.before[low : high + 1]))
         within = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
         row = F.get(starts, F.col("_range")) + within
         wanted = some.withColumn("_row", row).where((F.col("_row") >= first) & (F.col("_row") < last))
