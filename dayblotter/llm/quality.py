@@ -168,7 +168,9 @@ def fit(votes: DataFrame, rules: int, rounds: int = ROUNDS) -> LabelModel:
     five good, and rules that vote against a tenth of the good and two fifths of the poor. Each round
     takes the parameters that make the votes, and `PSEUDO` documents beside them, likeliest given the
     posteriors, among those that keep to `PRIORS` and `LIKELIER`; so the likelihood never falls, and
-    good and poor cannot change places. Without rows: the beginning.
+    good and poor cannot change places. At least half of all documents being good, a rule that is against
+    more than half cannot be right about them: of it, only that votes against are no likelier on good
+    documents is asked. Without rows: the beginning.
     """
     if rules > MOST_RULES:
         raise ValueError(f"{rules} rules have too many patterns of votes, {MOST_RULES} are the most")
@@ -197,7 +199,8 @@ def _maximised(weighed: Sequence[tuple[Sequence[int], float, float]], rules: int
         }
         on_good = [counts[vote, 2] for vote in (-1, 1)]
         on_poor = [max(counts[vote, 1] - counts[vote, 2], 0.0) for vote in (-1, 1)]
-        for_good, for_poor = likeliest(*[count + PSEUDO for count in (*on_good, *on_poor)])
+        likelier = LIKELIER if counts[-1, 1] <= n / 2 else 1.0
+        for_good, for_poor = likeliest(*[count + PSEUDO for count in (*on_good, *on_poor)], likelier)
         voting.append((counts[-1, 1] + counts[1, 1] + PSEUDO) / (n + 2 * PSEUDO))
         goods.append(for_good)
         poors.append(for_poor)
@@ -205,16 +208,18 @@ def _maximised(weighed: Sequence[tuple[Sequence[int], float, float]], rules: int
     return LabelModel(min(max(prior, PRIORS[0]), PRIORS[1]), voting, goods, poors)
 
 
-def likeliest(against_good: float, for_good: float, against_poor: float, for_poor: float) -> tuple[float, float]:
+def likeliest(
+    against_good: float, for_good: float, against_poor: float, for_poor: float, likelier: float = LIKELIER
+) -> tuple[float, float]:
     """Chances of a vote against good and against poor documents that make these counts likeliest.
 
-    Where the shares themselves do not keep the second `LIKELIER` times the first, it is just that: then
+    Where the shares themselves do not keep the second `likelier` times the first, it is just that: then
     the likelihood has one maximum in the second, where a quadratic is 0.
     """
     good, poor = against_good / (against_good + for_good), against_poor / (against_poor + for_poor)
-    if good * LIKELIER <= poor:
+    if good * likelier <= poor:
         return good, poor
-    share, against = 1 / LIKELIER, against_good + against_poor
+    share, against = 1 / likelier, against_good + against_poor
     square = share * (against + for_good + for_poor)
     linear = against * (1 + share) + share * for_good + for_poor
     poor = (linear - math.sqrt(linear * linear - 4 * square * against)) / (2 * square)

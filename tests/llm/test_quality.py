@@ -65,19 +65,19 @@ def likelihood(patterns, model):
     return out
 
 
-def searched(a, b, c, d):
+def searched(a, b, c, d, likelier=LIKELIER):
     """The best chances for counts, within the constraint, by trying many."""
     def value(good, poor):
         return a * math.log(good) + b * math.log(1 - good) + c * math.log(poor) + d * math.log(1 - poor)
 
     free = (a / (a + b), c / (c + d))
-    if free[0] * LIKELIER <= free[1]:
+    if free[0] * likelier <= free[1]:
         return free
     low, high = 1e-9, 1 - 1e-9
     for _ in range(200):  # one maximum
         left, right = low + (high - low) / 3, high - (high - low) / 3
-        low, high = (left, high) if value(left / LIKELIER, left) < value(right / LIKELIER, right) else (low, right)
-    return low / LIKELIER, low
+        low, high = (left, high) if value(left / likelier, left) < value(right / likelier, right) else (low, right)
+    return low / likelier, low
 
 
 def plain_em(patterns, rules, rounds):
@@ -95,7 +95,8 @@ def plain_em(patterns, rules, rounds):
                 for of_good in (True, False)
                 for vote in (-1, 1)
             ]
-            for_good, for_poor = searched(*counts)
+            against = sum(n for votes, n in patterns.items() if votes[place] == -1)
+            for_good, for_poor = searched(*counts, LIKELIER if against <= total / 2 else 1.0)
             model["good"].append(for_good)
             model["poor"].append(for_poor)
             model["voting"].append((sum(n for votes, n in patterns.items() if votes[place]) + PSEUDO) / (total + 2 * PSEUDO))
@@ -201,6 +202,16 @@ def test_query_against_a_plain_estimate(spark):
     assert {row["doc_id"]: row["kept"] for row in op10_weak_quality(spark, folder).collect()} == expected
 
 
+def test_a_rule_against_most_documents_does_not_reject_them(spark):
+    """Texts full of digits: a rule on letters speaks against nearly all of them."""
+    made = [(n, ". ".join(prose(n * 50 + k, 12) for k in range(12)) + ".", "plain") for n in range(60)]
+    made += [(1000 + n, junk(n), "symbols") for n in range(6)]
+    rows = weak_quality(frame(spark, made), carry=["source"]).collect()
+    against = sum(row["votes"][5] == -1 for row in rows if row["source"] == "plain")
+    assert against > 50 and all(row["kept"] for row in rows if row["source"] == "plain")
+    assert not any(row["kept"] for row in rows if row["source"] == "symbols")
+
+
 def test_odd_rows_and_empty_table(spark):
     docs = with_clash(frame(spark, odd_rows()), "votes", "quality", "base_failed")
     rows = weak_quality(docs, carry=["doc_id", "source"]).collect()
