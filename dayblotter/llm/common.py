@@ -92,7 +92,9 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
 
     Alternates large and small stars. A round costs two aggregations, which combine before the
     shuffle, and two joins on the node; every round is stored, so no lineage grows, and only a
-    count of changed edges reaches the driver. Self links and repeated links do no harm; null ends
+    count of changed edges reaches the driver. Smallest neighbours are stored before they are joined
+    to the edges they were taken from: the join then shuffles for itself, and Spark splits a node that
+    a large part of all edges leads to. Self links and repeated links do no harm; null ends
     are left out.
     """
     now = stored(
@@ -104,15 +106,16 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     for _ in range(most_rounds):
         # Large star: larger neighbours of a node are linked to its smallest neighbour.
         both = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = (
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")), "components")
+        large = stored(
             both.join(least, "a")
             .where("b > a")
             .select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
-            .distinct()
+            .distinct(),
+            "components",
         )
         # Small star: smaller neighbours of a node, and the node, are linked to the smallest of them.
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        lowest = stored(large.groupBy("a").agg(F.min("b").alias("m")), "components")
         small = large.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         after = stored(
             small.unionByName(lowest.withColumnRenamed("m", "b")).where("a <> b").distinct(), "components"

@@ -2,12 +2,13 @@
 
 A 64-bit fingerprint is cut into 16 segments of 4 bits; the number of bits set in each makes a point
 in a grid of 16 dimensions. Two fingerprints that differ in d bits have points at most d apart by
-Manhattan distance, so a range join on the grid misses no link; the bits then verify each pair.
+Manhattan distance, so a range join on the grid misses no link; the bits then verify each pair. That
+holds for any cut of the bits into segments: a crowded cell is divided by the grid of a second cut.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from dayblotter.llm.common import bounded_batches, carried, components, numbered
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
-FULL_CELL = 16
+FULL_CELL = 64  # about where all pairs of a cell become more rows than the cells of a second grid
 _SEED = 42
 _ADDED = ["fingerprint", "component_id", "keep", "_fp", "_row", "_kept_row"]
 _BLOCK = 1 << 16  # shingles whose bits are counted at once
@@ -60,7 +61,7 @@ def fingerprints(text: Column, size: int) -> Column:
 
 
 def _segment_counts(bits: Column) -> Column:
-    """Popcounts of the 16 segments, packed again into 4 bits each."""
+    """Popcounts of the 16 segments of neighbouring bits, packed again into 4 bits each."""
     ones = F.lit(0x1111111111111111)
     counts = bits.bitwiseAND(ones)
     for place in (1, 2, 3):
@@ -68,6 +69,17 @@ def _segment_counts(bits: Column) -> Column:
     return counts
 
 
+def _strided_counts(bits: Column) -> Column:
+    """Popcounts of another 16 segments: bits 16 apart. Each quarter's bits are spread to every fourth place."""
+    counts = F.lit(0).cast("long")
+    for quarter in range(4):
+        spread = F.shiftrightunsigned(bits, 16 * quarter).bitwiseAND(F.lit(0xFFFF))
+        for step, mask in ((24, 0x000000FF000000FF), (12, 0x000F000F000F000F), (6, 0x0303030303030303), (3, 0x1111111111111111)):
+            spread = spread.bitwiseOR(F.shiftleft(spread, step)).bitwiseAND(F.lit(mask))
+        counts = counts + spread
+    return counts
+
+
 def _around(point: Column, radius: int) -> Column:
     """The grid points within `radius` of a point. Coordinates go from 0 to 4."""
     cells = F.array(point)
@@ -93,31 +105,49 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, full_cell: int = FULL_CEL
 
     Points at most `max_bits` apart have a grid cell within half of that of both; each fingerprint is
     dealt to the cells within that radius of its point, and meets those it shares a cell with. A cell
-    of more than `full_cell` fingerprints would make too many pairs. Its fingerprints are dealt, in
-    the same way, to the bit strings within half the distance instead: those that share a string and
-    lie within it are linked to the smallest of them, one row for each. Either way no link is lost.
+    of more than `full_cell` fingerprints would make too many pairs: its fingerprints are dealt again,
+    within the cell, by the grid of another cut into segments. Cells crowded in both grids hold
+    fingerprints that are alike all over. These are dealt by the finest cut there is, segments of one
+    bit, whose cells are bit strings: those that share one are linked to the smallest of them, one row
+    for each. No link is lost at any step. With `max_bits` over 2 a point has some 500 cells within
+    reach and not 33, and crowded cells go to the finest cut at once.
     """
     reach = -(-max_bits // 2)
-    dealt = prints.select("fp").select("fp", F.explode(_around(_segment_counts(F.col("fp")), reach)).alias("_cell"))
-    shared = dealt.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    members = stored(dealt.join(shared, "_cell"), "simhash")
-    few = members.where(F.col("_n") <= full_cell)
-    pairs = (
-        few.groupBy("_cell")
+    few, crowded = _met(prints.select("fp"), [], "_cell", _segment_counts, reach, full_cell)
+    pairs = _pairs(few, ["_cell"], max_bits)
+    if reach <= 1:
+        few, crowded = _met(crowded, ["_cell"], "_part", _strided_counts, reach, full_cell)
+        pairs = pairs.unionByName(_pairs(few, ["_cell", "_part"], max_bits))
+    return pairs.unionByName(_by_bit_strings(crowded.select("fp").distinct(), max_bits)).distinct()
+
+
+def _met(
+    members: DataFrame, within: list[str], cell: str, counts: Callable[[Column], Column], reach: int, full_cell: int
+) -> tuple[DataFrame, DataFrame]:
+    """Members with the cells of a grid in which they meet others: of cells that are not crowded, and of those that are."""
+    keys = [*within, cell]
+    dealt = members.select("fp", *within, F.explode(_around(counts(F.col("fp")), reach)).alias(cell))
+    shared = dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    met = stored(dealt.join(shared, keys), "simhash")
+    return met.where(F.col("_n") <= full_cell).drop("_n"), met.where(F.col("_n") > full_cell).drop("_n")
+
+
+def _pairs(members: DataFrame, keys: list[str], max_bits: int) -> DataFrame:
+    """Pairs within each cell that differ in at most `max_bits` bits."""
+    return (
+        members.groupBy(*keys)
         .agg(F.collect_list("fp").alias("_fps"))  # of full_cell at most
         .select("_fps", F.explode("_fps").alias("a"))
         .select("a", F.explode("_fps").alias("b"))
         .where("a < b")
         .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-        .distinct()
     )
-    crowded = members.where(F.col("_n") > full_cell).select("fp").distinct()
-    return pairs.unionByName(_by_bit_strings(crowded, max_bits))
 
 
 def _by_bit_strings(prints: DataFrame, max_bits: int) -> DataFrame:
     """Links among fingerprints that share a bit string at most half of `max_bits` away from both.
 
+    A bit string is a cell of the grid whose segments have one bit each: counts are the bits themselves.
     For an odd distance one of a pair may be one bit further away than the other: strings at the
     longer distance link only to fingerprints at the shorter one.
     """
@@ -186,11 +216,14 @@ def simhash_groups(
         "simhash",
     )
     roots = components(links(prints, max_bits))
-    rooted = prints.join(roots, prints["fp"] == roots["node"], "left").withColumn(
-        "root", F.coalesce("root", "fp")
+    rooted = stored(
+        prints.join(roots, prints["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp")),
+        "simhash",
     )
-    groups = rooted.groupBy("root").agg(
-        F.min("_least").alias("component_id"), F.min("_first").alias("_chosen")
+    # Stored, so that the join back to fingerprints shuffles for itself and Spark can split a large component.
+    groups = stored(
+        rooted.groupBy("root").agg(F.min("_least").alias("component_id"), F.min("_first").alias("_chosen")),
+        "simhash",
     )
     labels = rooted.join(groups, "root").select(
         F.col("fp").alias("_fp"), "component_id", F.col("_chosen._row").alias("_kept_row")

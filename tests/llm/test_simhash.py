@@ -4,7 +4,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from dayblotter.llm import simhash
-from dayblotter.llm.common import components
+from dayblotter.llm.common import components, stored
 from dayblotter.llm.simhash import fingerprint_of, links, simhash_groups
 from llm_data import frame, odd_rows, prose, with_clash, words
 
@@ -62,6 +62,57 @@ def test_links_connect_what_is_near(spark, full_cell, max_bits):
     assert classes(signed, got) == classes(signed, near)
 
 
+def test_counts_of_both_cuts(spark):
+    numbers = [0, -1, 1, 1 << 62, 0x123456789ABCDEF, -(1 << 63), -0x123456789ABCDEF]
+    got = spark.createDataFrame([(n,) for n in numbers], "fp long").select(
+        "fp", simhash._segment_counts(F.col("fp")).alias("near"), simhash._strided_counts(F.col("fp")).alias("far")
+    )
+    for fp, near, far in got.collect():
+        bits = [fp >> place & 1 for place in range(64)]
+        assert [near >> 4 * n & 15 for n in range(16)] == [sum(bits[4 * n : 4 * n + 4]) for n in range(16)]
+        assert [far >> 4 * n & 15 for n in range(16)] == [sum(bits[n::16]) for n in range(16)]
+
+
+def test_a_crowded_cell_is_divided_by_the_second_cut(spark, monkeypatch):
+    # Equal popcounts in segments of four neighbouring bits, but far from one another by another cut.
+    rng = np.random.default_rng(7)
+    heads = {sum(1 << int(4 * n + rng.integers(4)) for n in range(16)) for _ in range(300)}
+    signed = sorted(n - (1 << 64) if n >> 63 else n for n in heads | {n ^ 3 << 20 for n in heads})
+    prints = spark.createDataFrame([(n,) for n in signed], "fp long")
+    asked = []
+    plain = simhash._by_bit_strings
+    monkeypatch.setattr(simhash, "_by_bit_strings", lambda left, bits: asked.append(left) or plain(left, bits))
+    got = links(prints, 2, 64).collect()
+    near = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) % (1 << 64)).bit_count() <= 2]
+    assert {(row["a"], row["b"]) for row in got} == set(near) and near
+    assert asked[0].count() == 0
+
+
+def test_a_hub_is_split(spark):
+    changed = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        edges = spark.range(1, 400_001).select(F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")), "components")
+        joined = both.join(least, "a")
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        roots = components(edges)
+        assert roots.where("root <> 0").isEmpty() and roots.count() == 400_001
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_components(spark):
     edges = [(n, n + 1) for n in range(40)] + [(100, 7), (200, 200), (300, 301), (301, 300), (None, 5), (-4, 300)]
     got = {row["node"]: row["root"] for row in components(spark.createDataFrame(edges, "a long, b long")).collect()}
