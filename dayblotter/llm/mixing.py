@@ -25,10 +25,12 @@ BLOCK_WORDS = 128
 SHARD_SLOTS = 4_096
 MOST_PASSES = 3
 CHUNK_ROWS = 4_000  # documents of a source that are put in order together
+TASK_SLOTS = 1 << 18  # slots made by a task, on average
+RANGE_SHARDS = 1 << 12  # shards of a source whose slots are numbered together
 _WEIGHTS = (1, 2, 3)
 _SEED = 8
 _DEALING, _KEEPING = 1 << 40, 1 << 41  # keys of permutations, beyond those of passes
-_ADDED = ["size", "source_size", "target", "taken", "source_place", "_source", "_hash", "_row", "_known", "_chunks", "_chunk", "_parts"]
+_ADDED = ["size", "source_size", "target", "taken", "source_place", "_source", "_hash", "_row", "_known", "_chunks", "_chunk", "_parts", "_task", "_copy"]
 
 
 @dataclass(frozen=True)
@@ -128,7 +130,8 @@ def mix_sources(
 
     Sources reach the driver with one row each: like the weights, they are a setting of the mix.
     The order of documents in a source is pseudorandom, by hash; they are put in order in chunks
-    of a bounded size, so a source of any size spreads over many tasks. A shard's whole slots by
+    of a bounded size, so a source of any size spreads over many tasks. Copies of a row are numbered
+    and dealt to chunks by their numbers, so that a row repeated any number of times spreads too. A shard's whole slots by
     target are given out as they are, and only what is left of them is drawn, so that shards differ
     little from the targets. Over all shards every source has the slots of its target, see `rounded`,
     so none gives more than `MOST_PASSES` passes and no slot stays empty.
@@ -154,14 +157,37 @@ def mix_sources(
         [(s.place, s.name, s.size, s.target, chunks[s.name]) for s in sources],
         "source_place int, _known string, source_size long, target double, _chunks int",
     )
-    placed = rows.join(
-        F.broadcast(known), rows["_source"].eqNullSafe(known["_known"])  # one row for each source
-    ).withColumn("_chunk", F.pmod(F.col("_hash"), F.col("_chunks")))
-    starts = _starts(placed.select("_row", "source_place", "_chunk", "_hash", "size"))
+    placed = (
+        _copies(rows)
+        .join(F.broadcast(known), F.col("_source").eqNullSafe(known["_known"]))  # one row for each source
+        .withColumn("_chunk", F.pmod(F.xxhash64("_hash", "_copy"), F.col("_chunks")))
+    )
+    starts = _starts(placed.select("_row", "source_place", "_chunk", "_hash", "_copy", "size"))
     pieces = _pieces(starts, _slots(docs, sources, shard_slots), block_words)
     return Mix(placed.select(*[F.col(f"`{name}`") for name in wanted], "_row", "size", "source_size", "target"), pieces)
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """Rows with `_copy`: rows of one hash are numbered from 0.
+
+    They are numbered within each task that wrote them, after those of the tasks before. Copies are
+    alike, so it does not matter to the mix which of them has which number.
+    """
+    rows = rows.withColumn("_task", F.shiftrightunsigned("_row", 33))  # as row numbers are made
+    counts = rows.groupBy("_hash", "_task").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_hash").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        counts.withColumn("_before", F.sum("_n").over(earlier)).where("_before > 0").select("_hash", "_task", "_before")
+    )
+    nth = F.row_number().over(Window.partitionBy("_hash", "_task").orderBy("_row")) - 1
+    return (
+        rows.withColumn("_copy", nth)
+        .join(before, ["_hash", "_task"], "left")
+        .withColumn("_copy", F.col("_copy") + F.coalesce("_before", F.lit(0)))
+        .drop("_task", "_before")
+    )
+
+
 def _starts(placed: DataFrame) -> DataFrame:
     """Documents with words, with `_start`: how many words of their source come before them."""
     sums = placed.groupBy("source_place", "_chunk").agg(F.sum("size").alias("_sum"))
@@ -169,7 +195,7 @@ def _starts(placed: DataFrame) -> DataFrame:
     before = sums.select("source_place", "_chunk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     within = (
         Window.partitionBy("source_place", "_chunk")
-        .orderBy("_hash", "_row")
+        .orderBy("_hash", "_copy", "_row")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
@@ -183,8 +209,9 @@ def _starts(placed: DataFrame) -> DataFrame:
 def _slots(docs: DataFrame, sources: Sequence[Source], shard_slots: int) -> DataFrame:
     """(shard, slot, source_place, pass, block): what every slot of every shard holds.
 
-    Shards are drawn independently, each from its own seed; a run sum over shards then numbers the
-    slots of a source. A source that drew more slots than `rounded` gives it keeps a pseudorandom choice
+    Shards are drawn independently, each from its own seed; running sums over shards then number the
+    slots of a source, see `_first_slots`. A task makes the slots of shards dealt to it, `TASK_SLOTS` on
+    average. A source that drew more slots than `rounded` gives it keeps a pseudorandom choice
     of them. The others, numbered over all sources, are dealt in a pseudorandom order to the sources that
     drew less, so they are spread over shards, and a shard has as many slots as before.
     """
@@ -244,9 +271,29 @@ def _slots(docs: DataFrame, sources: Sequence[Source], shard_slots: int) -> Data
                             {"shard": shard, "slot": slot[mine], "source_place": place, "pass": int(one), "block": block}
                         )
 
-    earlier = Window.partitionBy("source_place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    runs = counts.withColumn("_first", F.coalesce(F.sum("_slots").over(earlier), F.lit(0)))
-    return runs.repartition("shard").mapInPandas(held, "shard long, slot long, source_place int, pass int, block long")
+    tasks = max(1, -(-total // TASK_SLOTS))
+    return (
+        _first_slots(counts)
+        .repartition(tasks, "shard")  # stated: what a task makes is many times what it reads
+        .mapInPandas(held, "shard long, slot long, source_place int, pass int, block long")
+    )
+
+
+def _first_slots(counts: DataFrame) -> DataFrame:
+    """Counts with `_first`: how many slots of the source lie in earlier shards. Ranges of shards are summed first."""
+    ranged = counts.withColumn("_range", F.floor(F.col("shard") / RANGE_SHARDS))
+    over_ranges = Window.partitionBy("source_place").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        ranged.groupBy("source_place", "_range")
+        .agg(F.sum("_slots").alias("_sum"))
+        .select("source_place", "_range", F.coalesce(F.sum("_sum").over(over_ranges), F.lit(0)).alias("_before"))
+    )
+    within = Window.partitionBy("source_place", "_range").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        ranged.withColumn("_within", F.coalesce(F.sum("_slots").over(within), F.lit(0)))
+        .join(before, ["source_place", "_range"])
+        .select("shard", "source_place", "_slots", (F.col("_before") + F.col("_within")).alias("_first"))
+    )
 
 
 def _pieces(starts: DataFrame, slots: DataFrame, block_words: int) -> DataFrame:

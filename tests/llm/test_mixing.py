@@ -1,10 +1,13 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from dayblotter.llm import mixing
 from dayblotter.llm.mixing import mix_sources, mixed_documents, permuted, rounded, targets
+from conftest import SF_DIR
 from llm_data import frame, odd_rows, prose, with_clash, words
 
 
@@ -81,6 +84,88 @@ def test_small_sources_over_thousands_of_shards(spark):
     assert all(held[row["_row"]] == 12 for row in docs if row["source"] in small)
 
 
+def test_repeated_rows_spread_over_chunks(spark):
+    rows = spark.range(60_000, numPartitions=5).select(
+        (F.col("id") % 3 * 0 + 5).alias("_hash"), F.monotonically_increasing_id().alias("_row")
+    )
+    few = spark.createDataFrame([(7, 1 << 50), (8, (1 << 50) + 1), (7, 3 << 50)], "_hash long, _row long")
+    got = mixing._copies(rows.unionByName(few)).select("_hash", "_copy", "_row").collect()
+    assert sorted(r["_copy"] for r in got if r["_hash"] == 5) == list(range(60_000))
+    assert sorted(r["_copy"] for r in got if r["_hash"] == 7) == [0, 1]
+    assert len({r["_row"] for r in got}) == 60_003
+    chunks = spark.createDataFrame(got).select(F.pmod(F.xxhash64("_hash", "_copy"), F.lit(15)).alias("chunk"))
+    held = {r["chunk"]: r["count"] for r in chunks.groupBy("chunk").count().collect()}
+    assert len(held) == 15 and max(held.values()) < 4_500
+
+
+def test_copies_do_not_change_a_rerun(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK_ROWS", 50)
+    rows = [(n % 40, prose(n % 40, 30), "a") for n in range(400)] + [(99, prose(99, 45), "b")] * 200
+    sums = []
+    for parts in (1, 6):
+        mix = mix_sources(frame(spark, rows).repartition(parts), block_words=16, shard_slots=64)
+        held = taken(mix)
+        sums.append(sorted((r["doc_id"], held[r["_row"]]) for r in mix.rows.collect()))
+    assert sums[0] == sums[1]
+
+
+def test_slots_are_numbered_over_ranges_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE_SHARDS", 4)
+    rng = np.random.default_rng(3)
+    rows = [(shard, place, int(rng.integers(1, 9))) for shard in range(37) for place in range(3) if (shard + place) % 5]
+    got = mixing._first_slots(spark.createDataFrame(rows, "shard long, source_place int, _slots long")).collect()
+    assert len(got) == len(rows)
+    for row in got:
+        before = sum(n for shard, place, n in rows if place == row["source_place"] and shard < row["shard"])
+        assert row["_first"] == before
+
+
+def test_slots_are_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TASK_SLOTS", 1_000)
+    one = mixing.Source(0, "a", 2_000_000, 2_000_000.0, 20_000)
+    slots = mixing._slots(spark.range(1), [one], 100)
+    made = [r["n"] for r in slots.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(made) == 20_000 and len(made) > 15 and max(made) < 3_000
+
+
+def plain_targets(sizes):
+    """By steps: share what is left by weight, fix the sources that would get too much, and again."""
+    names = sorted((name for name in sizes if name is not None), key=lambda name: name.encode("utf-32-be"))
+    names += [None] if None in sizes else []
+    weight = {name: 1 + at % 3 for at, name in enumerate(names)}
+    fixed = {}
+    while True:
+        free = [name for name in names if name not in fixed]
+        left = sum(sizes.values()) - sum(fixed.values())
+        trial = {name: left * weight[name] / sum(weight[one] for one in free) for name in free}
+        above = {name: 3 * sizes[name] for name in free if trial[name] > 3 * sizes[name]}
+        if not above:
+            return fixed | trial
+        fixed |= above
+
+
+def test_query_against_a_plain_mix(spark):
+    docs = pd.read_parquet(f"{SF_DIR}/documents.parquet")
+    size = {row.doc_id: len(words(row.text)) for row in docs.itertuples()}
+    source = {row.doc_id: row.source for row in docs.itertuples()}
+    sizes = Counter()
+    for number, n in size.items():
+        sizes[source[number]] += n
+    goals = plain_targets(sizes)
+    got = mixing.op8_mix(spark, SF_DIR).collect()
+    assert len(got) == len(docs) and {r["doc_id"] for r in got} == set(size)
+    sums = Counter()
+    for row in got:
+        number = row["doc_id"]
+        assert (row["size"], row["source_size"]) == (size[number], sizes[source[number]])
+        assert row["target"] == pytest.approx(goals[source[number]], rel=1e-12)
+        assert 0 <= row["taken"] <= 3 * row["size"]
+        sums[source[number]] += row["taken"]
+    for name, goal in goals.items():
+        # A slot is a block of words, the last block of a pass may be shorter; slots are whole.
+        assert abs(sums[name] - goal) <= 4 * mixing.BLOCK_WORDS
+
+
 def test_slots_hold_blocks(spark):
     rows = [(n, prose(n, 50), f"s{n % 2}") for n in range(40)]
     pieces = mix_sources(frame(spark, rows), block_words=16, shard_slots=8).pieces.collect()
