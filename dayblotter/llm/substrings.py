@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 from dayblotter.llm.common import bounded_batches, carried, stored, table
 
 WINDOW = 50
-_ADDED = ["n_words", "n_removed", "kept", "_key", "_marks", "_spans"]
+_ADDED = ["n_words", "n_removed", "kept", "_key", "_doc", "_marks", "_spans"]
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _INVERSES = tuple(pow(base, -1, 1 << 64) for base in _BASES)
 
@@ -60,14 +60,15 @@ class RunHashes:
         return views.argmin(axis=1) + np.arange(len(views)), hashes
 
 
-def duplicate_spans(rows: DataFrame, doc_id: str, text: str, window: int = WINDOW) -> DataFrame:
-    """(_key, _spans): for documents with duplicate windows, word ranges (begin, end) that cover them.
+def duplicate_spans(rows: DataFrame, text: str, window: int = WINDOW) -> DataFrame:
+    """(_doc, _key, _spans): for documents with duplicate windows, word ranges (begin, end) that cover them.
 
-    `rows` has `_key`, a hash of id and text; see `without_repeats`.
+    `rows` has `_doc`, the id, and `_key`, a hash of id and text. Both together tell documents apart;
+    see `without_repeats`.
     """
     gram = window // 2 + 1
     columns = rows.columns
-    anchors = stored(_anchors(rows, doc_id, text, window, gram), "substrings")
+    anchors = stored(_anchors(rows, text, window, gram), "substrings")
     # What is joined back to the rows it was summed from is stored first: both sides of the join are
     # then shuffled for it alone, and Spark splits the anchors and windows that very many share.
     reference = stored(
@@ -86,21 +87,22 @@ def duplicate_spans(rows: DataFrame, doc_id: str, text: str, window: int = WINDO
     )
     parsed = stored(_factored(shared.where("doc > first_doc").join(home, "gram"), window, gram), "substrings")
     factors = parsed.where(F.col("end") - F.col("begin") >= window).select(
-        F.col("key").alias("_key"), "begin", "end"
+        F.col("doc").alias("_doc"), F.col("key").alias("_key"), "begin", "end"
     )
     # Windows at boundaries ask; they are answered by others at boundaries and by the references.
     asking = parsed.where("exposed")
     answers = shared.where("doc = first_doc").join(asking.select("gram").distinct(), "gram", "left_semi")
-    marks = (
-        asking.select("key", "place", F.lit(True).alias("asks"))
-        .unionByName(answers.select("key", "place", F.lit(False).alias("asks")))
-        .groupBy(F.col("key").alias("_key"))
-        .agg(F.collect_set(F.struct("place", "asks")).alias("_marks"))  # of one document
+    marks = stored(
+        asking.select("doc", "key", "place", F.lit(True).alias("asks"))
+        .unionByName(answers.select("doc", "key", "place", F.lit(False).alias("asks")))
+        .groupBy(F.col("doc").alias("_doc"), F.col("key").alias("_key"))
+        .agg(F.collect_set(F.struct("place", "asks")).alias("_marks")),  # of one document
+        "substrings",
     )
-    windows = rows.join(marks, "_key").select(*columns, "_marks")
+    windows = rows.join(marks.hint("merge"), ["_doc", "_key"]).select(*columns, "_marks")
     hashed = stored(
         windows.mapInPandas(
-            _window_hashes(doc_id, text, window, gram), "_key long, doc long, begin long, h long, g long, asks boolean"
+            _window_hashes(text, window, gram), "_key long, doc long, begin long, h long, g long, asks boolean"
         ),
         "substrings",
     )
@@ -115,16 +117,17 @@ def duplicate_spans(rows: DataFrame, doc_id: str, text: str, window: int = WINDO
         hashed.where("asks")
         .join(smallest, ["h", "g"])
         .where("first_doc < doc")
-        .select("_key", "begin", (F.col("begin") + window).alias("end"))
+        .select(F.col("doc").alias("_doc"), "_key", "begin", (F.col("begin") + window).alias("end"))
     )
-    return (
+    return stored(
         factors.unionByName(repeated)
-        .groupBy("_key")
-        .agg(F.collect_set(F.struct("begin", "end")).alias("_spans"))  # of one document
+        .groupBy("_doc", "_key")
+        .agg(F.collect_set(F.struct("begin", "end")).alias("_spans")),  # of one document
+        "substrings",
     )
 
 
-def _anchors(rows: DataFrame, doc_id: str, text: str, window: int, gram: int) -> DataFrame:
+def _anchors(rows: DataFrame, text: str, window: int, gram: int) -> DataFrame:
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -142,20 +145,18 @@ def _anchors(rows: DataFrame, doc_id: str, text: str, window: int, gram: int) ->
             if out:
                 yield pd.concat(out)
 
-    held = rows.where(F.col(f"`{doc_id}`").isNotNull()).select(
-        "_key", F.col(f"`{doc_id}`").cast("long").alias("_doc"), F.col(f"`{text}`").alias("_text")
-    )
+    held = rows.where("_doc is not null").select("_key", "_doc", F.col(f"`{text}`").alias("_text"))
     return held.mapInPandas(index, "gram long, key long, doc long, place int, words int")
 
 
 def _factored(matched: DataFrame, window: int, gram: int) -> DataFrame:
     """Each matched anchor with its factor [begin, end), and whether a window of it sticks out."""
-    line = Window.partitionBy("key", "home.key", F.col("place") - F.col("home.place"))
+    line = Window.partitionBy("doc", "key", "first_doc", "home.key", F.col("place") - F.col("home.place"))
     along = line.orderBy("place")
     runs = matched.withColumn("slant", F.col("place") - F.col("home.place")).withColumn("home_key", F.col("home.key"))
     runs = runs.withColumn("breaks", F.coalesce(F.col("place") - F.lag("place").over(along) > gram, F.lit(False)).cast("int"))
     runs = runs.withColumn("run", F.sum("breaks").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    one = Window.partitionBy("key", "home_key", "slant", "run")
+    one = Window.partitionBy("doc", "key", "first_doc", "home_key", "slant", "run")
     runs = runs.withColumn("begin", F.min("place").over(one).cast("long")).withColumn(
         "end", (F.max("place").over(one) + gram).cast("long")
     )
@@ -165,10 +166,10 @@ def _factored(matched: DataFrame, window: int, gram: int) -> DataFrame:
     return runs.select("gram", "key", "doc", "place", "begin", "end", (~inside).alias("exposed"))
 
 
-def _window_hashes(doc_id: str, text: str, window: int, gram: int):
+def _window_hashes(text: str, window: int, gram: int):
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, doc, one, marks in zip(batch["_key"], batch[doc_id], batch[text], batch["_marks"]):
+            for key, doc, one, marks in zip(batch["_key"], batch["_doc"], batch[text], batch["_marks"]):
                 runs = RunHashes(split_words(one))
                 places, _ = runs.anchors(window, gram)
                 asked = np.zeros(runs.count, dtype=np.int8)
@@ -178,7 +179,7 @@ def _window_hashes(doc_id: str, text: str, window: int, gram: int):
                 yield pd.DataFrame(
                     {
                         "_key": key,
-                        "doc": int(doc),
+                        "doc": doc,
                         "begin": begins,
                         "h": runs.of(window, 0)[begins].view("i8"),
                         "g": runs.of(window, 1)[begins].view("i8"),
@@ -204,8 +205,10 @@ def without_repeats(
     lose any; rows with one id do not affect each other. Repeated rows are all returned. `carry`
     names the input columns to return, by default all; those named like added ones give way.
 
-    Only anchors (one in 13 words) are shuffled to find what documents share, and whole texts once,
-    for windows at boundaries and for cutting. An anchor that a third of all documents have is
+    Only anchors (one in 13 words) are shuffled to find what documents share, and whole texts twice, once
+    for windows at boundaries and once for cutting. A document is its id and a hash of 64 bits, so only
+    texts of one id could be taken for each other. Its marks and spans are stored before they are joined
+    to texts, and Spark splits rows that are repeated very often. An anchor that a third of all documents have is
     reduced to its smallest document before the shuffle; the join back to its documents is one that
     Spark splits. Windows are told apart by 128 bits of hash, anchors by 64; a factor long enough to
     count has at least two of them.
@@ -213,10 +216,13 @@ def without_repeats(
     bounded_batches(docs.sparkSession)
     wanted = carried(docs, carry, _ADDED)
     columns = list(dict.fromkeys([*wanted, doc_id, text]))
-    rows = docs.select(*[F.col(f"`{name}`") for name in columns]).withColumn(
-        "_key", F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+    number = F.col(f"`{doc_id}`")
+    rows = docs.select(
+        *[F.col(f"`{name}`") for name in columns],
+        number.cast("long").alias("_doc"),
+        F.xxhash64(number, F.col(f"`{text}`")).alias("_key"),
     )
-    spans = duplicate_spans(rows, doc_id, text, window)
+    spans = duplicate_spans(rows, text, window)
     schema = T.StructType(
         [*docs.select(*[F.col(f"`{name}`") for name in wanted]).schema.fields]
         + T.StructType.fromDDL("n_words long, n_removed long, kept string").fields
@@ -242,7 +248,7 @@ def without_repeats(
             added = pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])
             yield pd.concat([batch[wanted].reset_index(drop=True), added], axis=1)
 
-    return rows.join(spans, "_key", "left").select(*columns, "_spans").mapInPandas(cut, schema)
+    return rows.join(spans.hint("merge"), ["_doc", "_key"], "left").select(*columns, "_spans").mapInPandas(cut, schema)
 
 
 def op7_substring_dedup(spark, sf_dir):
