@@ -10,7 +10,7 @@ probability asked for, have been met by now.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +28,7 @@ BLOCK_ROWS = 8_192
 MOST_LEAVES = 1_024  # of the outer tree
 QUERY_ROWS = 16_384  # queries that one task takes for a block
 _LEAF_ROWS = 32  # of the tree within a block
-_LEAVES = 32  # taken from that tree at a time
+_LEAVES = 32  # taken from that tree at a time, or more
 _POINTS = 32  # verified at a time, or a sixth of those verified before, between two looks at the test
 _ROUNDING = 1e-12  # of a product of lengths: how far two equal scores may be apart before they are summed exactly
 _SLACK = 1e-12
@@ -293,30 +293,41 @@ class Block:
         self.copies = np.array([len(one) for one in ids])
         self.tree, self.leaves = grown(projected, _LEAF_ROWS, tight=True)
 
-    def neighbours_of(self, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """All points in order of projected distance, some at a time, with these distances, squared.
+    def neighbours_of(
+        self, at: np.ndarray, within: Callable[[], float] = lambda: math.inf
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Points in order of projected distance, some at a time, with these distances, squared.
 
-        Leaves are opened in order of the distance to their boxes. A point is given once no leaf that is
-        not open can hold a nearer one; until then it waits.
+        Leaves are taken in order of the distance to their boxes; no leaf after the first `_LEAVES`, or twice
+        as many and so on, can hold a point nearer than the next of these boxes. `within` tells, whenever
+        asked, up to which distance points are wanted; it never grows. All leaves up to there are opened
+        and their points sorted at once, or, with no distance known, as many leaves again as are open.
         """
         boxes = self.tree.distances(at)
-        order = np.argsort(boxes, kind="stable")
-        waiting, distances, given = np.empty(0, dtype=np.int64), np.empty(0), 0
-        for first in range(0, len(order), _LEAVES):
-            opened = np.concatenate([self.leaves[leaf] for leaf in order[first : first + _LEAVES]])
-            apart = self.projected[opened] - at
-            waiting = np.concatenate([waiting, opened])
+        order = boxes.argsort(kind="stable")
+        boxes = boxes[order]
+        ends = boxes[_LEAVES::_LEAVES]
+        waiting, distances, opened, given = np.empty(0, dtype=np.int64), np.empty(0), 0, 0
+        while opened < len(boxes) and not boxes[opened] > (reach := within()):
+            known = -(-int(boxes.searchsorted(reach, "right")) // _LEAVES) * _LEAVES
+            until = known if reach < math.inf else max(_LEAVES, 2 * opened)
+            points = np.concatenate([self.leaves[leaf] for leaf in order[opened:until]])
+            apart = self.projected.take(points, axis=0)
+            apart -= at
+            waiting = np.concatenate([waiting, points])
             distances = np.concatenate([distances, np.einsum("nd,nd->n", apart, apart)])
-            following = boxes[order[first + _LEAVES]] if first + _LEAVES < len(order) else np.inf
-            near = distances <= following
-            ready = np.flatnonzero(near)
-            ready = ready[np.argsort(distances[ready], kind="stable")]
+            opened = until
+            ranks = distances.argsort()
+            waiting, distances = waiting[ranks], distances[ranks]
+            ready = int(distances.searchsorted(boxes[until] if until < len(boxes) else math.inf, "right"))
+            places, apart = waiting[:ready], distances[:ready]
+            waiting, distances = waiting[ready:], distances[ready:]
             begin = 0
-            while begin < len(ready):
-                some = ready[begin : begin + max(_POINTS, given // 6)]
-                yield waiting[some], distances[some]
-                begin, given = begin + len(some), given + len(some)
-            waiting, distances = waiting[~near], distances[~near]
+            for end in [*apart.searchsorted(ends, "right").tolist(), ready]:
+                while begin < end:
+                    some = slice(begin, min(end, begin + max(_POINTS, given // 6)))
+                    yield places[some], apart[some]
+                    begin, given = some.stop, given + some.stop - begin
 
     def nearest(self, query: np.ndarray, at: np.ndarray, bound: float, limit: float, needed: int) -> tuple[list, int]:
         """The `needed` best (score, id), ties by id, and how many points were verified to find them.
@@ -328,26 +339,29 @@ class Block:
         square = float(query @ query)
         margin = _ROUNDING * math.sqrt(square * self.longest)
         places, scores, seen, worst = np.empty(0, dtype=np.int64), np.empty(0), 0, -math.inf
-        for points, distances in self.neighbours_of(at):
-            if distances[0] > (bound + _SLACK) * limit:
+
+        def within() -> float:
+            return (bound + _SLACK) * limit
+
+        for points, distances in self.neighbours_of(at, within):
+            if distances[0] > within():
                 break
             seen += len(points)
-            new = self.vectors[points] @ query
-            good = new >= worst - margin
-            if not good.any():
+            new = self.vectors.take(points, axis=0) @ query
+            good = (new >= worst - margin).nonzero()[0]
+            if not len(good):
                 continue
             places, scores = np.concatenate([places, points[good]]), np.concatenate([scores, new[good]])
-            order = np.argsort(-scores, kind="stable")
-            held = np.cumsum(self.copies[places[order]])
+            order = (-scores).argsort()
+            held = self.copies[places[order]].cumsum()
             if held[-1] >= needed:
-                worst = float(scores[order[int(np.searchsorted(held, needed))]])
+                worst = float(scores[order[int(held.searchsorted(needed))]])
                 kept = scores >= worst - margin
                 places, scores = places[kept], scores[kept]
                 bound = min(bound, max(square + self.longest - 2 * worst, 0.0))
         # Products of 32-bit components are exact, and so is their sum here.
-        found = [
-            (math.fsum((self.vectors[place] * query).tolist()), int(one)) for place in places for one in self.ids[place]
-        ]
+        exact = [math.fsum(products) for products in (self.vectors[places] * query).tolist()]
+        found = [(score, int(one)) for score, place in zip(exact, places) for one in self.ids[place]]
         return sorted(found, key=lambda one: (-one[0], one[1]))[:needed], seen
 
 

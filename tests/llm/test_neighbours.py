@@ -162,6 +162,68 @@ def test_points_come_in_order_of_projected_distance():
     assert distances == pytest.approx(((at[places] - query) ** 2).sum(axis=1))
 
 
+def test_points_up_to_a_distance():
+    """None that is wanted is missing, and most leaves beyond it stay closed."""
+    rng = np.random.default_rng(5)
+    at = 8 * rng.integers(0, 6, (3000, 1)) + rng.standard_normal((3000, neighbours.DIMENSIONS))
+    block = neighbours.Block(rng.standard_normal((3000, 8)), at, [[n] for n in range(3000)], 100.0)
+    exact = ((at - at[0]) ** 2).sum(axis=1)
+    for within in [0.0, 20.0, 45.0, 1e3, math.inf]:
+        found = list(block.neighbours_of(at[0], lambda: within))
+        places = np.concatenate([p for p, _ in found])
+        assert (np.diff(exact[places]) >= -1e-9).all()
+        assert sorted(p for p in places.tolist() if exact[p] <= within) == np.flatnonzero(exact <= within).tolist()
+        assert within > 45.0 or len(places) < 1500
+    reach, given = math.inf, []
+    for places, distances in block.neighbours_of(at[0], lambda: reach):
+        reach = 30.0  # told once the first points have come
+        given += places[distances <= reach].tolist()
+    assert sorted(given) == np.flatnonzero(exact <= 30.0).tolist()
+
+
+def nearly_random(count):
+    rng = np.random.default_rng(6)
+    vectors = rng.standard_normal((count, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    at = vectors @ rng.standard_normal((64, neighbours.DIMENSIONS))
+    return vectors, at, neighbours.Block(vectors, at, [[n] for n in range(count)], 1.0)
+
+
+@pytest.mark.parametrize("known", [False, True])
+def test_looks_at_the_test(known):
+    """What is verified, and found, is that of a plain search with the same looks."""
+    vectors, at, block = nearly_random(6000)
+    limit, needed = chi_square_at(CHANCE, neighbours.DIMENSIONS), 21
+    for query in range(0, 6000, 400):
+        scores, apart = vectors @ vectors[query], ((at - at[query]) ** 2).sum(axis=1)
+        bound = first = max(2 - 2 * np.sort(scores)[-40], 0.0) if known else math.inf
+        order, boxes = np.argsort(apart), np.sort(block.tree.distances(at[query]))
+        ends = np.searchsorted(apart[order], boxes[32::32], "right").tolist() + [6000]
+        begin = 0
+        while begin < 6000 and apart[order[begin]] <= bound * limit:
+            begin = min(begin + max(32, begin // 6), min(end for end in ends if end > begin))
+            best = np.sort(scores[order[:begin]])[::-1][:needed]
+            bound = min(bound, 2 - 2 * best[-1]) if len(best) == needed else bound
+        found, seen = block.nearest(vectors[query], at[query], first, limit, needed)
+        assert seen == begin
+        assert [score for score, _ in found] == pytest.approx(best, abs=1e-12)
+
+
+def test_points_are_not_copied_for_every_few_leaves(monkeypatch):
+    """A search that has to see most of a block joins its points once, however many leaves they are in."""
+    vectors, at, block = nearly_random(6000)
+    joined, join = [], np.concatenate
+
+    def counted(arrays):
+        joined.append(sum(map(len, arrays)))
+        return join(arrays)
+
+    monkeypatch.setattr(neighbours.np, "concatenate", counted)
+    found, seen = block.nearest(vectors[0], at[0], 1.4, chi_square_at(CHANCE, neighbours.DIMENSIONS), 21)
+    assert len(found) == 21 and seen > 1500
+    assert sum(joined) <= 4 * 6000
+
+
 def test_query_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(row["vec_id"], row["embedding"]) for row in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
